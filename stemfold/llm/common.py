@@ -9,6 +9,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_dir: list[str] = []
 
@@ -35,6 +36,16 @@ def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def hash_sample(df: DataFrame, most: int, *columns: str) -> DataFrame:
+    """About ``most`` rows of ``df`` (all, if there are no more), by a hash of ``columns``, so the same rows whatever the partitioning.
+
+    Rows are counted and then filtered, so no task or driver ever holds more
+    than the sample, and repeated rows come or go together.
+    """
+    share = min(1.0, most / max(1, df.count()))
+    return df.where(F.pmod(F.xxhash64(*columns), F.lit(1 << 31)) < int(share * (1 << 31)))
+
+
 def binary(column: pa.Array | pa.ChunkedArray) -> list[bytes | None]:
     """UTF-8 bytes of a string column without decoding it."""
     return column.cast(pa.binary()).to_pylist()

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemfold.llm.common import SPACE, binary, cut, slices, word_hashes
+from stemfold.llm.common import SPACE, binary, cut, hash_sample, slices, word_hashes
 
 FEATURES = (
     "log_bytes", "log_words", "log_lines", "upper", "lower", "digit", "space", "bang", "symbol", "stop", "other_punct", "non_ascii",
@@ -157,7 +157,7 @@ def document_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def fit_quality(stats: DataFrame, labels: DataFrame, id_col: str, label_col: str, max_rows: int = 20_000, fold: int = 5) -> Trees:
-    """Fit on at most ``max_rows`` labelled rows (those of the lowest hashes), so the driver holds a bounded matrix.
+    """Fit on about ``max_rows`` labelled rows (a sample by hash of the id), so the driver holds a bounded matrix.
 
     Rows with ``crc32(id as text) mod fold = 0`` are held out. Rows without a
     label or id are left out; an id labelled more than once takes the mean,
@@ -165,8 +165,8 @@ def fit_quality(stats: DataFrame, labels: DataFrame, id_col: str, label_col: str
     """
     of = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
     of = of.where(F.crc32(F.col("l_id").cast("string")) % fold != 0)
-    pick = stats.join(of, F.col(id_col) == F.col("l_id")).select("x", "y", F.xxhash64("l_id").alias("k"), "l_id").orderBy("k", "l_id", "x").limit(max_rows)
-    rows = pick.select("x", "y").toPandas()
+    joined = cut(stats.join(of, F.col(id_col) == F.col("l_id")).select("x", "y", "l_id"), "labelled")
+    rows = hash_sample(joined, max_rows, "l_id").orderBy("l_id", "x").select("x", "y").toPandas()
     return fit_trees(_matrix([bytes(v) for v in rows["x"]]), rows["y"].to_numpy(np.float64))
 
 

@@ -7,6 +7,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stemfold.llm.decontaminate import contaminated
+from stemfold.llm.html import extract_text
+from stemfold.llm.lm import cross_entropy_difference
+from stemfold.llm.neardup import near_duplicates
+from stemfold.llm.packing import pack_documents
 from stemfold.llm.quality import quality_scores
 from stemfold.llm.secrets import scan_secrets
 from stemfold.llm.sharding import assign_shards
@@ -18,6 +23,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op3_jump_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return assign_shards(table(spark, sf_dir, "documents"), "doc_id", "text", 40)
 
@@ -34,10 +49,40 @@ def op5_quality_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op6_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"), words=2)
+
+
+def op8_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op9_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: documents labelled as good. Background: all documents."""
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 QUERIES: dict[str, Query] = {
+    "op2_string_tiling": op2_string_tiling,
     "op3_jump_shards": op3_jump_shards,
     "op4_secret_grammar": op4_secret_grammar,
     "op5_quality_trees": op5_quality_trees,
+    "op6_bbit_minhash": op6_bbit_minhash,
+    "op8_mincut_text": op8_mincut_text,
+    "op9_cross_entropy_difference": op9_cross_entropy_difference,
+    "op10_hilbert_packing": op10_hilbert_packing,
+    "pipeline": pipeline,
 }
 
 ORACLE_SQL: dict[str, str] = {}

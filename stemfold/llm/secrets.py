@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stemfold.llm.common import cut, hash_sample
+
 # --- fixed values: the base rules ----------------------------------------
 ASSIGN = r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)"
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
@@ -172,8 +174,8 @@ def infer_grammar(examples: dict[str, list[str]], ordinary: list[str], least_exa
 def labelled_credentials(docs: DataFrame, text_col: str = "text", most: int = 2000, longest: int = 512) -> tuple[dict[str, list[str]], list[str]]:
     """Distinct credentials by kind as the base rules label them, and distinct ordinary long tokens.
 
-    Training data is bounded: ``most`` strings of each kind, those of the
-    lowest hashes, each of at most ``longest`` characters. Every text is
+    Training data is bounded: about ``most`` strings of each kind, drawn by
+    hash, each of at most ``longest`` characters. Every text is
     searched for them, and each string is counted once, however often it occurs.
     """
     java = lambda pattern, group: F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(group))
@@ -183,11 +185,12 @@ def labelled_credentials(docs: DataFrame, text_col: str = "text", most: int = 20
     )
     rows = docs.select(F.explode(found).alias("x")).select("x.kind", F.explode("x.found").alias("value")).where(F.length("value") <= longest)
     kind = F.when(F.col("kind") == "assign", "assign").when(F.col("value").rlike(ACCESS), "access").when(F.col("value").rlike(HEX), "hex").otherwise("ordinary")
-    distinct = rows.select(kind.alias("kind"), "value").distinct()
-    ranked = distinct.selectExpr("*", "row_number() OVER (PARTITION BY kind ORDER BY xxhash64(value), value) AS place").where(F.col("place") <= most)
+    distinct = cut(rows.select(kind.alias("kind"), "value").distinct(), "credentials")
     out: dict[str, list[str]] = {}
-    for r in ranked.select("kind", "value").collect():  # at most four kinds of ``most`` strings
-        out.setdefault(r["kind"], []).append(r["value"])
+    for name in ("assign", "access", "hex", "ordinary"):
+        some = hash_sample(distinct.where(F.col("kind") == name), most, "value").collect()  # about ``most`` strings
+        if some:
+            out[name] = sorted(r["value"] for r in some)
     ordinary = out.pop("ordinary", [])
     assigned = set(out.get("assign", []))
     return out, [x for x in ordinary if x not in assigned]
