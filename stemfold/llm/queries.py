@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from stemfold.llm.decontaminate import contaminated
 from stemfold.llm.html import extract_text
+from stemfold.llm.images import find_copies, rendered
 from stemfold.llm.lm import cross_entropy_difference
 from stemfold.llm.neardup import near_duplicates
 from stemfold.llm.packing import pack_documents
 from stemfold.llm.quality import quality_scores
 from stemfold.llm.secrets import scan_secrets
 from stemfold.llm.sharding import assign_shards
+from stemfold.llm.suffixes import drop_repeats
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +31,12 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All vectors as images; the queries are edited crops of those whose id is divisible by 20."""
+    vectors = table(spark, sf_dir, "embeddings")
+    return find_copies(rendered(vectors, "vec_id", "embedding"), rendered(vectors.where("vec_id % 20 = 0"), "vec_id", "embedding", edit=True))
+
+
 def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -53,6 +61,10 @@ def op6_bbit_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), words=2)
 
 
+def op7_sampled_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeats(table(spark, sf_dir, "documents"), with_bytes=False)
+
+
 def op8_mincut_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_text(table(spark, sf_dir, "pages"))
 
@@ -74,11 +86,13 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_image_copies": op1_image_copies,
     "op2_string_tiling": op2_string_tiling,
     "op3_jump_shards": op3_jump_shards,
     "op4_secret_grammar": op4_secret_grammar,
     "op5_quality_trees": op5_quality_trees,
     "op6_bbit_minhash": op6_bbit_minhash,
+    "op7_sampled_suffixes": op7_sampled_suffixes,
     "op8_mincut_text": op8_mincut_text,
     "op9_cross_entropy_difference": op9_cross_entropy_difference,
     "op10_hilbert_packing": op10_hilbert_packing,
