@@ -6,6 +6,8 @@ not depend on partitioning, order or retries.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -31,6 +33,11 @@ def u(seed: int, tag: str, *key: Column) -> Column:
     return F.conv(F.substring(F.md5(text.cast("binary")), 1, 13), 16, 10).cast("double") / SPAN
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def _poly(coefficients: tuple[float, ...], x: Column) -> Column:
     out = F.lit(coefficients[0])
     for c in coefficients[1:]:
@@ -40,19 +47,20 @@ def _poly(coefficients: tuple[float, ...], x: Column) -> Column:
 
 def normal_quantile(p: Column) -> Column:
     """Inverse of the standard normal distribution function; p is clamped to [1e-12, 1 - 1e-12]."""
-    p = F.greatest(F.lit(TINY), F.least(F.lit(1 - TINY), p))
     tail = lambda q: _poly(C, q) / _poly(D, q)
-    low, high = F.sqrt(-2 * F.ln(p)), F.sqrt(-2 * F.ln(1 - p))
-    mid = p - 0.5
-    r = mid * mid
-    return F.when(p < LOW, tail(low)).when(p > 1 - LOW, -tail(high)).otherwise(_poly(A, r) * mid / _poly(B, r))
+    mid = lambda m: let(m * m, lambda r: _poly(A, r) * m / _poly(B, r))
+    body = lambda p: F.when(p < LOW, let(F.sqrt(-2 * F.ln(p)), tail)).when(p > 1 - LOW, -let(F.sqrt(-2 * F.ln(1 - p)), tail)).otherwise(let(p - 0.5, mid))
+    return let(F.greatest(F.lit(TINY), F.least(F.lit(1 - TINY), p)), body)
 
 
 def normal_cdf(x: Column) -> Column:
     """Standard normal distribution function by a polynomial good to about 1e-7."""
-    t = 1 / (1 + P * F.abs(x))
-    tail = F.exp(-x * x / 2) / ROOT_2PI * (_poly(tuple(reversed(BS)), t) * t)
-    return F.when(x >= 0, 1 - tail).otherwise(tail)
+
+    def body(x: Column) -> Column:
+        tail = lambda t: F.exp(-x * x / 2) / ROOT_2PI * (_poly(tuple(reversed(BS)), t) * t)
+        return let(let(1 / (1 + P * F.abs(x)), tail), lambda v: F.when(x >= 0, 1 - v).otherwise(v))
+
+    return let(x, body)
 
 
 def normal(p: Column, loc: Column | float, scale: Column | float) -> Column:
@@ -72,8 +80,9 @@ def skew_start(p0: Column, p1: Column, loc: Column, scale: float = 2.0, shape: f
 
 def trunc_length(p: Column, loc: Column, scale: Column, low: Column, high: Column) -> Column:
     """Normal truncated to [low, high]; high where high is not above low."""
-    a, b = normal_cdf((low - loc) / scale), normal_cdf((high - loc) / scale)
-    return F.when(high <= low, high).otherwise(F.greatest(low, F.least(high, loc + scale * normal_quantile(a + p * (b - a)))))
+    edges = F.struct(normal_cdf((low - loc) / scale).alias("a"), normal_cdf((high - loc) / scale).alias("b"))
+    drawn = let(edges, lambda e: loc + scale * normal_quantile(e["a"] + p * (e["b"] - e["a"])))
+    return F.when(high <= low, high).otherwise(F.greatest(low, F.least(high, drawn)))
 
 
 def segment_offset(p: Column, available: Column, length: Column) -> Column:

@@ -282,7 +282,7 @@ def stem_tree(spark: SparkSession, sf: str) -> DataFrame:
     return A.flat_tree(A.stem_tree(rows, "l_orderkey", "grp", "stem", "path"), "l_orderkey")
 
 
-@query("substems", "SELECT l_returnflag, array_to_string(list_sort(list(DISTINCT l_linenumber::VARCHAR)), ',') AS substems, array_to_string(list_filter(['7', '2', '9'], x -> list_contains(list(DISTINCT l_linenumber::VARCHAR), x)), ',') AS present FROM lineitem GROUP BY ALL")
+@query("substems", "SELECT l_returnflag, array_to_string(list_sort(list(DISTINCT l_linenumber::VARCHAR)), ',') AS substems, concat_ws(',', CASE WHEN bool_or(l_linenumber = 7) THEN '7' END, CASE WHEN bool_or(l_linenumber = 2) THEN '2' END, CASE WHEN bool_or(l_linenumber = 9) THEN '9' END) AS present FROM lineitem GROUP BY ALL")
 def substems(spark: SparkSession, sf: str) -> DataFrame:
     rows = table(spark, sf, "lineitem").select("l_returnflag", F.col("l_linenumber").cast("string").alias("stem"))
     return A.substems(rows, "l_returnflag", "stem").select("l_returnflag", F.array_join("substems", ",").alias("substems"), F.array_join(A.present_stems(F.col("substems"), ["7", "2", "9"]), ",").alias("present"))

@@ -64,9 +64,9 @@ def _nonsilent_sql(drop: float, name: str) -> str:
     return RUNS.format(cls=f"(value >= m - {drop})", extra="", join="JOIN (SELECT user_id AS mu, avg(value) AS m FROM events GROUP BY 1) ON user_id = mu", frame="0.5").replace("fr AS", f"fr{name} AS").replace("FROM fr)", f"FROM fr{name})").replace("fl AS", f"fl{name} AS").replace("FROM fl)", f"FROM fl{name})").replace("rn AS", f"rn{name} AS").replace("FROM rn ", f"FROM rn{name} ").replace("runs AS", f"runs{name} AS") + f""",
  ed{name} AS (SELECT user_id, min(a) AS lo, max(b) AS hi FROM runs{name} WHERE cls GROUP BY 1),
  hd{name} AS (SELECT user_id, a, b, cls OR (b - a < 1) AS cls FROM runs{name}),
- is{name} AS (SELECT *, sum(CASE WHEN cls AND NOT coalesce(p, false) THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY a) AS isle FROM (SELECT *, lag(cls) OVER (PARTITION BY user_id ORDER BY a) AS p FROM hd{name})),
+ il{name} AS (SELECT *, sum(CASE WHEN cls AND NOT coalesce(p, false) THEN 1 ELSE 0 END) OVER (PARTITION BY user_id ORDER BY a) AS isle FROM (SELECT *, lag(cls) OVER (PARTITION BY user_id ORDER BY a) AS p FROM hd{name})),
  tt{name} AS (SELECT user_id, count(*) * 0.5::DOUBLE AS total FROM events GROUP BY 1),
- ns{name} AS (SELECT g.user_id, greatest(0.0::DOUBLE, greatest(a, lo) - 0.1::DOUBLE) AS start_time, least(total, least(b, hi) + 0.1::DOUBLE) AS end_time FROM (SELECT user_id, isle, min(a) AS a, max(b) AS b FROM is{name} WHERE cls GROUP BY 1, 2) g JOIN ed{name} e ON e.user_id = g.user_id JOIN tt{name} t ON t.user_id = g.user_id WHERE greatest(a, lo) < least(b, hi))"""
+ ns{name} AS (SELECT g.user_id, greatest(0.0::DOUBLE, greatest(a, lo) - 0.1::DOUBLE) AS start_time, least(total, least(b, hi) + 0.1::DOUBLE) AS end_time FROM (SELECT user_id, isle, min(a) AS a, max(b) AS b FROM il{name} WHERE cls GROUP BY 1, 2) g JOIN ed{name} e ON e.user_id = g.user_id JOIN tt{name} t ON t.user_id = g.user_id WHERE greatest(a, lo) < least(b, hi))"""
 
 
 @query("nonsilent", "WITH " + _nonsilent_sql(16.0, "") + " SELECT user_id, round(start_time, 6) AS start_time, round(end_time, 6) AS end_time FROM ns")

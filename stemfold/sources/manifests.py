@@ -33,8 +33,8 @@ def read_manifest(spark: SparkSession, path: str, schema: str, dialect: str = "c
             return spark.read.schema(schema).options(**DIALECTS[dialect]).csv(path)
         sep = DIALECTS[dialect]["sep"]
         # wholetext keeps each file's line order; header files are small metadata files
-        whole = spark.read.option("wholetext", "true").text(path).select(F.split("value", r"\r?\n").alias("lines"))
-        rows = whole.select(F.explode(F.slice("lines", header_rows + 1, 1 << 30)).alias("line")).where("trim(line) <> ''")
+        whole = spark.read.text(path, wholetext=True).select(F.split("value", r"\r?\n").alias("lines"))
+        rows = whole.select(F.posexplode("lines").alias("at", "line")).where((F.col("at") >= header_rows) & (F.trim("line") != "")).select("line")
         return rows.select(F.from_csv("line", schema, {"sep": sep}).alias("r")).select("r.*")
     except AnalysisException as e:
         if missing_ok and "PATH_NOT_FOUND" in str(e):
