@@ -62,13 +62,14 @@ class Automaton:
         return -(total + self.ends[state]) / (len(text) + 1)
 
 
-def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, floor: float = 1e-4) -> Automaton:
+def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, floor: float = 1e-4, seen: int = 1) -> Automaton:
     """Merge the states of the examples' prefix tree whose symbol and end frequencies agree within Hoeffding bounds.
 
     States are taken breadth first. A candidate is folded into the first
     accepted state with which it and all its descendants are compatible, else
     it is accepted. States passed by fewer than ``least`` examples carry no
     evidence of their own and are compared by their bounds only at their top.
+    Moves taken fewer than ``seen`` times are forgotten.
     """
     count, ends, kids, freq = [0], [0], [{}], [{}]
     for text in examples:
@@ -130,7 +131,7 @@ def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, f
             fold(target, node)
     number = {n: k for k, n in enumerate(accepted)}
     log = lambda part, whole: math.log(max(floor, part / max(whole, 1)))
-    moves = [{s: (number[k], log(freq[n][s], count[n])) for s, k in kids[n].items()} for n in accepted]
+    moves = [{s: (number[k], log(freq[n][s], count[n])) for s, k in kids[n].items() if freq[n][s] >= seen} for n in accepted]
     return Automaton(moves, [log(ends[n], count[n]) for n in accepted], math.log(floor))
 
 
@@ -145,7 +146,7 @@ class Grammar:
 
     kinds: dict[str, tuple[Automaton, float, float]]
     ordinary: Automaton
-    margin: float = 1.0
+    margin: float = 0.75
     band: float = 4.0
 
     def score(self, token: str) -> float:
@@ -168,7 +169,8 @@ def infer_grammar(examples: dict[str, list[str]], ordinary: list[str], least_exa
             losses = [(automaton.loss(x), len(x) + 1) for x in strings]
             mean = sum(v * n for v, n in losses) / sum(n for _, n in losses)
             kinds[kind] = (automaton, mean, math.sqrt(sum((v - mean) ** 2 * n for v, n in losses) / len(losses)))
-    return Grammar(kinds, infer_automaton(sorted(ordinary)))
+    # a token that is alone of its kind says nothing about ordinary text
+    return Grammar(kinds, infer_automaton(sorted(ordinary), seen=3))
 
 
 def labelled_credentials(docs: DataFrame, text_col: str = "text", most: int = 2000, longest: int = 512) -> tuple[dict[str, list[str]], list[str]]:
