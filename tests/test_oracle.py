@@ -1,6 +1,7 @@
 """Every query with SQL gives DuckDB's rows; the others give rows with a stable schema."""
 
 import duckdb
+import pandas as pd
 import pytest
 
 from stemfold.plans import QUERIES, SQL
@@ -19,7 +20,7 @@ def duck():
 
 def rows(df):
     def text(v):
-        if v is None or v != v:
+        if pd.isna(v):
             return "~"
         if isinstance(v, bool) or hasattr(v, "dtype") and v.dtype == bool:
             return str(bool(v))
