@@ -42,6 +42,16 @@ def language_balance(spark: SparkSession, sf: str) -> DataFrame:
     return out.join(F.broadcast(per), "language_family").select("doc_id", "langcode", "language_family", "sample_users", "n_files", F.round("sample_prob", 12).alias("sample_prob"))
 
 
+@query("uniform_probability", "SELECT c_custkey, round(1.0::DOUBLE / (SELECT count(*) FROM customer), 12) AS sample_prob FROM customer")
+def uniform_probability(spark: SparkSession, sf: str) -> DataFrame:
+    return C.uniform_probability(table(spark, sf, "customer").select("c_custkey")).withColumn("sample_prob", F.round("sample_prob", 12))
+
+
+@query("by_duration", f"WITH {CLIPS} SELECT doc_id, duration FROM clips ORDER BY duration DESC")
+def by_duration(spark: SparkSession, sf: str) -> DataFrame:
+    return C.by_duration(clips(spark, sf).select("doc_id", "duration"))
+
+
 @query(
     "clean_annotations",
     """SELECT '$CLEANED_DATA_ROOT/' || p_type || '/' || p_partkey || '.flac' AS raw_path, l_orderkey * 7 AS start_time_sample, (l_quantity * 48000)::BIGINT AS segment_duration_sample, l_suppkey AS segment_start_offset_sample,

@@ -137,3 +137,38 @@ def test_balanced_split_keeps_speakers_whole(spark):
     assert len(got) == 60 and got.speaker.is_unique and got.accepted.all()
     size = df.toPandas().merge(got, on="speaker").groupby("split").duration.sum()
     assert size["train"] / size.sum() == pytest.approx(0.7, abs=0.05)
+
+
+def test_missing_manifest_is_left_out(spark, tmp_path):
+    from stemfold.sources.manifests import read_manifest
+
+    assert read_manifest(spark, f"file://{tmp_path}/none.csv", "a int", missing_ok=True) is None
+    (tmp_path / "x.tsv").write_text("# one\n# two\nid\tname\n1\tb\n\n2\tc\n")
+    assert values(read_manifest(spark, f"file://{tmp_path}/x.tsv", "id int, name string", "tab", 3), "id", "name") == [(1, "b"), (2, "c")]
+
+
+def test_inventory_reads_no_contents(spark, tmp_path):
+    from stemfold.sources.manifests import inventory
+
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a" / "x.wav").write_bytes(b"12345")
+    (tmp_path / "y.txt").write_bytes(b"1")
+    got = inventory(spark, f"file://{tmp_path}", "*.wav", {"variant": "v"}).collect()
+    assert [(r["length"], r["variant"]) for r in got] == [(5, "v")] and got[0]["path"].endswith("a/x.wav")
+
+
+def test_speaker_and_gender_of_odd_names(spark):
+    df = spark.createDataFrame([("a/b/x_y_z.wav",), ("solo.wav",), ("p_q.flac",)], "p string")
+    st = S.speaker_track(F.col("p"))
+    assert values(df.select(st["speaker"].alias("s"), st["track"].alias("t")), "s", "t") == [("y", "z"), (None, None), ("p", "q")]
+    g = spark.createDataFrame([("M",), ("female_unsure",), (None,), ("NaN",), ("x",)], "g string")
+    assert [r[0] for r in g.select(S.gender(F.col("g"))).collect()] == ["male", "female", "unknown", "unknown", None]
+
+
+def test_violations_of_each_rule(spark):
+    from stemfold.operators import expect as Q
+
+    df = spark.createDataFrame([(1, "a", "train", 1.0), (2, None, "test", float("nan")), (3, "a", "test", 3.0)], "id int, g string, split string, x double")
+    found = Q.violations(Q.required(df, "g", "id"), Q.disjoint(df, "g"), Q.finite(df, "x", "id"), Q.fixed_length(df, "x", 1.0, "id"), Q.inside(df, "id", F.lit(0), F.col("id"), 2), Q.sizes(df, "split", {"train": 1, "val": 2}))
+    got = sorted((r["rule"], r["key"]) for r in found.collect())
+    assert got == [("disjoint", "a"), ("finite", "2"), ("inside", "3"), ("length", "2"), ("length", "3"), ("required", "2"), ("size", "val")]
