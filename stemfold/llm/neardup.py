@@ -6,7 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stemfold.llm.common import binary, cut, mix, shingle_hashes, slices, word_hashes
@@ -136,10 +136,11 @@ def _similar(pairs: DataFrame, classes: DataFrame, least: float) -> DataFrame:
 def _block_links(percent: int, least: float):
     """For one block of a bucket: links between its members and the bucket's queries (members outside the largest component).
 
-    Both come with component, signature and full set. Signatures are compared
-    as matrices; a query with any promising partner is counted against the
-    whole block by one pass over the block's postings. One link of a query to
-    each component is enough.
+    Both come with component, signature, band keys and full set. A pair that
+    shares several buckets belongs to that of its first common band.
+    Signatures are compared as matrices; a query with any promising partner is
+    counted against the whole block by one pass over the block's postings. One
+    link of a query to each component is enough.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -147,6 +148,7 @@ def _block_links(percent: int, least: float):
         ids, comps = table["id"].to_pylist(), np.array(table["component"].to_pylist())
         sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint8).reshape(len(ids), -1)
         sets = [np.frombuffer(x, np.uint64) for x in table["shingles"].to_pylist()]
+        bands, key = np.array(table["bands"].to_pylist(), np.int64), table["key"][0].as_py()
         ours, asked = np.flatnonzero(~query), np.flatnonzero(query)
         a, b = [], []
         if len(ours) and len(asked):
@@ -155,7 +157,9 @@ def _block_links(percent: int, least: float):
             order = np.argsort(flat, kind="stable")
             owner, flat = np.repeat(np.arange(len(ours)), sizes)[order], flat[order]
             for q in asked:
-                able = (estimate(sig[ours], sig[q]) >= least) & (comps[ours] != comps[q])
+                able = comps[ours] != comps[q]
+                able[able] = bands[q, (bands[ours[able]] == bands[q]).argmax(axis=1)] == key
+                able[able] = estimate(sig[ours[able]], sig[q]) >= least
                 if not able.any():
                     continue
                 lo, hi = np.searchsorted(flat, sets[q], "left"), np.searchsorted(flat, sets[q], "right")
@@ -171,13 +175,14 @@ def _block_links(percent: int, least: float):
     return run
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, bands: int = 32, rows: int = 4, pivot_rounds: int = 3, block: int = 2048) -> DataFrame:
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, pivot_rounds: int = 2, block: int = 1024) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, kept.
 
     Two documents are linked if their shingle sets have a Jaccard similarity
-    of at least ``percent``/100; component_id is the smallest id reachable. A
-    band pattern of 32 x 4 misses a pair at exactly 0.8 with probability 5e-8
-    and closer ones more rarely.
+    of at least ``percent``/100; component_id is the smallest id reachable.
+    40 bands of 5 miss a pair at exactly 0.8 with probability 1e-7 and closer
+    ones more rarely. Longer bands, with more of them, keep chance meetings of
+    unlike documents few as the corpus grows.
 
     1. Signatures of all rows; rows with equal sets fall into one class.
     2. Classes that share a band key form a bucket. No bucket is expanded into
@@ -186,7 +191,7 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        Signatures discard hopeless pairs; the rest are confirmed on full sets.
     3. What stays apart in a bucket after the rounds is settled exactly: by
        pairs where those are few, else in blocks of ``block`` members against
-       the members outside the largest component.
+       blocks of as many of those outside the largest component.
 
     A document without words, or null, has no shingles and is linked with
     nothing; one with fewer words than a shingle has its whole sequence as
@@ -198,18 +203,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     least = lowest_estimate(percent, bands * rows)
     sig = cut(signatures(docs, id_col, text_col, words, bands, rows), "signatures")
     live = sig.where("n_shingles > 0 AND id IS NOT NULL")
-    classes = cut(live.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
-    keyed = classes.select("id", F.explode("bands").alias("key"))
+    classes = cut(live.groupBy("h1", "h2").agg(F.min("id").alias("id"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"), F.first("sig").alias("sig")), "classes")
+    keyed = classes.select("id", "n", F.explode("bands").alias("key"))
     shared = keyed.groupBy("key").agg(F.count("*").alias("m")).where("m > 1")
-    bucket = cut(keyed.join(shared, "key").select("key", "id", "m").distinct(), "buckets")
+    bucket = cut(keyed.join(shared, "key").select("key", "id", "n").distinct(), "buckets")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(bucket.select("id").distinct(), "id", "left_semi")
     sets = cut(_sets(texts, words), "sets")
     none = docs.sparkSession.createDataFrame([], f"a {kind}, b {kind}")
     edges, tested, labels = none, none, None
 
     def open_buckets() -> DataFrame:
-        """(key, id, component, m) of the buckets whose members are in more than one component."""
-        of = bucket.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"), "m") if labels is not None else bucket.select("key", "id", F.col("id").alias("component"), "m")
+        """(key, id, component, n) of the buckets whose members are in more than one component."""
+        of = bucket.join(labels.withColumnRenamed("node", "id"), "id", "left").select("key", "id", F.coalesce("component", "id").alias("component"), "n") if labels is not None else bucket.select("key", "id", F.col("id").alias("component"), "n")
         mixed = of.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 < c1").select("key")
         return cut(of.join(mixed, "key", "left_semi"), "open")
 
@@ -225,15 +230,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         ordered = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(tested, ["a", "b"], "left_anti")
         return _similar(ordered, classes, least)
 
+    # sets of too different sizes cannot be similar enough
+    apart = (F.col("component") != F.col("cb")) & (100 * F.least("n", "nb") >= percent * F.greatest("n", "nb"))
     for turn in range(pivot_rounds):
         now = open_buckets()
         if now.isEmpty():
             break
-        # a mask that differs by bucket and round makes the least id an arbitrary one
-        mask = F.xxhash64("key", F.lit(turn)) if kind == "bigint" else F.lit(0).cast("bigint")
-        order: Column = F.col("id").bitwiseXOR(mask) if kind == "bigint" else F.xxhash64("id", "key", F.lit(turn))
-        pivots = now.groupBy("key").agg(F.min_by(F.struct("id", "component"), order).alias("p")).select("key", F.col("p.id").alias("b"), F.col("p.component").alias("cb"))
-        pairs = candidates(now.join(pivots, "key").where("component <> cb").select(F.col("id").alias("a"), "b"))
+        # one order of all ids for each round: buckets with the same members then have the same pivot, and pairs repeat instead of adding up
+        order = F.xxhash64("id", F.lit(turn))
+        pivots = now.groupBy("key").agg(F.min_by(F.struct("id", "component", "n"), order).alias("p")).select("key", F.col("p.id").alias("b"), F.col("p.component").alias("cb"), F.col("p.n").alias("nb"))
+        pairs = candidates(now.join(pivots, "key").where(apart).select(F.col("id").alias("a"), "b"))
         if turn == 0:  # one partner each: most of a large group is joined by these
             far = F.struct("est", "other")
             each = pairs.select("a", F.col("b").alias("other"), "est").unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("other"), "est"))
@@ -242,18 +248,18 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         settle(pairs.select("a", "b"))
     now = open_buckets()
     if not now.isEmpty():
-        per = now.groupBy("key", "component").agg(F.count("*").alias("n"))
-        top = per.groupBy("key").agg(F.max_by("component", F.struct("n", "component")).alias("top"), F.sum("n").alias("all"), F.max("n").alias("most"))
+        per = now.groupBy("key", "component").agg(F.count("*").alias("c"))
+        top = per.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.max("c").alias("most"))
         sides = cut(now.join(top, "key").withColumns({"query": F.col("component") != F.col("top"), "few": (F.col("all") - F.col("most")) * F.col("all") <= 256}), "sides")
         few = sides.where("few")
-        other = few.select("key", F.col("id").alias("b"), F.col("component").alias("cb"))
-        settle(candidates(few.where("query").join(other, "key").where("component <> cb").select(F.col("id").alias("a"), "b")).select("a", "b"))
-        many = sides.where("NOT few").withColumn("blocks", F.ceil(F.col("all") / block).cast("int"))
+        other = few.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
+        settle(candidates(few.where("query").join(other, "key").where(apart).select(F.col("id").alias("a"), "b")).select("a", "b"))
+        many = sides.where("NOT few").withColumns({"blocks": F.ceil(F.col("all") / block).cast("int"), "askings": F.ceil((F.col("all") - F.col("most")) / block).cast("int")})
         if not many.isEmpty():
-            members = many.select("key", "id", "component", F.lit(False).alias("query"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("part"))
-            asked = many.where("query").select("key", "id", "component", F.lit(True).alias("query"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"))
-            full = members.unionByName(asked).join(sets, "id").join(classes.select("id", "sig"), "id")
-            new = cut(full.groupBy("key", "part").applyInArrow(_block_links(percent, least), f"a {kind}, b {kind}").distinct(), "links")
+            members = many.select("key", "id", "component", F.lit(False).alias("query"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("askings") - 1)).alias("asking"))
+            asked = many.where("query").select("key", "id", "component", F.lit(True).alias("query"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.pmod(F.xxhash64("id"), "askings").cast("int").alias("asking"))
+            full = members.unionByName(asked).join(sets, "id").join(classes.select("id", "sig", "bands"), "id")
+            new = cut(full.groupBy("key", "part", "asking").applyInArrow(_block_links(percent, least), f"a {kind}, b {kind}").distinct(), "links")
             edges = edges.unionByName(new)
             if not new.isEmpty():
                 labels = components(edges)
