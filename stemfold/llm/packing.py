@@ -122,7 +122,7 @@ def _wide(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u2" if blob[0] == 2 else "<u4", offset=1).astype("<u4")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 2048, end_id: int = 1, sample: int = 50_000) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 2048, end_id: int = 1, sample: int = 50_000, range_ids: int = 4_000_000) -> DataFrame:
     """One row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     All documents stand in order of (Hilbert key, hash of id, id) as one
@@ -130,19 +130,22 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     multiple of ``length``. Only the last sequence can be short.
 
     The order is a range partitioning: splitters come from about ``sample``
-    keys, so a key that many documents share is split by id too. One
+    keys weighed by their ids, so that a range has about ``range_ids`` ids at
+    any size, and a key that many documents share is split by id too. One
     small aggregate gives the ids in each range; from these sums each range
     knows where in the stream it starts, and ids are shuffled once.
 
-    A null or empty text is ``end_id`` alone; a null id sorts first; repeated
+    A null or empty text is ``end_id`` alone; a null id has the hash of null; repeated
     rows are packed each. Extra columns are not read.
     """
     spark = docs.sparkSession
     rows = cut(tokenized(docs, id_col, text_col, tokenizer_path, end_id).withColumn("tie", F.xxhash64("id")), "tokens")
-    parts = n_parts(spark)
-    drawn = hash_sample(rows.select("key", "tie"), sample, "tie", "key").toPandas()
-    ordered = sorted(zip(drawn["key"].tolist(), drawn["tie"].tolist(), strict=True))
-    splitters = sorted({ordered[len(ordered) * k // parts] for k in range(1, parts)}) if ordered else []
+    total = rows.agg(F.sum("n")).first()[0] or 0
+    parts = max(n_parts(spark), -(-total // range_ids))
+    drawn = hash_sample(rows.select("key", "tie", "n"), max(sample, 16 * parts), "tie", "key").toPandas().sort_values(["key", "tie"])
+    # splitters stand at equal shares of ids, not of documents
+    at = np.searchsorted(drawn["n"].cumsum().to_numpy(), np.arange(1, parts) * (drawn["n"].sum() / parts)) if len(drawn) else np.zeros(0, np.int64)
+    splitters = sorted({(int(drawn["key"].iat[k]), int(drawn["tie"].iat[k])) for k in at})
     keys, ties = (np.array([s[k] for s in splitters], np.int64) for k in (0, 1))
 
     def ranged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
