@@ -500,6 +500,43 @@ def test_image_copies_are_found(spark):
     assert I.find_copies(broken, broken).count() == 0
 
 
+def test_every_image_and_query_has_its_class(spark):
+    """A large group of one picture with noise: each member's own crop leads to it through the rows of one result."""
+    e = spark.read.parquet(f"{TINY}/embeddings.parquet").where("vec_id < 40")
+    hot = np.array(e.where("vec_id = 0").first()["embedding"])
+    rng = np.random.default_rng(3)
+    noisy = spark.createDataFrame([(1000 + k, [float(x) for x in hot + rng.normal(0, 0.01 * hot.std(), len(hot))]) for k in range(40)], "vec_id bigint, embedding array<double>")
+    vectors = e.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).unionByName(noisy)
+    asked = I.rendered(vectors.where("vec_id >= 1000"), "vec_id", "embedding", edit=True).cache()
+    again = asked.where("id = 1003").select((F.col("id") + 5000).alias("id"), "image")
+    got = I.copies_and_members(I.rendered(vectors, "vec_id", "embedding"), asked.unionByName(again)).toPandas()
+    image, query, pair = (got[got.kind == k] for k in ("image", "query", "pair"))
+    group, name = dict(zip(image.id, image.class_id, strict=True)), dict(zip(query.id, query.query_id, strict=True))
+    assert len(image) == 80 and set(group) == {*range(40), *range(1000, 1040)} and len(query) == 41 and name[6003] == 1003
+    assert sum(group[k] == 0 for k in range(1000, 1040)) >= 36
+    met = set(zip(pair.query_id, pair.class_id, strict=True))
+    assert sum((name[k], group[k]) in met for k in range(1000, 1040)) >= 36
+    sizes = image.groupby("class_id").size()
+    assert all(sizes[r.class_id] == r.class_size for r in pair.itertuples())
+
+
+def test_groups_do_not_drift(spark):
+    """Image 3 agrees with 2 and 2 with 1, but 3 does not with 1, which would stand for it."""
+    rng = np.random.default_rng(2)
+
+    def some(n, row):
+        out = np.zeros(n, I.CORNER)
+        out["x"], out["y"], out["scale"] = 20 + 12 * np.arange(n), 20 + 30 * row, 1
+        out["bits"], out["weak"] = rng.integers(0, 256, out["bits"].shape), np.arange(I.WEAK)
+        return out
+
+    two = some(24, 0)
+    one = np.concatenate([two[:6], some(8, 1), two[12:22]])
+    three = np.concatenate([two[6:12], some(8, 2), two[14:24]])
+    df = spark.createDataFrame([(k, 1, x.tobytes()) for k, x in ((1, one), (2, two), (3, three))], "class_id bigint, class_size bigint, corners binary")
+    assert {(r["class_id"], r["group_id"]) for r in I.group_images(df).collect()} - {(3, 3)} == {(1, 1), (2, 1)}
+
+
 def test_images_round_trip():
     x = np.arange(12, dtype=np.uint8).reshape(3, 4)
     assert (I.decode_pgm(I.encode_pgm(x)) == x).all()
