@@ -438,6 +438,45 @@ def test_cross_entropy_difference(docs, corpus, empty, spark):
     assert lm.cross_entropy_difference(docs, target.limit(0)).toPandas().score.notna().all()
 
 
+def test_rare_scripts_are_scored_by_their_wording(spark):
+    """More characters than VOCABULARY, most texts in one script: texts in another still have losses of their own."""
+    rng = random.Random(6)
+    greek = [chr(0x3B1 + k) for k in range(24)]
+    word = lambda letters: "".join(rng.choice(letters) for _ in range(5))
+    latin = [chr(c) for c in (*range(0x21, 0x7F), *range(0xC0, 0x100))]
+    rows = [(k, " ".join(word(latin) for _ in range(60))) for k in range(60)]
+    rows += [(100, "αβγδε " * 6), (101, "αβγδε " * 5), (102, "κλμνξ " * 6), (103, "".join(greek) + "漢字\U0001f600")]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r["doc_id"]: r for r in lm.cross_entropy_difference(df, spark.createDataFrame([(100,), (3,)], "doc_id bigint")).collect()}
+    size = max(lm.VOCABULARY, len({c for _, t in rows for c in t}) + 2)
+    assert size > 150 and len(got) == len(rows)
+
+    def model(texts):
+        follow = collections.defaultdict(collections.Counter)
+        for t in texts:
+            s = ["", "", *t, ""]
+            for k in range(2, len(s)):
+                for row in ((), (s[k - 1],), (s[k - 2], s[k - 1])):
+                    follow[row][s[k]] += 1
+
+        def loss(t):
+            s, out = ["", "", *t, ""], 0
+            for k in range(2, len(s)):
+                p = 1 / size
+                for row in ((), (s[k - 1],), (s[k - 2], s[k - 1])):
+                    kinds = max(1, len(follow[row]))
+                    p = (follow[row][s[k]] + kinds * p) / (sum(follow[row].values()) + kinds)
+                out -= np.log(p)
+            return out / (len(s) - 2)
+
+        return loss
+
+    tgt, bg = model([t for i, t in rows if i in (100, 3)]), model([t for _, t in rows])
+    for i, t in rows:
+        assert (got[i]["n_tokens"], got[i]["target_loss"], got[i]["background_loss"]) == (len(t) + 1, pytest.approx(tgt(t)), pytest.approx(bg(t)))
+    assert got[101]["score"] < got[102]["score"] - 1
+
+
 # --- 10 ---------------------------------------------------------------------
 
 
