@@ -1,4 +1,4 @@
-"""Benchmark decontamination by greedy string tiling with running Karp-Rabin hashes."""
+"""Benchmark decontamination by greedy string tiling with hashes of all runs of words."""
 
 from __future__ import annotations
 
@@ -104,14 +104,19 @@ class Block:
     item: np.ndarray
     place: np.ndarray
     table: np.ndarray
+    #: Items of fewer words than a seed, by their number of words: the hash of all of them, and their ids.
+    short: dict[int, tuple[np.ndarray, list]]
 
     @classmethod
     def of(cls, rows: list[tuple], k: int) -> Block:
-        ids, words = [], []
+        ids, words, whole = [], [], {}
         for i, text in rows:
             w, _ = word_hashes([normal(text)])
             if len(w) >= k:
                 ids.append(i), words.append(w)
+            elif len(w):
+                whole.setdefault(len(w), []).append((seed_hashes(w, len(w))[0], i))
+        short = {m: (np.array([h for h, _ in found], np.uint64), [i for _, i in found]) for m, found in whole.items()}
         seeds = [seed_hashes(w, k) for w in words]
         flat = np.concatenate([np.zeros(0, np.uint64), *seeds])
         item = np.repeat(np.arange(len(ids)), [len(s) for s in seeds]).astype(np.int64)
@@ -119,10 +124,13 @@ class Block:
         order = np.argsort(flat, kind="stable")
         table = np.zeros(1 << TRY_BITS, bool)
         table[flat >> np.uint64(64 - TRY_BITS)] = True
-        return cls(ids, words, flat[order], item[order], place[order], table)
+        return cls(ids, words, flat[order], item[order], place[order], table, short)
 
     def search(self, text: np.ndarray, k: int, threshold: float) -> Iterator[tuple[object, float, int, int]]:
         """(item id, coverage, tiles, words covered) of the items covered enough by the words of one text."""
+        for m, (hashes, ids) in self.short.items():
+            for i in np.flatnonzero(np.isin(hashes, seed_hashes(text, m))):
+                yield ids[i], 1.0, 1, m
         seeds = seed_hashes(text, k)
         tried = np.unique(seeds[self.table[seeds >> np.uint64(64 - TRY_BITS)]])
         lo, hi = (np.searchsorted(self.seeds, tried, side) for side in ("left", "right"))
@@ -161,8 +169,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     up among the block's seeds; items whose shared seeds could cover enough
     are tiled. Words are lower-cased, without ASCII punctuation.
 
-    Null texts count as empty. An item of fewer than ``min_match`` words has no
-    seed and is never found. A row with a null id is searched like any other;
+    Null texts count as empty. An item of fewer than ``min_match`` words has
+    one seed of all its words and is found whole; one without words is not. A row with a null id is searched like any other;
     repeated rows and repeated items give repeated pairs only if their texts
     differ in the case of items. Extra columns are not read.
     """

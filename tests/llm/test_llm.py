@@ -292,6 +292,14 @@ def test_contaminated(spark, docs, empty):
     assert normal("É, Ab-c") == "é  ab c".encode()
 
 
+def test_short_benchmark_items_are_found_whole(spark):
+    docs = spark.createDataFrame([(1, "so One, two THREE it is"), (2, "one two four three"), (3, "three"), (4, None), (5, "a b c d")], "doc_id bigint, text string")
+    bench = spark.createDataFrame([(7, "one two three"), (8, "three"), (9, " . "), (10, "b c d"), (11, "B C, d")], "item_id bigint, text string")
+    got = {(r["doc_id"], r["item_id"], r["coverage"], r["n_tiles"], r["n_words"]) for r in contaminated(docs, bench).collect()}
+    assert got == {(1, 7, 1.0, 1, 3), (1, 8, 1.0, 1, 1), (2, 8, 1.0, 1, 1), (3, 8, 1.0, 1, 1), (5, 10, 1.0, 1, 3), (5, 11, 1.0, 1, 3)}
+    assert [r["doc_id"] for r in drop_contaminated(docs, bench).collect()] == [4]
+
+
 # --- 7 ----------------------------------------------------------------------
 
 
