@@ -573,15 +573,50 @@ def test_groups_do_not_drift(spark):
 
     def some(n, row):
         out = np.zeros(n, I.CORNER)
-        out["x"], out["y"], out["scale"] = 20 + 12 * np.arange(n), 20 + 30 * row, 1
-        out["bits"], out["weak"] = rng.integers(0, 256, out["bits"].shape), np.arange(I.WEAK)
+        out["x"], out["y"] = 20 + 12 * np.arange(n), 20 + 30 * row
+        out["bits"] = rng.integers(0, 256, out["bits"].shape)
         return out
 
     two = some(24, 0)
-    one = np.concatenate([two[:6], some(8, 1), two[12:22]])
-    three = np.concatenate([two[6:12], some(8, 2), two[14:24]])
-    df = spark.createDataFrame([(k, 1, x.tobytes()) for k, x in ((1, one), (2, two), (3, three))], "class_id bigint, class_size bigint, corners binary")
-    assert {(r["class_id"], r["group_id"]) for r in I.group_images(df).collect()} - {(3, 3)} == {(1, 1), (2, 1)}
+    one, three = np.concatenate([two[:13], some(11, 1)]), np.concatenate([some(11, 2), two[11:]])
+    assert I.same_place(one, two) >= 0.5 and I.same_place(two, three) >= 0.5 and I.same_place(one, three) < 0.5
+    rows = [(k, x.tobytes(), I.spots(x).tolist()) for k, x in ((1, one), (2, two), (3, three), (4, two[:0]), (5, some(24, 3)))]
+    df = spark.createDataFrame(rows, "no bigint, corners binary, spots array<bigint>")
+    assert {(r["no"], r["group"]) for r in I.group_images(df, df).collect()} - {(3, 3)} == {(1, 1), (2, 1)}
+
+
+def test_recall_on_all_queries_and_brute_force(spark):
+    """What the tables find against a comparison of every query with every image."""
+    e = spark.read.parquet(f"{TINY}/embeddings.parquet")
+    rows = e.orderBy("vec_id").collect()
+    image = I.render(np.array([r["embedding"] for r in rows]))
+    known = dict(zip((r["vec_id"] for r in rows), (c for c, _ in I._described(list(image))), strict=True))
+    asked = {r["vec_id"]: I.corners(I.edited(x, r["vec_id"])[None])[0][0] for r, x in zip(rows, image, strict=True) if r["vec_id"] % 20 == 0}
+    brute = {(q, k) for q, a in asked.items() for k, b in known.items() if I.consensus(a, b, least=7)[0] >= 7}
+    got = I.find_copies(I.rendered(e, "vec_id", "embedding"), I.rendered(e.where("vec_id % 20 = 0"), "vec_id", "embedding", edit=True)).toPandas()
+    found = set(zip(got.query_id, got.class_id, strict=True))
+    assert found <= brute and len(found) >= 0.9 * len(brute)
+    assert sum((q, q) in found for q in asked) >= 0.9 * len(asked)
+
+
+def test_images_of_other_sizes_ties_and_repeats(spark):
+    rng = np.random.default_rng(5)
+    large = np.kron(rng.integers(0, 256, (60, 75)), np.ones((12, 12))).astype(np.uint8)  # 720 x 900, many equal corners
+    large = np.clip(large + rng.normal(0, 2, large.shape), 0, 255).astype(np.uint8)
+    flat, thin = np.full((50, 50), 9, np.uint8), np.arange(60, dtype=np.uint8)[None]
+    tiles = np.tile(np.array([[0, 255], [255, 0]], np.uint8).repeat(8, 0).repeat(8, 1), (6, 6))  # ties everywhere
+    rows = [(1, large), (2, large), (2, large), (3, flat), (4, thin), (5, tiles), (6, large[100:500, 200:700]), (6, flat)]
+    data = [(k, I.encode_pgm(x), "k", 1, 2) for k, x in rows]
+    df = spark.createDataFrame(data, "id bigint, image binary, key string, no int, row int").repartition(3)
+    groups = I.image_groups(df, "id", "image").toPandas()
+    assert sorted(groups.id) == [1, 2, 2, 3, 4, 5, 6, 6]
+    assert set(groups[groups.id.isin([1, 2])].group_id) == {1} and sorted(groups[groups.id == 6].group_id) == [3, 6]
+    got = I.find_copies(df, df.where("id = 6")).toPandas()
+    pairs = {(r.query_id, r.class_id): r.class_size for r in got.itertuples()}
+    assert pairs[6, 1] == 3 and (6, 6) in pairs
+    first = I.corners(np.stack([tiles, tiles]))
+    assert (first[0][0] == first[1][0]).all() and len(I.corners(thin[None])[0][0]) == 0
+    assert I.find_copies(df, df.limit(0)).count() == 0
 
 
 def test_images_round_trip():
