@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stemfold.llm.decontaminate import contaminated
 from stemfold.llm.html import extract_text
-from stemfold.llm.images import copies_and_members, rendered
+from stemfold.llm.images import copies_and_members, read_edited, read_vectors
 from stemfold.llm.lm import cross_entropy_difference
 from stemfold.llm.neardup import near_duplicates
 from stemfold.llm.packing import pack_documents
@@ -34,7 +34,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 def op1_image_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All vectors as images; the queries are edited crops of those whose id is divisible by 20. Pairs, and the members of both sides."""
     vectors = table(spark, sf_dir, "embeddings")
-    return copies_and_members(rendered(vectors, "vec_id", "embedding"), rendered(vectors.where("vec_id % 20 = 0"), "vec_id", "embedding", edit=True))
+    return copies_and_members(vectors, vectors.where("vec_id % 20 = 0"), "vec_id", "embedding", read=read_vectors, read_query=read_edited)
 
 
 def op2_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -400,6 +400,51 @@ def test_main_text_of_marked_articles(spark):
         assert got[r["page_id"]] == "\n".join(x for x in (" ".join(unescape(y).split()) for y in lines) if x)
 
 
+FILL = "<p>" + "</p><p>".join(f"Sentence number {k} of the article, with words enough to be one." for k in range(6)) + "</p>"
+
+
+@pytest.mark.parametrize(("inner", "kept"), [
+    ('<div class="byline">By Ann Author</div>', True), ('<p class="social-science">A field of study.</p>', True), ("<p>So <math><mi>x</mi> = 1</math> holds.</p>", True),
+    ('<div class="entry-header"><h2>Part two</h2></div>', True), ('<div class="text-wrapper no-sidebar"><p>More of it.</p></div>', True), ("<p>See <a href=/b/>this page</a> too.</p>", True),
+    ('<div class="article-sidebar"><p>Most read today</p></div>', False), ('<div class="post-comments"><p>I liked this article a lot, and I say so here.</p></div>', False),
+    ('<div class="adContainer">Buy one now!</div>', False), ("<aside>Also of interest</aside>", False), ('<div id="related-posts"><article><p>Another story</p></article></div>', False), ("<form><p>Your mail, please.</p></form>", False),
+])
+def test_parts_of_an_article(inner, kept):
+    from html import unescape
+
+    text = " ".join(unescape(re.sub("<[^>]*>", "", inner)).split())
+    for name in ("article", 'div class="comment-article"', 'div id="content"'):
+        got = H.main_text(f"<body><nav><a href=/>Home</a></nav><{name}>{FILL}{inner}{FILL}</{name.split()[0]}><footer>me</footer></body>", H.PRIOR)
+        assert (text in got) == kept and got.count("Sentence number") == 12 and "Home" not in got
+
+
+def test_a_form_may_hold_the_page():
+    assert H.main_text(f"<form><nav>Menu</nav><main>{FILL}</main></form>", H.PRIOR).count("Sentence") == 6
+
+
+@pytest.mark.parametrize("page", ["<div " * 200_000, "<p class='" * 100_000, '<a "' * 250_000, '<a ">"' * 170_000, "<" * 1_000_000, "<div>" * 200_000, "<i><p>" + "<b>" * 100_000 + "</i>" * 100_000, "<!--" * 250_000, "<p>some words here.</p>" * 45_000])
+def test_time_is_in_proportion_to_the_page(page):
+    import time
+
+    began = time.process_time()
+    H.main_text(page, H.PRIOR)
+    assert time.process_time() - began < 6
+
+
+def test_without_names_the_cut_finds_the_article(spark):
+    """All elements and names that say anything become plain: text, place and the cut are left, and the cut overrules the classifier."""
+    pages = spark.read.parquet(f"{TINY}/pages.parquet")
+    own = H.fit_blocks(pages, "html")
+    exact = flips = 0
+    rows = pages.collect()
+    for r in rows:
+        plain = re.sub(r"<(/?)(?:nav|article|footer)\b", r"<\1div", r["html"]).replace(' class="ad"', "")
+        exact += H.main_text(plain, own) == H.main_text(r["html"], own)
+        page = H.read_page(plain)
+        flips += sum((g > 0) != x for g, x in zip(H.gains(page.blocks, H.PRIOR), H.label_blocks(page, H.PRIOR), strict=True))
+    assert exact >= 0.9 * len(rows) and flips > 0
+
+
 # --- 9 ----------------------------------------------------------------------
 
 
@@ -531,12 +576,19 @@ def test_hilbert_steps_to_a_neighbour():
 # --- 1 ----------------------------------------------------------------------
 
 
+def rendered(vectors, edit=False):
+    """(id, image): the PGM files of a table of vectors, or of edited copies."""
+    rows = [(r[0], r[1]) for r in vectors.select("vec_id", "embedding").collect()]
+    made = (I.read_edited if edit else I.read_vectors)([i for i, _ in rows], [v for _, v in rows])
+    return vectors.sparkSession.createDataFrame([(i, None if x is None else I.encode_pgm(x)) for (i, _), x in zip(rows, made, strict=True)], "id bigint, image binary").repartition(4)
+
+
 def test_image_copies_are_found(spark):
     e = spark.read.parquet(f"{TINY}/embeddings.parquet").where("vec_id < 200")
     more = e.where("vec_id < 5").withColumn("vec_id", F.col("vec_id") + 1000)
     none = e.where("vec_id = 7").select((F.col("vec_id") + 2000).alias("vec_id"), F.lit(None).cast("array<float>").alias("embedding"), "label")
-    images = I.rendered(e.unionByName(more).unionByName(none), "vec_id", "embedding")
-    asked = I.rendered(e.where("vec_id % 20 = 0"), "vec_id", "embedding", edit=True)
+    images = rendered(e.unionByName(more).unionByName(none))
+    asked = rendered(e.where("vec_id % 20 = 0"), edit=True)
     got = I.find_copies(images, asked).toPandas()
     right = got[got.query_id == got.class_id]
     assert len(right) >= 9 and len(got) - len(right) <= 1  # of 10 queries; recall of at least 0.9
@@ -554,9 +606,9 @@ def test_every_image_and_query_has_its_class(spark):
     rng = np.random.default_rng(3)
     noisy = spark.createDataFrame([(1000 + k, [float(x) for x in hot + rng.normal(0, 0.01 * hot.std(), len(hot))]) for k in range(40)], "vec_id bigint, embedding array<double>")
     vectors = e.select("vec_id", F.col("embedding").cast("array<double>").alias("embedding")).unionByName(noisy)
-    asked = I.rendered(vectors.where("vec_id >= 1000"), "vec_id", "embedding", edit=True).cache()
+    asked = rendered(vectors.where("vec_id >= 1000"), edit=True)
     again = asked.where("id = 1003").select((F.col("id") + 5000).alias("id"), "image")
-    got = I.copies_and_members(I.rendered(vectors, "vec_id", "embedding"), asked.unionByName(again)).toPandas()
+    got = I.copies_and_members(rendered(vectors), asked.unionByName(again)).toPandas()
     image, query, pair = (got[got.kind == k] for k in ("image", "query", "pair"))
     group, name = dict(zip(image.id, image.class_id, strict=True)), dict(zip(query.id, query.query_id, strict=True))
     assert len(image) == 80 and set(group) == {*range(40), *range(1000, 1040)} and len(query) == 41 and name[6003] == 1003
@@ -593,7 +645,7 @@ def test_recall_on_all_queries_and_brute_force(spark):
     known = dict(zip((r["vec_id"] for r in rows), (c for c, _ in I._described(list(image))), strict=True))
     asked = {r["vec_id"]: I.corners(I.edited(x, r["vec_id"])[None])[0][0] for r, x in zip(rows, image, strict=True) if r["vec_id"] % 20 == 0}
     brute = {(q, k) for q, a in asked.items() for k, b in known.items() if I.consensus(a, b, least=7)[0] >= 7}
-    got = I.find_copies(I.rendered(e, "vec_id", "embedding"), I.rendered(e.where("vec_id % 20 = 0"), "vec_id", "embedding", edit=True)).toPandas()
+    got = I.find_copies(rendered(e), rendered(e.where("vec_id % 20 = 0"), edit=True)).toPandas()
     found = set(zip(got.query_id, got.class_id, strict=True))
     assert found <= brute and len(found) >= 0.9 * len(brute)
     assert sum((q, q) in found for q in asked) >= 0.9 * len(asked)
