@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,65 +19,96 @@ ASSIGN = r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-
 KEYWORDS = ("password", "passwd", "secret", "token", "apikey", "api_key")
 ACCESS = r"AKIA[A-Z0-9]{12,}"
 HEX = r"[0-9a-f]{32,}"
-TOKEN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{16,}"
+TOKEN = r"[A-Za-z0-9+/_.=~-]{8,}"
 KINDS = ("assign", "access", "hex", "grammar")
 LEAST_ASSIGNED = 8
 
+LONGEST = 512
+#: What parts a candidate into parts that are candidates of their own, and what does not belong to its ends.
+PARTS, ENDS = (re.compile(r"[^=]{8,}"), re.compile(r"[^=/.~]{8,}")), "._-=/+~"
+
 _assign, _access, _hex, _token = re.compile(ASSIGN, re.I | re.A), re.compile(ACCESS), re.compile(HEX), re.compile(TOKEN)
+_run = re.compile(r"[A-Z0-9a-z]{16,}")
 
 Span = tuple[int, int, str]
 
 
-def _symbol(c: str) -> str:
-    if c.isdigit():
-        return "d"
-    if "a" <= c <= "f":
-        return "x"
-    if "g" <= c <= "z":
-        return "y"
-    return "A" if "A" <= c <= "Z" else c
-
+def merge_classes(examples: list[str], alpha: float = 0.05) -> dict[str, int]:
+    """Classes of the characters of the examples: those whose frequencies agree within Hoeffding bounds are one.
 
-SYMBOL = {c: _symbol(c) for c in map(chr, range(128))}
+    Characters are taken from the most frequent down, and each joins the class
+    before it if it agrees with that class's mean. So the digits of random
+    keys become one symbol, and the letters of a fixed prefix stay themselves.
+    """
+    count = Counter(c for x in examples for c in x)
+    total = max(1, sum(count.values()))
+    bound = math.sqrt(0.5 * math.log(2 / alpha) / total) * 2
+    out: dict[str, int] = {}
+    number, own = -1, []
+    for c, n in sorted(count.items(), key=lambda x: (-x[1], x[0])):
+        if not own or sum(own) / len(own) - n > bound * total:
+            number, own = number + 1, []
+        own.append(n)
+        out[c] = number
+    return out
+
+
+def readings(run: str) -> list[list[tuple[int, int]]]:
+    """The candidates in a maximal run of token characters, as places: the run without the marks at its ends; its parts around =; its parts between = / . and ~."""
+    start, end = len(run) - len(run.lstrip(ENDS)), len(run.rstrip(ENDS))
+    whole = [(a, b) for a, b in {(start, end), (start, len(run.rstrip(".")))} if b - a >= LEAST_ASSIGNED]
+    return [[x] for x in sorted(whole)] + [[m.span() for m in p.finditer(run)] for p in PARTS]
 
 
 @dataclass
 class Automaton:
-    """A deterministic probabilistic automaton over character classes.
+    """A deterministic probabilistic automaton over classes of characters.
 
-    ``moves[s]`` maps a symbol to (next state, log probability); ``ends[s]`` is
-    the log probability of stopping. A symbol not seen in a state costs
-    ``floor`` and leads back to the start.
+    ``moves[s]`` maps a class to (next state, log probability); ``ends[s]`` is
+    the log probability of stopping. A class's characters are equally likely.
+    What was not seen in a state costs ``floor`` and stays there.
     """
 
-    moves: list[dict[str, tuple[int, float]]]
+    classes: dict[str, int]
+    moves: list[dict[int, tuple[int, float]]]
     ends: list[float]
     floor: float
 
+    def __post_init__(self) -> None:
+        size = Counter(self.classes.values())
+        self.share = {c: (k, -math.log(size[k])) for c, k in self.classes.items()}
+        self.unseen = self.floor - math.log(64)
+
     def loss(self, text: str) -> float:
         """Mean negative log likelihood of a character, the end counted as one more."""
         state, total = 0, 0.0
         for c in text:
-            state, p = self.moves[state].get(SYMBOL.get(c, c), (0, self.floor))
-            total += p
+            kind, share = self.share.get(c, (-1, 0.0))
+            to = self.moves[state].get(kind)
+            if to is None:
+                total += self.unseen
+            else:
+                state = to[0]
+                total += to[1] + share
         return -(total + self.ends[state]) / (len(text) + 1)
 
 
-def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, floor: float = 1e-4, seen: int = 1) -> Automaton:
+def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, floor: float = 1e-4) -> Automaton:
     """Merge the states of the examples' prefix tree whose symbol and end frequencies agree within Hoeffding bounds.
 
-    States are taken breadth first. A candidate is folded into the first
-    accepted state with which it and all its descendants are compatible, else
-    it is accepted. States passed by fewer than ``least`` examples carry no
-    evidence of their own and are compared by their bounds only at their top.
-    Moves taken fewer than ``seen`` times are forgotten.
+    Symbols are the classes that merge_classes finds. States are taken breadth
+    first. A candidate is folded into the first accepted state with which it
+    and all its descendants are compatible, else it is accepted. States passed
+    by fewer than ``least`` examples carry no evidence of their own and are
+    compared by their bounds only at their top.
     """
+    classes = merge_classes(examples)
     count, ends, kids, freq = [0], [0], [{}], [{}]
     for text in examples:
         node = 0
         count[0] += 1
         for c in text:
-            s = SYMBOL.get(c, c)
+            s = classes[c]
             if s not in kids[node]:
                 kids[node][s], freq[node][s] = len(kids), 0
                 count.append(0), ends.append(0), kids.append({}), freq.append({})
@@ -131,71 +163,106 @@ def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, f
             fold(target, node)
     number = {n: k for k, n in enumerate(accepted)}
     log = lambda part, whole: math.log(max(floor, part / max(whole, 1)))
-    moves = [{s: (number[k], log(freq[n][s], count[n])) for s, k in kids[n].items() if freq[n][s] >= seen} for n in accepted]
-    return Automaton(moves, [log(ends[n], count[n]) for n in accepted], math.log(floor))
+    moves = [{s: (number[k], log(freq[n][s], count[n])) for s, k in kids[n].items()} for n in accepted]
+    return Automaton(classes, moves, [log(ends[n], count[n]) for n in accepted], math.log(floor))
 
 
 @dataclass
 class Grammar:
-    """An automaton and its typical loss for each kind of credential, and one automaton of ordinary long tokens.
+    """An automaton for each format of credentials with the loss that 99 % of its own stay within, and an automaton of ordinary tokens.
 
-    A token is a credential of a kind if its loss lies within ``band`` standard
-    errors of what the kind's own examples have, and the ordinary automaton
-    loses at least ``margin`` nats a character more.
+    A candidate's score is by how many nats a character the format that fits
+    it best beats the ordinary automaton; every candidate has one. From
+    ``margin`` on it is a credential.
     """
 
-    kinds: dict[str, tuple[Automaton, float, float]]
+    formats: dict[str, tuple[Automaton, float]]
     ordinary: Automaton
-    margin: float = 0.75
-    band: float = 4.0
+    margin: float = 0.5
+
+    def fit(self, token: str) -> tuple[float, float]:
+        """The score, -inf only if no format was learned, and by how much more than its own strings the best format loses on it."""
+        loss, most = min(((a.loss(token), most) for a, most in self.formats.values()), default=(math.inf, 0.0))
+        return self.ordinary.loss(token) - loss, max(0.0, loss - most - 1e-6)
 
     def score(self, token: str) -> float:
-        """By how many nats a character the best fitting kind beats the ordinary automaton; -inf if none fits."""
-        plain, n, best = None, math.sqrt(len(token) + 1), -math.inf
-        for automaton, mean, spread in self.kinds.values():
-            loss = automaton.loss(token)
-            if abs(loss - mean) <= self.band * spread / n:
-                plain = self.ordinary.loss(token) if plain is None else plain
-                best = max(best, plain - loss)
-        return best
-
-
-def infer_grammar(examples: dict[str, list[str]], ordinary: list[str], least_examples: int = 20) -> Grammar:
-    """``examples``: credentials by kind. A kind with too few of them gets no automaton, so it adds no spans."""
-    kinds = {}
+        return self.fit(token)[0]
+
+    def candidates(self, run: str) -> tuple[tuple[tuple[int, int], ...], float]:
+        """Where in a maximal run of token characters credentials are, and the best score of its candidates. Of the readings with credentials, that with the best fitting one counts, the first if they fit alike."""
+        best, excess, found = -math.inf, math.inf, ()
+        for places in readings(run):
+            scored = [(*self.fit(run[a:b]), a, b) for a, b in places]
+            best = max([best, *(x[0] for x in scored)])
+            own = [x for x in scored if x[0] >= self.margin]
+            if own and min(x[1] for x in own) < excess:
+                excess, found = min(x[1] for x in own), tuple((a, b) for _, _, a, b in own)
+        return found, best
+
+
+def infer_grammar(examples: dict[str, list[str]], ordinary: list[str], least_examples: int = 20, least_margin: float = 0.3) -> Grammar:
+    """``examples``: credentials by kind. Of each kind, every length with enough examples is a format, and the rest is one.
+
+    With too few of them a kind adds no format. Ordinary strings of a format's
+    length that fit it as well as nearly all of its own do are taken for unlabelled
+    credentials and left out, unless that were most of them. The margin leaves out all but a
+    thousandth of the ordinary strings that were kept from inference (every
+    third), or if that would lose more, all but 98 % of the labelled ones.
+    """
+    formats, lengths = {}, {}
     for kind, strings in sorted(examples.items()):
-        if len(strings) >= least_examples:
-            automaton = infer_automaton(sorted(strings))
-            losses = [(automaton.loss(x), len(x) + 1) for x in strings]
-            mean = sum(v * n for v, n in losses) / sum(n for _, n in losses)
-            kinds[kind] = (automaton, mean, math.sqrt(sum((v - mean) ** 2 * n for v, n in losses) / len(losses)))
-    # a token that is alone of its kind says nothing about ordinary text
-    return Grammar(kinds, infer_automaton(sorted(ordinary), seen=3))
-
-
-def labelled_credentials(docs: DataFrame, text_col: str = "text", most: int = 2000, longest: int = 512) -> tuple[dict[str, list[str]], list[str]]:
-    """Distinct credentials by kind as the base rules label them, and distinct ordinary long tokens.
-
-    Training data is bounded: about ``most`` strings of each kind, drawn by
-    hash, each of at most ``longest`` characters. Every text is
-    searched for them, and each string is counted once, however often it occurs.
+        by_length: dict[int, list[str]] = {}
+        for x in sorted(strings):
+            by_length.setdefault(len(x), []).append(x)
+        rest = [x for own in by_length.values() if len(own) < least_examples for x in own]
+        groups = {f"{kind}:{n}": own for n, own in sorted(by_length.items()) if len(own) >= least_examples}
+        if len(rest) >= least_examples:
+            groups[kind] = rest
+        for name, own in groups.items():
+            automaton = infer_automaton(own)
+            losses = sorted(map(automaton.loss, own))
+            formats[name] = automaton, losses[int(0.99 * len(losses))]
+            if own is not rest:
+                lengths[name] = len(own[0])
+    kept = sorted(ordinary)
+    for name, length in lengths.items():
+        automaton, most = formats[name]
+        left = [x for x in kept if all(j - i != length or automaton.loss(x[i:j]) > most + 1e-6 for places in readings(x) for i, j in places)]
+        if 2 * len(left) >= len(ordinary):
+            kept = left
+    out = Grammar(formats, infer_automaton([x for k, x in enumerate(kept) if k % 3]), least_margin)
+    if formats and kept:
+        plain = sorted(out.score(x) for x in kept[::3])
+        own = sorted(out.score(x) for strings in examples.values() for x in strings)
+        out.margin = max(least_margin, min(plain[int(0.999 * len(plain))] + 0.05, own[int(0.02 * len(own))]))
+    return out
+
+
+def labelled_credentials(docs: DataFrame, text_col: str = "text", most: int = 2000, longest: int = LONGEST, most_ordinary: int = 6000, ordinary_docs: int = 4000) -> tuple[dict[str, list[str]], list[str]]:
+    """Distinct credentials by kind as the base rules label them, without their keywords, and distinct ordinary candidates.
+
+    Training data is bounded, each string by ``longest`` characters. Every
+    text is searched for credentials, of which about ``most`` of each kind are
+    drawn by hash; about ``most_ordinary`` ordinary strings are drawn from
+    about ``ordinary_docs`` texts drawn by hash. Each string is counted once,
+    however often it occurs.
     """
-    java = lambda pattern, group: F.regexp_extract_all(F.col(text_col), F.lit(pattern), F.lit(group))
-    found = F.array(
-        F.struct(F.lit("assign").alias("kind"), F.filter(java(f"(?i){ASSIGN}", 2), lambda x: F.length(x) >= LEAST_ASSIGNED).alias("found")),
-        F.struct(F.lit("long").alias("kind"), java(TOKEN, 0).alias("found")),
-    )
-    rows = docs.select(F.explode(found).alias("x")).select("x.kind", F.explode("x.found").alias("value")).where(F.length("value") <= longest)
-    kind = F.when(F.col("kind") == "assign", "assign").when(F.col("value").rlike(ACCESS), "access").when(F.col("value").rlike(HEX), "hex").otherwise("ordinary")
-    distinct = cut(rows.select(kind.alias("kind"), "value").distinct(), "credentials")
+    text = F.col(text_col)
+    found = lambda pattern, group: F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
+    kinds = {"assign": F.filter(found(f"(?i){ASSIGN}", 2), lambda x: F.length(x) >= LEAST_ASSIGNED), "access": found(ACCESS, 0), "hex": found(HEX, 0)}
+    rows = docs.select(F.explode(F.array(*(F.struct(F.lit(k).alias("kind"), v.alias("found")) for k, v in kinds.items()))).alias("x")).select("x.kind", F.explode("x.found").alias("value"))
+    distinct = cut(rows.where(F.length("value") <= longest).distinct(), "credentials")
     out: dict[str, list[str]] = {}
-    for name in ("assign", "access", "hex", "ordinary"):
+    for name in kinds:
         some = hash_sample(distinct.where(F.col("kind") == name), most, "value").collect()  # about ``most`` strings
         if some:
             out[name] = sorted(r["value"] for r in some)
-    ordinary = out.pop("ordinary", [])
-    assigned = set(out.get("assign", []))
-    return out, [x for x in ordinary if x not in assigned]
+    drawn = hash_sample(docs.select(text.alias("text")).where(text.isNotNull()), ordinary_docs, "text")
+    runs = F.regexp_extract_all("text", F.lit(TOKEN), F.lit(0))
+    plain = drawn.select(F.explode(runs).alias("value")).where((F.length("value") <= longest) & ~F.col("value").rlike(f"{ACCESS}|{HEX}")).distinct()
+    own = {x for strings in out.values() for x in strings}
+    ordinary = [r["value"].strip(ENDS) for r in hash_sample(cut(plain, "ordinary"), most_ordinary, "value").collect()]
+    return out, sorted({x for x in ordinary if len(x) >= LEAST_ASSIGNED and x not in own})
 
 
 def base_spans(text: str) -> list[Span]:
@@ -204,36 +271,47 @@ def base_spans(text: str) -> list[Span]:
     low = text.lower()
     if any(k in low for k in KEYWORDS):
         spans += [(*m.span(), "assign") for m in _assign.finditer(text) if len(m[2]) >= LEAST_ASSIGNED]
-    for t in _token.finditer(text):
-        spans += _in_token(text, *t.span())
+    # access and hex matches lie within a long run of letters and digits
+    for t in _run.finditer(text):
+        spans += [(*m.span(), kind) for kind, p in (("access", _access), ("hex", _hex)) for m in p.finditer(text, *t.span())]
     return sorted(spans, key=_order)
 
 
-def _in_token(text: str, start: int, end: int) -> list[Span]:
-    """Access and hex matches lie within a long token: their characters are token characters."""
-    return [(*m.span(), kind) for kind, p in (("access", _access), ("hex", _hex)) for m in p.finditer(text, start, end)]
-
-
 def _order(span: Span) -> tuple[int, int]:
     return span[0], KINDS.index(span[2])
 
 
+#: Words that a scanner remembers; when it is full, it starts again.
+MEMORY = 200_000
+
+
+class Scanner:
+    """Scans texts with a grammar; a run of token characters that came before is not scored again."""
+
+    def __init__(self, grammar: Grammar) -> None:
+        self.grammar = grammar
+        self.known: dict[str, tuple[tuple[tuple[int, int], ...], float]] = {}
+
+    def __call__(self, text: str) -> tuple[list[Span], float | None]:
+        """All spans of a text, those of the base rules and those that fit a learned format, and the best score of a candidate."""
+        spans, best = base_spans(text), None
+        for t in _token.finditer(text):
+            run = t[0]
+            if (got := self.known.get(run)) is None:
+                got = self.grammar.candidates(run)
+                if len(run) <= LONGEST:
+                    if len(self.known) >= MEMORY:
+                        self.known.clear()
+                    self.known[run] = got
+            if got[0]:
+                spans += [(t.start() + a, t.start() + b, "grammar") for a, b in got[0]]
+            if best is None or got[1] > best:
+                best = got[1]
+        return sorted(spans, key=_order), best
+
+
 def scan_text(text: str, grammar: Grammar) -> tuple[list[Span], float | None]:
-    """All spans of a text: the base ones, and long tokens outside them that fit a learned format. And the best score of a long token."""
-    spans: list[Span] = []
-    low = text.lower()
-    if any(k in low for k in KEYWORDS):
-        spans += [(*m.span(), "assign") for m in _assign.finditer(text) if len(m[2]) >= LEAST_ASSIGNED]
-    best = None
-    assigned = list(spans)
-    for t in _token.finditer(text):
-        inside = _in_token(text, *t.span())
-        spans += inside
-        score = grammar.score(t[0])
-        best = score if best is None else max(best, score)
-        if score >= grammar.margin and not any(a < t.end() and t.start() < b for a, b, _ in inside + assigned):
-            spans.append((*t.span(), "grammar"))
-    return sorted(spans, key=_order), best
+    return Scanner(grammar)(text)
 
 
 def redact(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
@@ -247,7 +325,9 @@ def redact(text: str, spans: list[Span], mark: str = "[SECRET]") -> str:
 
 
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", grammar: Grammar | None = None) -> DataFrame:
-    """One row for each row: id, spans (start, end, kind) of its whole text, and the best format score of its long tokens.
+    """One row for each row: id, spans (start, end, kind) of its whole text, and the best format score of its candidates.
+
+    Every run of token characters is scored, in and outside of what the base rules find.
 
     A null text counts as empty; a row with a null id is scanned like any
     other; repeated rows give repeated results. Extra columns are not read.
@@ -257,8 +337,9 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("kind", pa.string())]))
+        scan = Scanner(own)
         for b in batches:
-            found = [scan_text(t or "", own) for t in b.column(1).to_pylist()]
+            found = [scan(t or "") for t in b.column(1).to_pylist()]
             spans = [[{"start": s, "end": e, "kind": k} for s, e, k in x] for x, _ in found]
             yield pa.record_batch([b.column(0), pa.array(spans, kind), pa.array([v for _, v in found], pa.float64())], names=[id_col, "spans", "score"])
 
@@ -266,15 +347,21 @@ def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact_secrets(docs: DataFrame, text_col: str = "text", length_col: str | None = None, grammar: Grammar | None = None) -> DataFrame:
-    """The rows of ``docs``, all columns, with every span in the text masked; ``length_col``, if given, follows the new text."""
+    """The rows of ``docs``, all columns, with every span in the text masked; ``length_col``, if given, follows the new text.
+
+    Null and empty texts, and rows without spans, stay as they are; null ids and
+    repeated rows are rows like any others; an empty table stays empty. Other
+    columns pass through whatever their names.
+    """
     own = grammar or infer_grammar(*labelled_credentials(docs, text_col))
     at, n_at = docs.columns.index(text_col), docs.columns.index(length_col) if length_col else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scan = Scanner(own)
         for b in batches:
             columns = b.columns
             old = b.column(at).to_pylist()
-            new = [t and redact(t, scan_text(t, own)[0]) for t in old]
+            new = [t and redact(t, scan(t)[0]) for t in old]
             columns[at] = pa.array(new, columns[at].type)
             if n_at is not None:
                 columns[n_at] = pa.array([n if x == y else len(y) for n, x, y in zip(b.column(n_at).to_pylist(), old, new, strict=True)], columns[n_at].type)
