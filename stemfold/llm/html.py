@@ -381,7 +381,7 @@ def _logistic(x: np.ndarray, y: np.ndarray, prior: np.ndarray, ridge: float, off
 
 
 def fit_blocks(pages: DataFrame, html_col: str, most: int = 1000) -> np.ndarray:
-    """Weights of a block's features from about ``most`` pages drawn by hash: one row for each distinct page that a draw can take.
+    """Weights of a block's features from about ``most`` pages drawn by hash, each of them once.
 
     Labels come from where the bulk of a page's text is, so neither from
     tags nor from names. The text's weights are fitted first, without marks,
@@ -389,7 +389,7 @@ def fit_blocks(pages: DataFrame, html_col: str, most: int = 1000) -> np.ndarray:
     where the pages say nothing.
     """
     text = F.col(html_col)
-    some = hash_sample(pages.select(text.alias("html")).where(text.isNotNull()).distinct(), most, "html")
+    some = hash_sample(pages.select(text.alias("html")).where(text.isNotNull()), most, "html").distinct()
     x, y = [], []
     for r in some.toLocalIterator():
         page = read_page(r[0])
