@@ -127,32 +127,42 @@ def level_hierarchy(df: DataFrame, seed: int, levels: list[tuple[str, list[str],
     return df
 
 
-def weighted_draw(draws: DataFrame, weighted: DataFrame, item: str, weight: str, p: str, buckets: int = 1024) -> DataFrame:
+def weighted_draw(draws: DataFrame, weighted: DataFrame, item: str, weight: str, p: str, buckets: int | None = None) -> DataFrame:
     """Give each draw the item in whose share of [0, 1) its uniform ``p`` falls: a weighted draw with replacement.
 
     Shares are cumulated in order of item. To avoid a nested loop, [0, 1) is
-    cut into buckets; each share is listed under every bucket that it touches,
-    and draws meet shares in an equi-join on the bucket. Running sums are
-    taken within blocks of items, whose totals are few.
+    cut into ``buckets``, by default about one for each item, so that a bucket
+    has few shares at any size; each share is listed under every bucket that
+    it touches, at most items and buckets together, and draws meet shares in
+    an equi-join on the bucket. A null weight counts as 0.
     """
     items = weighted.select(F.col(item).alias("item"), F.col(weight).cast("double").alias("w")).where("w > 0")
+    n = buckets or max(1024, items.count())
     bounds = running_share(items)
-    listed = bounds.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("lo") * buckets).cast("int"), F.least(F.floor(F.col("hi") * buckets), F.lit(buckets - 1)).cast("int"))))
-    asked = draws.withColumn("bucket", F.floor(F.col(p) * buckets).cast("int"))
+    listed = bounds.withColumn("bucket", F.explode(F.sequence(F.floor(F.col("lo") * n).cast("long"), F.least(F.floor(F.col("hi") * n), F.lit(n - 1)).cast("long"))))
+    asked = draws.withColumn("bucket", F.floor(F.col(p) * n).cast("long"))
     return asked.join(listed, "bucket").where((F.col(p) >= F.col("lo")) & (F.col(p) < F.col("hi"))).drop("bucket", "lo", "hi", "w").withColumnRenamed("item", item)
 
 
-def running_share(weighted: DataFrame, blocks: int = 64) -> DataFrame:
-    """(item, w, lo, hi): each item's share of the whole in order of item.
+def running_sum(df: DataFrame, order: str, value: str, blocks: int | None = None) -> DataFrame:
+    """``df`` with the sum of ``value`` over the rows before each (before), that over all (total), and the greatest ``order`` (last).
 
-    Two levels: items are range-partitioned by splitters from their
-    quantiles, sums run within a range, and each range starts at the sum of
-    those before. The last share is open to 1.
+    Two levels: rows are cut into ``blocks`` (as many as shuffle partitions)
+    by quantiles of ``order``, which is unique; sums run within a block, and each block starts at the
+    sum of those before.
     """
-    cuts = weighted.select(F.percentile_approx("item", F.array(*[F.lit((i + 1) / blocks) for i in range(blocks - 1)]), 10_000).alias("c"))
-    ranged = weighted.crossJoin(F.broadcast(cuts)).select("item", "w", F.size(F.filter("c", lambda x: x < F.col("item"))).alias("block"))
-    own = ranged.withColumn("run", F.sum("w").over(Window.partitionBy("block").orderBy("item").rowsBetween(Window.unboundedPreceding, 0)))
-    sums = ranged.groupBy("block").agg(F.sum("w").alias("s"), F.max("item").alias("last"))
-    before = sums.select("block", (F.sum("s").over(Window.orderBy("block")) - F.col("s")).alias("before"), F.sum("s").over(Window.partitionBy()).alias("total"), F.max("last").over(Window.partitionBy()).alias("end"))
-    hi = F.when(F.col("item") == F.col("end"), 1.0).otherwise((F.col("before") + F.col("run")) / F.col("total"))
-    return own.join(F.broadcast(before), "block").select("item", "w", ((F.col("before") + F.col("run") - F.col("w")) / F.col("total")).alias("lo"), hi.alias("hi"))
+    n = blocks or max(64, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    cuts = df.select(F.percentile_approx(order, F.array(*[F.lit((i + 1) / n) for i in range(n - 1)]), 10_000).alias("_cuts"))
+    ranged = df.crossJoin(F.broadcast(cuts)).withColumn("_block", F.size(F.filter("_cuts", lambda x: x < F.col(order)))).drop("_cuts")
+    own = ranged.withColumn("_run", F.sum(value).over(Window.partitionBy("_block").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)))
+    sums = ranged.groupBy("_block").agg(F.sum(value).alias("_s"), F.max(order).alias("_last"))
+    whole = Window.partitionBy()  # as many rows as blocks
+    starts = sums.select("_block", (F.sum("_s").over(Window.orderBy("_block")) - F.col("_s")).alias("_start"), F.sum("_s").over(whole).alias("total"), F.max("_last").over(whole).alias("last"))
+    return own.join(F.broadcast(starts), "_block").withColumn("before", F.col("_start") + F.col("_run") - F.col(value)).drop("_block", "_run", "_start")
+
+
+def running_share(weighted: DataFrame) -> DataFrame:
+    """(item, w, lo, hi): each item's share of the whole in order of item. The last share is open to 1."""
+    run = running_sum(weighted.select("item", "w"), "item", "w")
+    hi = F.when(F.col("item") == F.col("last"), 1.0).otherwise((F.col("before") + F.col("w")) / F.col("total"))
+    return run.select("item", "w", (F.col("before") / F.col("total")).alias("lo"), hi.alias("hi"))

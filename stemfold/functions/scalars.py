@@ -75,18 +75,33 @@ def plain_name(value: Column) -> Column:
 # --- licences --------------------------------------------------------------
 
 
+def _license_words(name: Column) -> Column:
+    return F.concat(F.lit("-"), F.regexp_replace(F.upper(F.coalesce(name, F.lit(""))), r"[^A-Z0-9.]+", "-"), F.lit("-"))
+
+
+def _license_kind(name: Column) -> Column:
+    """free, cc (with attribution), unclear (a CC licence that does not name it) or null for anything else."""
+    n = _license_words(name)
+    is_cc = n.contains("-CC-") | n.contains("-CREATIVE-COMMONS-")
+    return F.when(is_cc & n.contains("-BY-"), "cc").when(is_cc, "unclear").when(n.contains("-ART-LIBRE-"), "free")
+
+
 def license_flags(name: Column) -> Column:
-    """(attribution, commercial, derivative, share_alike) by what the name contains; a free-art licence is by-sa."""
-    n = F.concat(F.lit("-"), F.regexp_replace(F.upper(name), r"[^A-Z0-9.]+", "-"), F.lit("-"))
-    free = F.upper(name).contains("ART LIBRE")
-    has = lambda part: n.contains(f"-{part}-")
-    return F.struct((has("BY") | free).alias("attribution"), (~has("NC") | free).alias("commercial"), (~has("ND") | free).alias("derivative"), (has("SA") | free).alias("share_alike"))
+    """(attribution, commercial, derivative, share_alike) by what the name contains; a free-art licence is by-sa.
 
+    All are null, so not granted, for names that are of no such licence and
+    for CC names without BY.
+    """
+    n, kind = _license_words(name), _license_kind(name)
+    flag = lambda part, there: F.when(kind == "free", True).when(kind == "cc", n.contains(f"-{part}-") == F.lit(there))
+    return F.struct(flag("BY", True).alias("attribution"), flag("NC", False).alias("commercial"), flag("ND", False).alias("derivative"), flag("SA", True).alias("share_alike"))
 
-def license_name(flags: Column) -> Column:
-    """The canonical name of a set of flags."""
-    part = lambda c, s: F.when(c, s)
-    return F.concat_ws("-", F.lit("CC"), part(flags["attribution"], "BY"), part(~flags["commercial"], "NC"), part(~flags["derivative"], "ND"), part(flags["share_alike"], "SA"))
+
+def license_name(name: Column) -> Column:
+    """The canonical name; a CC licence without BY is unclear, and null is a licence that is not known."""
+    flags, kind = license_flags(name), _license_kind(name)
+    parts = F.concat_ws("-", F.lit("CC"), F.when(flags["attribution"], "BY"), F.when(~flags["commercial"], "NC"), F.when(~flags["derivative"], "ND"), F.when(flags["share_alike"], "SA"))
+    return F.when(kind == "free", "Art Libre").when(kind == "unclear", "Unclear CC License").when(kind == "cc", parts)
 
 
 def usage_class(commercial: Column, derivative: Column) -> Column:
@@ -127,11 +142,6 @@ def linear(db: Column) -> Column:
     return F.pow(F.lit(10.0), db / 20)
 
 
-def decibel(x: Column) -> Column:
-    """20 log10 x, -Infinity at 0."""
-    return F.when(x > 0, 20 * F.log10(x)).otherwise(F.lit(float("-inf")))
-
-
 def apply_gain(signal: Column, db: Column) -> Column:
     return F.transform(signal, lambda x: x * linear(db))
 

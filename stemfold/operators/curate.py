@@ -28,11 +28,16 @@ def clean_annotations(df: DataFrame, root: str, token: str) -> DataFrame:
 
 
 def select_subset(df: DataFrame, subset: str, full_source: str = "full/48k") -> DataFrame:
-    """Rows of one subset. A missing subset is filled with ``subset`` for sources of ``full_source`` only; other rows without one are left out."""
+    """Rows of one subset. A missing subset is filled with ``subset`` for sources of ``full_source`` only; other rows without one are errors, which without_subset lists."""
     filled = F.coalesce("subset", F.when(F.col("source") == full_source, subset))
     return df.withColumn("subset", filled).where(F.col("subset") == subset)
 
 
+def without_subset(df: DataFrame, full_source: str = "full/48k") -> DataFrame:
+    """Rows that name no subset and whose source does not imply one."""
+    return df.where(F.col("subset").isNull() & ~F.col("source").eqNullSafe(full_source))
+
+
 SIZES = ("small", "medium", "large", "full")
 
 
@@ -108,7 +113,7 @@ def resolve_license(df: DataFrame, urls: DataFrame, families: DataFrame, col: st
     """URL to licence and family to flags to usage class. Both lookups take ``https`` as ``http``. An unknown URL gives ``missing`` and nd."""
     url = F.regexp_replace(F.col(col), "^https://", "http://")
     u = small(urls.select(F.regexp_replace("url", "^https://", "http://").alias("l_url"), "license", "license_family").dropDuplicates(["l_url"]))
-    f = small(families.select(F.col("license_family").alias("l_family"), "attribution", "commercial", "derivative", "share_alike"))
+    f = small(families.select(F.col("license_family").alias("l_family"), "attribution", "commercial", "derivative", "share_alike").dropDuplicates(["l_family"]))
     out = df.join(u, url == F.col("l_url"), "left").join(f, F.col("license_family") == F.col("l_family"), "left").drop("l_url", "l_family")
     return out.fillna({"license": "missing", "license_family": "missing"}).withColumn("license_usage", S.usage_class(F.col("commercial"), F.col("derivative")))
 
@@ -130,15 +135,17 @@ def sampling_probability(df: DataFrame, families: DataFrame, least_users: float
     """Language-balanced weights: each family's share follows its number of users (``least_users`` at least) and is split evenly over its files.
 
     ``families``: language_family, members (array of codes), users. A code
-    without a family counts as one of its own with the least users. Files are
-    counted by an aggregate that is joined back, so no window holds a family.
+    without a family counts as one of its own with the least users, and so do
+    all rows without a code together. Files are counted by an aggregate
+    (n_files) that is joined back: one row for each family or code, which the
+    number of languages bounds, so it is broadcast and files are not shuffled.
     """
-    members = small(families.select("language_family", "users", F.explode("members").alias("langcode")))
+    members = small(families.select("language_family", "users", F.explode("members").alias("langcode")).dropDuplicates(["langcode"]))
     tagged = df.join(members, "langcode", "left").withColumns({"language_family": F.coalesce("language_family", "langcode"), "sample_users": F.greatest(F.coalesce(F.col("users").cast("double"), F.lit(0.0)), F.lit(least_users))}).drop("users")
     files = tagged.groupBy("language_family", "sample_users").agg(F.count("*").alias("n_files"))
     total = files.agg(F.sum("sample_users").alias("all_users"))
-    weights = files.crossJoin(F.broadcast(total)).select("language_family", (F.col("sample_users") / F.col("n_files") / F.col("all_users")).alias("sample_prob"))
-    return tagged.join(weights, "language_family")
+    weights = files.crossJoin(F.broadcast(total)).select(F.col("language_family").alias("w_family"), "n_files", (F.col("sample_users") / F.col("n_files") / F.col("all_users")).alias("sample_prob"))
+    return tagged.join(F.broadcast(weights), F.col("language_family").eqNullSafe(F.col("w_family"))).drop("w_family")
 
 
 def uniform_probability(df: DataFrame) -> DataFrame:

@@ -19,19 +19,20 @@ def class_name(code: Column) -> Column:
     return F.get(F.array(*[F.lit(c) for c in CLASSES]), code)
 
 
-def run_length(frames: DataFrame, key: str, pos: str, cls: str, frame: float = 1.0) -> DataFrame:
+def run_length(frames: DataFrame, key: str | list[str], pos: str, cls: str, frame: float = 1.0) -> DataFrame:
     """(key, class, start_time, end_time): runs of equal classes; the last run of a key ends after its last frame.
 
     Frames are numbered within their key in order of ``pos``; a frame whose
     class differs from the one before starts a run. One shuffle on the key
     serves both windows.
     """
-    order = Window.partitionBy(key).orderBy(pos)
+    keys = [key] if isinstance(key, str) else key
+    order = Window.partitionBy(*keys).orderBy(pos)
     index = F.row_number().over(order) - 1
     new = F.when(F.col(cls).eqNullSafe(F.lag(cls).over(order)), 0).otherwise(1)
-    numbered = frames.select(key, F.col(cls).alias("class"), index.alias("i"), F.when(index == 0, 1).otherwise(new).alias("new"))
-    runs = numbered.withColumn("run", F.sum("new").over(Window.partitionBy(key).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
-    return runs.groupBy(key, "run").agg(F.first("class").alias("class"), (F.min("i") * frame).alias("start_time"), ((F.max("i") + 1) * frame).alias("end_time"))
+    numbered = frames.select(*keys, F.col(cls).alias("class"), index.alias("i"), F.when(index == 0, 1).otherwise(new).alias("new"))
+    runs = numbered.withColumn("run", F.sum("new").over(Window.partitionBy(*keys).orderBy("i").rowsBetween(Window.unboundedPreceding, 0)))
+    return runs.groupBy(*keys, "run").agg(F.first("class").alias("class"), (F.min("i") * frame).alias("start_time"), ((F.max("i") + 1) * frame).alias("end_time"))
 
 
 def rechunk(segments: DataFrame, low: float, high: float, keep: list[str], duration: str = "duration") -> DataFrame:
@@ -68,17 +69,29 @@ def nonsilent(frames: DataFrame, key: str, pos: str, level: str, frame: float, d
     Silent is a frame more than ``drop`` dB below the mean level of its key.
     Shorter silences belong to the sound around them.
     """
-    mean = frames.groupBy(key).agg(F.avg(level).alias("_mean"), (F.count("*") * frame).alias("_total"))
-    flagged = frames.join(mean.select(key, "_mean"), key).select(key, pos, (F.col(level) >= F.col("_mean") - drop).alias("loud"))
-    runs = run_length(flagged, key, pos, "loud", frame)
-    heard = runs.withColumn("class", F.col("class") | (F.col("end_time") - F.col("start_time") < least_silence))
-    edges = runs.where("class").groupBy(key).agg(F.min("start_time").alias("_lo"), F.max("end_time").alias("_hi"))
-    w = Window.partitionBy(key).orderBy("start_time")
-    marked = heard.withColumn("new", F.when(F.col("class") & ~F.coalesce(F.lag("class").over(w), F.lit(False)), 1).otherwise(0)).withColumn("isle", F.sum("new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    isles = marked.where("class").groupBy(key, "isle").agg(F.min("start_time").alias("a"), F.max("end_time").alias("b")).join(edges, key)
+    return _nonsilent(frames, key, pos, level, frame, [drop], least_silence, pad).drop("step")
+
+
+def _nonsilent(frames: DataFrame, key: str, pos: str, level: str, frame: float, drops: list[float], least_silence: float = 1.0, pad: float = 0.1) -> DataFrame:
+    """nonsilent for several thresholds at once: (key, step, start_time, end_time).
+
+    Frames are shuffled on the key once; thresholds multiply them after that,
+    and all that follows is grouped by key and step, which that shuffle serves.
+    """
+    whole = Window.partitionBy(key)
+    leveled = frames.select(key, pos, F.col(level).alias("_level"), F.avg(level).over(whole).alias("_mean"), (F.count("*").over(whole) * frame).alias("_total"))
+    steps = F.array(*[F.struct(F.lit(k).alias("step"), F.lit(float(d)).alias("drop")) for k, d in enumerate(drops)])
+    flagged = leveled.withColumn("s", F.explode(steps)).select(key, pos, "s.step", F.struct((F.col("_level") >= F.col("_mean") - F.col("s.drop")).alias("loud"), "_total").alias("c"))
+    keys = [key, "step"]
+    runs = run_length(flagged, keys, pos, "c", frame).select(*keys, F.col("class.loud").alias("loud"), F.col("class._total").alias("_total"), "start_time", "end_time")
+    one, order = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("start_time")
+    edges = {"_lo": F.min(F.when(F.col("loud"), F.col("start_time"))).over(one), "_hi": F.max(F.when(F.col("loud"), F.col("end_time"))).over(one)}
+    heard = runs.withColumns(edges).withColumn("heard", F.col("loud") | (F.col("end_time") - F.col("start_time") < least_silence))
+    marked = heard.withColumn("new", F.when(F.col("heard") & ~F.coalesce(F.lag("heard").over(order), F.lit(False)), 1).otherwise(0)).withColumn("isle", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    isles = marked.where("heard").groupBy(*keys, "isle").agg(F.min("start_time").alias("a"), F.max("end_time").alias("b"), *(F.first(c).alias(c) for c in ("_lo", "_hi", "_total")))
     # silences at the edges are no part of the sound, however short
-    inner = isles.select(key, F.greatest("a", "_lo").alias("a"), F.least("b", "_hi").alias("b")).where("a < b")
-    return inner.join(mean.select(key, "_total"), key).select(key, F.greatest(F.lit(0.0), F.col("a") - pad).alias("start_time"), F.least("_total", F.col("b") + pad).alias("end_time"))
+    inner = isles.select(*keys, "_total", F.greatest("a", "_lo").alias("a"), F.least("b", "_hi").alias("b")).where("_lo IS NOT NULL AND a < b")
+    return inner.select(*keys, F.greatest(F.lit(0.0), F.col("a") - pad).alias("start_time"), F.least("_total", F.col("b") + pad).alias("end_time"))
 
 
 def trim(frames: DataFrame, key: str, pos: str, level: str, db: float, hop: float = 0.01, width: float = 0.04) -> DataFrame:
@@ -91,13 +104,11 @@ def trim(frames: DataFrame, key: str, pos: str, level: str, db: float, hop: floa
 
 def ladder_split(frames: DataFrame, key: str, pos: str, level: str, frame: float, longest: float, drops: list[float], **how: float) -> DataFrame:
     """Split by the first threshold of a ladder that leaves no piece over ``longest``, else by the last: (key, step, start_time, end_time)."""
-    out = None
-    for step, drop in enumerate(drops):
-        one = nonsilent(frames, key, pos, level, frame, drop, **how).withColumn("step", F.lit(step))
-        out = one if out is None else out.unionByName(one)
-    worst = out.groupBy(key, "step").agg(F.max(F.col("end_time") - F.col("start_time")).alias("worst"))
-    chosen = worst.groupBy(key).agg(F.coalesce(F.min(F.when(F.col("worst") <= longest, F.col("step"))), F.max("step")).alias("step"))
-    return out.join(chosen, [key, "step"]).select(key, "step", "start_time", "end_time")
+    pieces = _nonsilent(frames, key, pos, level, frame, drops, **how)
+    worst = F.max(F.col("end_time") - F.col("start_time")).over(Window.partitionBy(key, "step"))
+    whole = Window.partitionBy(key)
+    chosen = F.coalesce(F.min(F.when(F.col("worst") <= longest, F.col("step"))).over(whole), F.max("step").over(whole))
+    return pieces.withColumn("worst", worst).withColumn("chosen", chosen).where("step = chosen").select(key, "step", "start_time", "end_time")
 
 
 def sample_bounds(df: DataFrame, rate: int, mode: str = "cut") -> DataFrame:

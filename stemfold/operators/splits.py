@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -13,6 +15,25 @@ def _ceil_share(n: Column, percent: Column | int) -> Column:
     return F.floor((n * percent + 99) / 100)
 
 
+def _ranked(groups: DataFrame, strata: list[str], group: str, seed: int, blocks: int | None = None) -> DataFrame:
+    """``groups`` with the rank of each group's draw within its stratum, and the number n of groups in it.
+
+    Ranks come from two levels, so that no task holds a stratum: the draw
+    cuts it into blocks of even width (as many as shuffle partitions), each
+    ranked alone, and each block starts at the number of groups before it.
+    """
+    n = blocks or max(64, int(groups.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    drawn = groups.withColumn("draw", u(seed, "split", F.col(group))).withColumn("block", F.floor(F.col("draw") * n).cast("int"))
+    w = Window.partitionBy(*strata)  # as many rows as blocks
+    sums = drawn.groupBy(*strata, "block").agg(F.count("*").alias("c"))
+    before = sums.select(*(F.col(x).alias(f"_{x}") for x in strata), F.col("block").alias("_block"), (F.sum("c").over(w.orderBy("block")) - F.col("c")).alias("before"), F.sum("c").over(w).alias("n"))
+    on = F.col("block") == F.col("_block")
+    for x in strata:
+        on = F.col(x).eqNullSafe(F.col(f"_{x}")) & on
+    placed = drawn.withColumn("place", F.row_number().over(Window.partitionBy(*strata, "block").orderBy("draw", group)))
+    return placed.join(before, on).withColumn("rank", F.col("before") + F.col("place")).drop("draw", "block", "_block", "before", "place", *(f"_{x}" for x in strata))
+
+
 def group_split(df: DataFrame, group: str, strata: list[str], seed: int, hold: int = 30, test_of_hold: tuple[int, int] = (2, 3), forced: Column | None = None, singletons_to_test: bool = False) -> DataFrame:
     """(group, split): whole groups go to train, val or test, stratified; 70/10/20 as given.
 
@@ -20,45 +41,30 @@ def group_split(df: DataFrame, group: str, strata: list[str], seed: int, hold: i
     ceil(hold % of n) are held out and ceil(2/3) of those are test. Groups for
     which ``forced`` holds are test and count towards nothing. With
     ``singletons_to_test``, groups alone in their stratum are test too, and
-    the share held out of the others falls by as many. Strata are numbered by
-    a window over distinct groups only.
+    the share held out of the others falls by as many. A null stratum is one
+    like any other.
     """
     flag = F.lit(False) if forced is None else forced
     groups = df.groupBy(group, *strata).agg(F.bool_or(flag).alias("forced"))
-    sizes = groups.where("NOT forced").groupBy(*strata).agg(F.count("*").alias("n"))
-    rest = groups.where("NOT forced").join(sizes, strata) if strata else groups.where("NOT forced").crossJoin(F.broadcast(sizes))
+    rest = _ranked(groups.where("NOT forced"), strata, group, seed)
     percent: Column = F.lit(hold)
     alone = F.lit(False)
     if singletons_to_test:
         alone = F.col("n") == 1
-        totals = sizes.agg(F.sum("n").alias("all_n"), F.sum(F.when(F.col("n") == 1, 1).otherwise(0)).alias("all_single"))
+        totals = groups.where("NOT forced").groupBy(*strata).agg(F.count("*").alias("k")).agg(F.sum("k").alias("all_n"), F.sum(F.when(F.col("k") == 1, 1).otherwise(0)).alias("all_single"))
         rest = rest.crossJoin(F.broadcast(totals))
         left = F.col("all_n") - F.col("all_single")
         percent = F.when(left > 0, F.greatest(F.lit(0), F.floor((F.col("all_n") * hold - F.col("all_single") * 100) / left))).otherwise(0)
-    rank = F.row_number().over(Window.partitionBy(*strata, "alone").orderBy(u(seed, "split", F.col(group)), group))
     held = _ceil_share(F.col("n"), percent)
     a, b = test_of_hold
     test = F.floor((held * a + b - 1) / b)
-    ranked = rest.withColumn("alone", alone).withColumn("rank", rank)
-    split = F.when(F.col("alone"), "test").when(F.col("rank") <= test, "test").when(F.col("rank") <= held, "val").otherwise("train")
-    return ranked.select(group, split.alias("split")).unionByName(groups.where("forced").select(group, F.lit("test").alias("split")))
-
+    split = F.when(alone, "test").when(F.col("rank") <= test, "test").when(F.col("rank") <= held, "val").otherwise("train")
+    return rest.select(group, split.alias("split")).unionByName(groups.where("forced").select(group, F.lit("test").alias("split")))
 
-def threshold_split(df: DataFrame, group: str, seed: int, hold: int = 30, test_of_hold: tuple[int, int] = (2, 3), blocks: int = 256) -> DataFrame:
-    """Whole groups by rank of their draw, without strata: (group, split).
 
-    With one stratum a window would hold all groups in one task, so ranks come
-    from two levels: the draw cuts groups into blocks of even width, each
-    ranked alone, and each block starts at the number of groups before it.
-    """
-    drawn = df.select(group).distinct().withColumn("draw", u(seed, "split", F.col(group))).withColumn("block", F.floor(F.col("draw") * blocks).cast("int"))
-    sums = drawn.groupBy("block").agg(F.count("*").alias("c"))
-    w = Window.orderBy("block")  # as many rows as blocks
-    before = sums.select("block", (F.sum("c").over(w) - F.col("c")).alias("before"), F.sum("c").over(Window.partitionBy()).alias("n"))
-    ranked = drawn.withColumn("place", F.row_number().over(Window.partitionBy("block").orderBy("draw", group))).join(F.broadcast(before), "block")
-    rank, held = F.col("before") + F.col("place"), _ceil_share(F.col("n"), hold)
-    a, b = test_of_hold
-    return ranked.select(group, F.when(rank <= F.floor((held * a + b - 1) / b), "test").when(rank <= held, "val").otherwise("train").alias("split"))
+def threshold_split(df: DataFrame, group: str, seed: int, hold: int = 30, test_of_hold: tuple[int, int] = (2, 3)) -> DataFrame:
+    """Whole groups by rank of their draw, without strata: (group, split)."""
+    return group_split(df, group, [], seed, hold, test_of_hold)
 
 
 def merged_split(df: DataFrame, group: str, stratum: str, merged: DataFrame, seed: int, val: int = 10) -> DataFrame:
@@ -68,10 +74,7 @@ def merged_split(df: DataFrame, group: str, stratum: str, merged: DataFrame, see
     """
     groups = df.groupBy(group, stratum).agg(F.bool_or(F.col("split") == "test").alias("is_test"))
     named = groups.join(F.broadcast(merged.select(F.col("stratum").alias(stratum), "merged")), stratum, "left").withColumn("merged", F.coalesce("merged", stratum))
-    open_ = named.where("NOT is_test")
-    sizes = open_.groupBy("merged").agg(F.count("*").alias("n"))
-    rank = F.row_number().over(Window.partitionBy("merged").orderBy(u(seed, "split", F.col(group)), group))
-    ranked = open_.join(sizes, "merged").withColumn("rank", rank)
+    ranked = _ranked(named.where("NOT is_test"), ["merged"], group, seed)
     return ranked.select(group, F.when(F.col("rank") <= _ceil_share(F.col("n"), val), "val").otherwise("train").alias("split")).unionByName(named.where("is_test").select(group, F.lit("test").alias("split")))
 
 
@@ -96,8 +99,9 @@ def balanced_split(speakers: DataFrame, proportions: dict[str, float], tolerance
     that lacks most takes the speaker whose duration is nearest to what it
     needs. A seed is accepted when each split's female ratio is within
     ``tolerance`` of the corpus's; the least accepted seed wins, else the one
-    that strays least. Seeds are tried as parallel groups; a group is one
-    corpus's speaker list, which is small.
+    that strays least. Seeds are tried as parallel groups; a group is the
+    list of one corpus's speakers with their durations, some ten million of
+    which fit a task.
     """
     tries = speakers.select("corpus", "speaker", "gender", "duration").withColumn("seed", F.explode(F.sequence(F.lit(0), F.lit(seeds - 1)))).withColumn("draw", u(0, "balance", F.col("seed"), F.col("speaker")))
 
@@ -105,12 +109,17 @@ def balanced_split(speakers: DataFrame, proportions: dict[str, float], tolerance
         pdf = pdf.sort_values(["draw", "speaker"]).reset_index(drop=True)
         total = pdf["duration"].sum()
         need = {s: p * total for s, p in proportions.items()}
-        open_, split = pdf["duration"].to_dict(), {}
-        while open_:
+        # by duration, then draw: the nearest to a need is found by bisection, the first drawn of equal ones
+        left, split = sorted((d, k) for k, d in pdf["duration"].items()), {}
+        while left:
             name = max(need, key=lambda s: (need[s], s))
-            pick = min(open_, key=lambda k: (abs(open_[k] - need[name]), k))
-            split[pick] = name
-            need[name] -= open_.pop(pick)
+            at = bisect_left(left, (need[name], -1))
+            near = [at] if at < len(left) else []
+            if at:
+                near.append(bisect_left(left, (left[at - 1][0], -1)))
+            d, k = left.pop(min(near, key=lambda j: (abs(left[j][0] - need[name]), left[j][1])))
+            split[k] = name
+            need[name] -= d
         pdf["split"] = pdf.index.map(split)
         female = pdf["duration"].where(pdf["gender"] == "female", 0.0)
         ratio = (female.groupby(pdf["split"]).sum() / pdf.groupby("split")["duration"].sum()).reindex(list(proportions))

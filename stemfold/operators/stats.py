@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stemfold.functions import scalars as S
@@ -51,10 +54,37 @@ def license_summary(df: DataFrame, family: str = "license_family") -> DataFrame:
     return out.orderBy(rank(F.col("commercial")), rank(F.col("derivative")), family)
 
 
+def quantiles(df: DataFrame, col: Column, by: list[str], shares: list[float], blocks: int = 64) -> DataFrame:
+    """(by, q0, q1, ...): exact interpolated quantiles of each group.
+
+    No task holds a group: approximate quantiles cut its values into blocks,
+    counts of the blocks say in which of them the wanted ranks are, and only
+    those blocks are sorted. Nulls and NaN do not count; a null key is a group.
+    """
+    names = [f"_{x}" for x in by]
+    values = df.select(*by, col.cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
+    cuts = values.groupBy(*by).agg(F.percentile_approx("v", F.array(*[F.lit((i + 1) / blocks) for i in range(blocks - 1)]), 1000).alias("_cuts")).toDF(*names, "_cuts")
+    same = lambda xs, ys: reduce(and_, (F.col(x).eqNullSafe(F.col(y)) for x, y in zip(xs, ys, strict=True)), F.lit(True))
+    ranged = values.join(cuts, same(by, names)).select(*by, "v", F.size(F.filter("_cuts", lambda x: x < F.col("v"))).alias("block"))
+    w = Window.partitionBy(*by)  # as many rows as blocks
+    sums = ranged.groupBy(*by, "block").agg(F.count("*").alias("c"))
+    spans = sums.select(*by, "block", "c", (F.sum("c").over(w.orderBy("block")) - F.col("c")).alias("before"), F.sum("c").over(w).alias("n"))
+    asked = F.array(*[F.struct(F.lit(k).alias("q"), (F.lit(p) * (F.col("n") - 1)).alias("at")) for k, p in enumerate(shares)])
+    ranks = spans.select("*", F.explode(asked).alias("a")).where((F.ceil("a.at") >= F.col("before")) & (F.floor("a.at") < F.col("before") + F.col("c")))
+    wanted = ranks.groupBy(*by, "block").agg(F.first("before").alias("before"), F.collect_list("a").alias("asked")).toDF(*names, "_block", "before", "asked")
+    near = ranged.join(wanted, same([*by, "block"], [*names, "_block"]))
+    placed = near.select(*by, "v", "asked", (F.col("before") + F.row_number().over(Window.partitionBy(*by, "block").orderBy("v")) - 1).alias("rank"))
+    hits = placed.select(*by, "v", "rank", F.explode("asked").alias("a")).where((F.col("rank") == F.floor("a.at")) | (F.col("rank") == F.ceil("a.at")))
+    weight = F.when(F.floor("a.at") == F.ceil("a.at"), 1.0).when(F.col("rank") == F.floor("a.at"), F.ceil("a.at") - F.col("a.at")).otherwise(F.col("a.at") - F.floor("a.at"))
+    return hits.groupBy(*by).agg(*(F.sum(F.when(F.col("a.q") == k, F.col("v") * weight)).alias(f"q{k}") for k in range(len(shares))))
+
+
 def describe(df: DataFrame, col: Column, *by: str) -> DataFrame:
     """Count, mean, sample deviation, least, interpolated quartiles and greatest."""
-    q = lambda p: F.percentile(col, F.lit(p))
-    return df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), q(0.25).alias("q25"), q(0.5).alias("q50"), q(0.75).alias("q75"), F.max(col).alias("max"))
+    out = df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max"))
+    q = quantiles(df, col, list(by), [0.25, 0.5, 0.75]).toDF(*(f"_{x}" for x in by), "q25", "q50", "q75")
+    on = reduce(and_, (F.col(x).eqNullSafe(F.col(f"_{x}")) for x in by), F.lit(True))
+    return out.join(q, on, "left").select(*by, "count", "mean", "std", "min", "q25", "q50", "q75", "max")
 
 
 def failure_rate(df: DataFrame, col: str, *by: str) -> DataFrame:

@@ -30,16 +30,17 @@ MEMBERS = _values([(f, m, n) for f, ms, n in FAMILIES for m in ms])
 
 @query(
     "language_balance",
-    f"""WITH {CLIPS}, m AS (SELECT * FROM {MEMBERS} t(language_family, langcode, users)),
- tagged AS (SELECT doc_id, c.langcode, coalesce(m.language_family, c.langcode) AS language_family, greatest(coalesce(users::DOUBLE, 0.0), 1000000.0::DOUBLE) AS sample_users FROM clips c LEFT JOIN m ON c.langcode = m.langcode),
+    f"""WITH {CLIPS}, m AS (SELECT * FROM {MEMBERS} t(language_family, langcode, users)), k AS (SELECT doc_id, CASE WHEN doc_id % 11 <> 0 THEN langcode END AS langcode FROM clips),
+ tagged AS (SELECT doc_id, c.langcode, coalesce(m.language_family, c.langcode) AS language_family, greatest(coalesce(users::DOUBLE, 0.0), 1000000.0::DOUBLE) AS sample_users FROM k c LEFT JOIN m ON c.langcode = m.langcode),
  f AS (SELECT language_family, sample_users, count(*) AS n_files FROM tagged GROUP BY ALL)
- SELECT doc_id, langcode, tagged.language_family, tagged.sample_users, n_files, round(f.sample_users / n_files / (SELECT sum(sample_users) FROM f), 12) AS sample_prob FROM tagged JOIN f ON tagged.language_family = f.language_family""",
+ SELECT doc_id, langcode, tagged.language_family, tagged.sample_users, n_files, round(f.sample_users / n_files / (SELECT sum(sample_users) FROM f), 12) AS sample_prob FROM tagged JOIN f ON tagged.language_family IS NOT DISTINCT FROM f.language_family""",
 )
 def language_balance(spark: SparkSession, sf: str) -> DataFrame:
+    """Every eleventh clip has no language code."""
     families = spark.createDataFrame(FAMILIES, "language_family string, members array<string>, users bigint")
-    out = C.sampling_probability(clips(spark, sf).select("doc_id", "langcode"), families)
-    per = out.groupBy("language_family").agg(F.count("*").alias("n_files"))
-    return out.join(F.broadcast(per), "language_family").select("doc_id", "langcode", "language_family", "sample_users", "n_files", F.round("sample_prob", 12).alias("sample_prob"))
+    coded = clips(spark, sf).select("doc_id", F.when(F.col("doc_id") % 11 != 0, F.col("langcode")).alias("langcode"))
+    out = C.sampling_probability(coded, families)
+    return out.select("doc_id", "langcode", "language_family", "sample_users", "n_files", F.round("sample_prob", 12).alias("sample_prob"))
 
 
 @query("uniform_probability", "SELECT c_custkey, round(1.0::DOUBLE / (SELECT count(*) FROM customer), 12) AS sample_prob FROM customer")
@@ -79,13 +80,14 @@ def subset_filters(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "duration_gate",
-    f"""WITH {CLIPS}, g AS (SELECT c.doc_id, duration, quality, toxic FROM clips c LEFT JOIN labels l ON c.doc_id = l.doc_id WHERE duration BETWEEN 2 AND 60 AND round_even(duration * 25.0 / 1000.0 * 100, 0) >= 10)
+    f"""WITH {CLIPS}, g AS (SELECT c.doc_id, duration, quality, toxic FROM clips c LEFT JOIN labels l ON c.doc_id = l.doc_id WHERE duration BETWEEN 2 AND 60 AND round_even(duration * 25.0 / 1000.0 * 100, 0) >= 10 AND c.doc_id % 5 IN (0, 4))
  SELECT doc_id, duration FROM g WHERE duration < 5 OR (duration >= 5 AND quality = 1)""",
 )
 def duration_gate(spark: SparkSession, sf: str) -> DataFrame:
     tagged = C.enrich(clips(spark, sf).select("doc_id", "duration"), table(spark, sf, "labels"), "doc_id")
-    # rate and bit rate as the files' headers would give them
-    rated = C.min_rate(tagged.withColumn("sampling_rate", F.lit(44_100))).withColumn("bit_rate", F.col("duration") * 25.0 * 100)
+    # rates as the files' headers would give them: unreadable, unknown, low, and two that pass
+    rate = F.element_at(F.array(F.lit(44_100), F.lit(-1), F.lit(None).cast("int"), F.lit(22_050), F.lit(48_000)), (F.col("doc_id") % 5 + 1).cast("int"))
+    rated = C.min_rate(tagged.withColumn("sampling_rate", rate)).withColumn("bit_rate", F.col("duration") * 25.0 * 100)
     passed = C.min_bitrate(rated, 10)
     return C.duration_gate(passed, 2, 60, 5, F.col("quality") == 1).select("doc_id", "duration")
 
@@ -108,11 +110,12 @@ def class_filter(spark: SparkSession, sf: str) -> DataFrame:
 @query(
     "blocklist_split",
     f"""WITH {CLIPS}, b AS (SELECT DISTINCT source FROM documents WHERE n_chars > 15000)
- SELECT doc_id, CASE WHEN c.source IN (SELECT source FROM b) THEN split || '_blocked' ELSE split END AS split, length(c.text) > 300 AS has_bleed FROM clips c WHERE NOT (length(c.text) <= 300) AND subset IS NOT NULL""",
+ SELECT doc_id, CASE WHEN c.source IN (SELECT source FROM b) THEN split || '_blocked' ELSE split END AS split, length(c.text) > 300 AS has_bleed FROM clips c WHERE NOT (length(c.text) <= 300) AND subset IS NOT NULL AND doc_id % 6 <> 1""",
 )
 def blocklist_split(spark: SparkSession, sf: str) -> DataFrame:
     blocked = table(spark, sf, "documents").where("n_chars > 15000").select("source")
     c = clips(spark, sf).withColumn("has_bleed", F.length("text") <= 300)
+    c = c.withColumn("file", F.when(F.col("doc_id") % 6 == 1, F.regexp_replace("file", "/clip_", "/.clip_")).otherwise(F.col("file")))  # some are hidden
     c = C.drop_failed(C.drop_hidden(C.drop_bleed(c), "file"), "subset")
     return C.flag_blocked(c, blocked, "source").select("doc_id", "split", (~F.col("has_bleed")).alias("has_bleed"))
 
@@ -151,18 +154,23 @@ def license_usage(spark: SparkSession, sf: str) -> DataFrame:
     return licensed(spark, sf).select("doc_id", "license", "license_family", "license_usage", "commercial", "derivative")
 
 
+_names = ["CC BY-NC 4.0", "MIT License", "Licence Art Libre", "CC BY-SA-ND 3.0", "All rights reserved", "Creative Commons BY (attribution) NC (Pas de commerce)", "Creative Commons NC (Pas de commerce)", "CC0 1.0", "com", None]
+
+
 @query(
     "license_names",
-    """WITH x AS (SELECT doc_id, CASE WHEN contains(text, 'CC BY-NC') THEN 'CC BY-NC 4.0' WHEN contains(text, 'MIT License') THEN 'MIT License' WHEN contains(text, 'GNU General') THEN 'Licence Art Libre' WHEN contains(text, 'Apache') THEN 'CC BY-SA-ND 3.0' ELSE source END AS name FROM documents),
- f AS (SELECT *, '-' || regexp_replace(upper(name), '[^A-Z0-9.]+', '-', 'g') || '-' AS n, contains(upper(name), 'ART LIBRE') AS free FROM x),
- g AS (SELECT doc_id, name, contains(n, '-BY-') OR free AS attribution, NOT contains(n, '-NC-') OR free AS commercial, NOT contains(n, '-ND-') OR free AS derivative, contains(n, '-SA-') OR free AS share_alike FROM f)
- SELECT doc_id, name, attribution, commercial, derivative, share_alike, concat_ws('-', 'CC', CASE WHEN attribution THEN 'BY' END, CASE WHEN NOT commercial THEN 'NC' END, CASE WHEN NOT derivative THEN 'ND' END, CASE WHEN share_alike THEN 'SA' END) AS canonical FROM g""",
+    f"""WITH x AS (SELECT doc_id, ({_names!r})[1 + doc_id % {len(_names)}] AS name FROM documents), n AS (SELECT *, '-' || regexp_replace(upper(coalesce(name, '')), '[^A-Z0-9.]+', '-', 'g') || '-' AS n FROM x),
+ k AS (SELECT *, CASE WHEN contains(n, '-CC-') OR contains(n, '-CREATIVE-COMMONS-') THEN CASE WHEN contains(n, '-BY-') THEN 'cc' ELSE 'unclear' END WHEN contains(n, '-ART-LIBRE-') THEN 'free' END AS kind FROM n),
+ g AS (SELECT doc_id, name, kind, CASE kind WHEN 'free' THEN true WHEN 'cc' THEN true END AS attribution, CASE kind WHEN 'free' THEN true WHEN 'cc' THEN NOT contains(n, '-NC-') END AS commercial, CASE kind WHEN 'free' THEN true WHEN 'cc' THEN NOT contains(n, '-ND-') END AS derivative, CASE kind WHEN 'free' THEN true WHEN 'cc' THEN contains(n, '-SA-') END AS share_alike FROM k)
+ SELECT doc_id, name, attribution, commercial, derivative, share_alike, CASE kind WHEN 'free' THEN 'Art Libre' WHEN 'unclear' THEN 'Unclear CC License' WHEN 'cc' THEN concat_ws('-', 'CC', 'BY', CASE WHEN NOT commercial THEN 'NC' END, CASE WHEN NOT derivative THEN 'ND' END, CASE WHEN share_alike THEN 'SA' END) END AS canonical,
+ CASE WHEN NOT coalesce(derivative, false) THEN 'nd' WHEN NOT coalesce(commercial, false) THEN 'nc' ELSE 'com' END AS license_usage FROM g""".replace("None", "NULL"),
 )
 def license_names(spark: SparkSession, sf: str) -> DataFrame:
-    t = F.col("text")
-    named = table(spark, sf, "documents").select("doc_id", F.when(t.contains("CC BY-NC"), "CC BY-NC 4.0").when(t.contains("MIT License"), "MIT License").when(t.contains("GNU General"), "Licence Art Libre").when(t.contains("Apache"), "CC BY-SA-ND 3.0").otherwise(F.col("source")).alias("name"))
+    """Names that are of no open licence, or do not say enough, grant nothing."""
+    name = F.element_at(F.array(*[F.lit(x) for x in _names]), (F.col("doc_id") % len(_names) + 1).cast("int"))
+    named = table(spark, sf, "documents").select("doc_id", name.alias("name"))
     flags = named.withColumn("f", S.license_flags(F.col("name")))
-    return flags.select("doc_id", "name", "f.*", S.license_name(F.col("f")).alias("canonical"))
+    return flags.select("doc_id", "name", "f.*", S.license_name(F.col("name")).alias("canonical"), S.usage_class(F.col("f.commercial"), F.col("f.derivative")).alias("license_usage"))
 
 
 @query("missing_outputs", "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus = 'F')")

@@ -92,13 +92,14 @@ def ladder_split(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(
     "segment_names",
-    "WITH s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS segment, turn * 1.25::DOUBLE AS a, turn * 1.25::DOUBLE + length(text) / 37.0::DOUBLE AS b FROM conversations) SELECT conv_id, turn, segment, conv_id || '_' || lpad(segment::VARCHAR, 4, '0') AS name, floor(a * 44100)::BIGINT AS start_sample, ceil(b * 44100)::BIGINT AS end_sample, trunc(b * 44100)::BIGINT AS end_truncated FROM s",
+    "WITH s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS segment, turn * 1.25::DOUBLE AS a, turn * 1.25::DOUBLE + length(text) / 37.0::DOUBLE AS b FROM conversations) SELECT conv_id, turn, segment, conv_id || '_' || lpad(segment::VARCHAR, 4, '0') AS name, floor(a * 44100)::BIGINT AS start_sample, ceil(b * 44100)::BIGINT AS end_sample, trunc(a * 44100)::BIGINT AS start_truncated, trunc(b * 44100)::BIGINT AS end_truncated FROM s",
 )
 def segment_names(spark: SparkSession, sf: str) -> DataFrame:
     turns = table(spark, sf, "conversations").select("conv_id", "turn", (F.col("turn") * 1.25).alias("start_time"), (F.col("turn") * 1.25 + F.length("text") / 37.0).alias("end_time"))
     numbered = C.number_segments(turns, "conv_id", ["turn"], "name")
-    cut = W.sample_bounds(numbered, 44_100)
-    return cut.select("conv_id", "turn", F.col("segment").cast("bigint").alias("segment"), "name", "start_sample", "end_sample", (F.col("end_time") * 44_100).cast("bigint").alias("end_truncated"))
+    wide = W.sample_bounds(numbered, 44_100)
+    both = W.sample_bounds(wide.withColumnsRenamed({"start_sample": "start_wide", "end_sample": "end_wide"}), 44_100, "truncate")
+    return both.select("conv_id", "turn", F.col("segment").cast("bigint").alias("segment"), "name", F.col("start_wide").alias("start_sample"), F.col("end_wide").alias("end_sample"), F.col("start_sample").alias("start_truncated"), F.col("end_sample").alias("end_truncated"))
 
 
 # --- draws ------------------------------------------------------------------------
@@ -415,6 +416,7 @@ def split_balanced(spark: SparkSession, sf: str) -> DataFrame:
  UNION ALL SELECT 'inside', l_orderkey::VARCHAR, (l_linenumber * 10 + l_quantity::BIGINT)::VARCHAR FROM lineitem WHERE l_linenumber * 10 + l_quantity > 100
  UNION ALL SELECT 'finite', doc_id::VARCHAR, NULL FROM documents LEFT JOIN labels USING (doc_id) WHERE quality IS NULL
  UNION ALL SELECT 'length', p_partkey::VARCHAR, p_size::VARCHAR FROM part WHERE p_size <> 11
+ UNION ALL SELECT 'subset', doc_id::VARCHAR, 'subset' FROM clips WHERE subset IS NULL AND source <> 'src3'
  UNION ALL SELECT 'disjoint', source, count(DISTINCT split)::VARCHAR FROM clips GROUP BY source HAVING count(DISTINCT split) > 1""",
 )
 def violations(spark: SparkSession, sf: str) -> DataFrame:
@@ -424,6 +426,7 @@ def violations(spark: SparkSession, sf: str) -> DataFrame:
     return Q.violations(
         Q.required(c, "subset", "doc_id", "langcode"), Q.determines(o, "o_custkey", ["o_orderpriority"], "speaker"), Q.known(c, known, "source", "doc_id", "license"), Q.sizes(o, "o_orderstatus", {"F": 86, "O": 14, "X": 50}),
         Q.inside(li, "l_orderkey", F.col("l_linenumber") * 10, F.col("l_quantity").cast("bigint"), 100), Q.finite(scored, "quality", "doc_id"), Q.fixed_length(table(spark, sf, "part"), "p_size", 11, "p_partkey"), Q.disjoint(c.select("source", "split"), "source"),
+        Q.required(C.without_subset(c, "src3"), "subset", "doc_id", "subset"),
     )
 
 
@@ -460,39 +463,55 @@ def failed_split(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("doc_id bigint, quality int, toxic int, subset string, split string").parquet(folder).select("doc_id", "subset", "split")
 
 
-@query("annotation_sink", "SELECT l_orderkey AS idx, l_returnflag AS submix, l_partkey AS file, 'default' AS subset, l_linestatus AS split FROM lineitem WHERE l_returnflag <> 'N'")
+_submix = "CASE l_returnflag WHEN 'N' THEN 'mixture' WHEN 'R' THEN 'music_sfx' ELSE 'speech' END"
+
+
+@query(
+    "annotation_sink",
+    f"""SELECT 'annotation' AS kind, l_orderkey AS idx, {_submix} AS submix, l_partkey AS file, 'default' AS subset, l_linestatus AS split FROM lineitem WHERE l_returnflag = 'A'
+ UNION ALL SELECT DISTINCT 'signal', l_orderkey, {_submix}, NULL::BIGINT, 'default', l_linestatus FROM lineitem WHERE l_returnflag <> 'N'""",
+)
 def annotation_sink(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("idx"), F.col("l_returnflag").alias("submix"), F.col("l_partkey").alias("file"), F.lit("default").alias("subset"), F.col("l_linestatus").alias("split"))
+    """Annotations written by subset and split and read back, and the signals that are put out without the mixture."""
+    rows = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("idx"), F.expr(_submix).alias("submix"), F.col("l_partkey").alias("file"), F.lit("default").alias("subset"), F.col("l_linestatus").alias("split"))
     folder = fresh(spark, "annotations")
-    M.write_annotations(rows, folder, ["N"])
-    return spark.read.schema("idx bigint, submix string, file bigint, subset string, split string").parquet(folder)
+    M.write_annotations(rows, folder, ["music_sfx"])
+    stems = spark.read.schema("idx bigint, submix string, file bigint, subset string, split string").parquet(folder).withColumn("kind", F.lit("annotation"))
+    signals = M.outputs(rows, ["idx", "subset", "split"], output_mixture=False).withColumns({"kind": F.lit("signal"), "file": F.lit(None).cast("bigint")})
+    return stems.unionByName(signals)
 
 
-@query("file_inventory")
+@query("file_inventory", f"WITH {CLIPS} SELECT coalesce(subset, 'none') AS subset, split, 'clips' AS corpus, count(*) AS n FROM clips GROUP BY ALL")
 def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
-    found = M.inventory(spark, sf, "*.parquet", {"corpus": "tables"})
-    return found.select(F.concat_ws("/", F.get(F.reverse(F.split("path", "/")), F.lit(1)), S.basename(F.col("path"))).alias("file"), "length", "corpus")
+    """Clips by folder of a written manifest: the files that are listed, with the rows that should be in them."""
+    c = clips(spark, sf).select("doc_id", F.coalesce("subset", F.lit("none")).alias("subset"), "split")
+    folder = fresh(spark, "inventory")
+    M.write_manifest(c, folder)
+    found = M.path_columns(M.inventory(spark, folder, "*.parquet", {"corpus": "clips"}).where("length > 0"), "path", ["subset", "split", "file"])
+    part = lambda name: F.regexp_replace(name, f"^{name}=", "").alias(name)
+    return c.groupBy("subset", "split").agg(F.count("*").alias("n")).join(found.select(part("subset"), part("split"), "corpus").distinct(), ["subset", "split"])
 
 
-@query("csv_dialects", "SELECT n_nationkey AS id, n_name AS name, n_regionkey AS region, d AS dialect FROM nation, (VALUES ('csv'), ('pipe'), ('semicolon'), ('space'), ('tab')) t(d)")
+@query("csv_dialects", "SELECT c_custkey AS id, c_name AS name, c_nationkey AS region, d AS dialect FROM customer, (VALUES ('csv'), ('pipe'), ('semicolon'), ('space'), ('tab')) t(d)")
 def csv_dialects(spark: SparkSession, sf: str) -> DataFrame:
-    """The nation table written and read in each dialect; tab files carry three header rows that are skipped."""
-    n = table(spark, sf, "nation").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"), F.col("n_regionkey").alias("region"))
-    out = None
+    """The customer table written and read in each dialect; each tab file carries three header rows that are skipped."""
+    n = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("region"))
+    out, parts = None, 4
     for name, options in M.DIALECTS.items():
         folder = fresh(spark, f"csv-{name}")
         skipped = 3 if name == "tab" else 0
         if skipped:
-            body = n.agg(F.array_join(F.array_sort(F.collect_list(F.concat_ws("\t", F.col("id").cast("string"), "name", F.col("region").cast("string")))), "\n").alias("b"))
-            body.select(F.concat(F.lit("# speakers\n# made by us\nid\tname\tregion\n"), "b").alias("value")).write.text(folder)
+            lines = n.select(F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int").alias("part"), F.lit(1).alias("place"), F.concat_ws("\t", F.col("id").cast("string"), "name", F.col("region").cast("string")).alias("value"))
+            head = spark.range(parts).select(F.col("id").cast("int").alias("part"), F.lit(0).alias("place"), F.explode(F.array(F.lit("# speakers"), F.lit("# made by us"), F.lit("id\tname\tregion"))).alias("value"))
+            head.unionByName(lines).repartitionById(parts, F.col("part")).sortWithinPartitions("place").select("value").write.text(folder)
         else:
             n.write.options(**options).csv(folder)
-        one = M.read_manifest(spark, folder, "id int, name string, region int", name, skipped).withColumn("dialect", F.lit(name))
+        one = M.read_manifest(spark, folder, "id bigint, name string, region int", name, skipped).withColumn("dialect", F.lit(name))
         out = one if out is None else out.unionByName(one)
     return out
 
 
-@query("stream_ingest")
+@query("stream_ingest", f"WITH {CLIPS} SELECT file AS cleaned_path, CASE WHEN doc_id % 2 = 0 THEN 'CC BY 4.0' ELSE 'CC BY-NC 4.0' END AS license, CASE WHEN doc_id % 2 = 0 THEN 'com' ELSE 'nc' END AS license_usage, split FROM clips")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     """Two batches of manifest files, the second with rows of the first again: each path is stored once."""
     source, target, checkpoint = (fresh(spark, f"stream-{k}") for k in ("in", "out", "checkpoint"))

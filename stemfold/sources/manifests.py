@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
@@ -22,8 +26,27 @@ DIALECTS = {
 }
 
 
+def _without_headers(lines: DataFrame, header_rows: int) -> DataFrame:
+    """(value): the lines of text files without the first ``header_rows`` of each. A split of a file keeps its lines in order, and only the first one has the header."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        file, seen = None, 0
+        for b in batches:
+            files, first = b.column(1).to_pylist(), b.column(2).to_pylist()
+            keep = np.ones(b.num_rows, bool)
+            for k, (name, start) in enumerate(zip(files, first, strict=True)):
+                if (name, start) != file:
+                    file, seen = (name, start), 0
+                if start == 0 and seen < header_rows:
+                    keep[k] = False
+                seen += 1
+            yield b.select([0]).filter(pa.array(keep))
+
+    return lines.select("value", F.col("_metadata.file_path"), F.col("_metadata.file_block_start")).mapInArrow(run, "value string")
+
+
 def read_manifest(spark: SparkSession, path: str, schema: str, dialect: str = "csv", header_rows: int = 0, missing_ok: bool = False) -> DataFrame | None:
-    """A delimited file with a given schema. ``header_rows`` lines at the top of each file are dropped first.
+    """A delimited file with a given schema. ``header_rows`` lines at the top of each file are dropped first, and blank lines with them.
 
     With ``missing_ok`` a path that is not there gives None, so that a source
     can be left out.
@@ -31,11 +54,8 @@ def read_manifest(spark: SparkSession, path: str, schema: str, dialect: str = "c
     try:
         if not header_rows:
             return spark.read.schema(schema).options(**DIALECTS[dialect]).csv(path)
-        sep = DIALECTS[dialect]["sep"]
-        # wholetext keeps each file's line order; header files are small metadata files
-        whole = spark.read.text(path, wholetext=True).select(F.split("value", r"\r?\n").alias("lines"))
-        rows = whole.select(F.posexplode("lines").alias("at", "line")).where((F.col("at") >= header_rows) & (F.trim("line") != "")).select("line")
-        return rows.select(F.from_csv("line", schema, {"sep": sep}).alias("r")).select("r.*")
+        rows = _without_headers(spark.read.text(path), header_rows).where(F.trim("value") != "")
+        return rows.select(F.from_csv("value", schema, {"sep": DIALECTS[dialect]["sep"]}).alias("r")).select("r.*")
     except AnalysisException as e:
         if missing_ok and "PATH_NOT_FOUND" in str(e):
             return None
@@ -71,10 +91,15 @@ def split_failed(df: DataFrame, col: str) -> DataFrame:
     return df.withColumn("split", F.concat("split", F.when(F.col(col).isNull(), "_failed").otherwise("")))
 
 
-def write_annotations(df: DataFrame, folder: str, composites: list[str], output_mixture: bool = True) -> None:
-    """Annotations of stems; the mixture and composites carry none."""
-    stems = df.where(~F.col("submix").isin("mixture", *composites)) if output_mixture else df.where(~F.col("submix").isin(*composites) & (F.col("submix") != "mixture"))
-    write_manifest(stems, folder)
+def write_annotations(df: DataFrame, folder: str, composites: list[str]) -> None:
+    """Annotations of stems; the mixture and composites carry none, and rows without a submix are of no stem."""
+    write_manifest(df.where(~F.col("submix").isin("mixture", *composites)), folder)
+
+
+def outputs(df: DataFrame, key: list[str], output_mixture: bool = True) -> DataFrame:
+    """(key, submix): the signals that are put out, one for each submix of a mixture; the mixture itself only with ``output_mixture``."""
+    names = df.where(F.col("submix").isNotNull()).select(*key, "submix").distinct()
+    return names if output_mixture else names.where("submix <> 'mixture'")
 
 
 def todo(everything: DataFrame, done: DataFrame, key: str) -> DataFrame:

@@ -11,19 +11,13 @@ from stemfold.operators.curate import resolve_license
 def ingest(spark: SparkSession, source: str, schema: str, urls: DataFrame, families: DataFrame, target: str, checkpoint: str) -> StreamingQuery:
     """Append new manifest files, with their licences resolved, to a Parquet table.
 
-    Each micro-batch leaves out rows whose ``cleaned_path`` is stored already,
-    so a batch that is replayed after a failure adds nothing twice. The query
-    stops when it has read what is there.
+    A ``cleaned_path`` is stored once: which ones came before is the query's
+    state, kept in its checkpoint, so a batch reads no more than its own files
+    and the target is not scanned. The file sink's log makes a batch that is
+    replayed after a failure add nothing twice. Rows without a path name no
+    file and are left out; a manifest that lists a path again repeats its row.
+    The query stops when it has read what is there.
     """
     new = spark.readStream.schema(schema).option("header", "true").csv(source)
-
-    def store(batch: DataFrame, _: int) -> None:
-        try:
-            done = spark.read.parquet(target).select("cleaned_path")
-            batch = batch.join(done, "cleaned_path", "left_anti")
-        except Exception as e:  # the first batch finds no table
-            if "PATH_NOT_FOUND" not in str(e):
-                raise
-        resolve_license(batch.dropDuplicates(["cleaned_path"]), urls, families).write.mode("append").parquet(target)
-
-    return new.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    once = new.where("cleaned_path IS NOT NULL").dropDuplicates(["cleaned_path"])
+    return resolve_license(once, urls, families).writeStream.format("parquet").outputMode("append").option("path", target).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
