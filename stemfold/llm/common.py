@@ -1,9 +1,7 @@
-"""Shared helpers: lineage cuts in the shared folder and hashing of words in bulk."""
+"""Shared helpers: samples, slices and hashing of words in bulk; lineage cuts are the library's."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,25 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-_own_dir: list[str] = []
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder of ``spark.checkpoint.dir``; where that is unset (tests), a temporary folder of this process."""
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if base:
-        return base.rstrip("/")
-    if not _own_dir:
-        _own_dir.append(tempfile.mkdtemp(prefix="stemfold-"))
-    return f"file://{_own_dir[0]}"
-
-
-def cut(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, so that later jobs do not depend on earlier tasks."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stemfold/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from stemfold.sources.scratch import cut as cut
 
 
 def n_parts(spark: SparkSession) -> int:

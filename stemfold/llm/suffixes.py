@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemfold.llm.common import BYTE_VALUE, binary, cut, hash_sample, mix, n_parts, slices
+from stemfold.llm.common import BYTE_VALUE, binary, cut, mix, n_parts, slices
 
 #: A suffix starts at an anchor; this many bytes from there are its leading token.
 LEAD = 24
@@ -19,6 +19,8 @@ INVERSE = pow(BASE, -1, 1 << 64)
 #: Contexts of one leading token above this number are settled window by window across tasks.
 MANY = 4096
 PLACE = np.uint64((1 << 24) - 1)
+#: One suffix stands for about so many bytes of text.
+BYTES_A_SUFFIX = 37
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -218,21 +220,32 @@ def _runs(doc: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, n
     return d[new], s[new], s[stop] - s[new] + 1 if len(d) else s[new]
 
 
-def repeated_windows(docs: DataFrame, id_col: str, text_col: str, length: int, sample_docs: int = 4096) -> DataFrame:
-    """(doc, first, windows): runs of starts of ``length``-byte windows that also start earlier. Ids are longs."""
+def repeated_windows(docs: DataFrame, id_col: str, text_col: str, length: int, sample_docs: int = 4096, sample_suffixes: int = 400_000, range_bytes: int = 64 << 20, most_ranges: int = 10_000) -> DataFrame:
+    """(doc, first, windows): runs of starts of ``length``-byte windows that also start earlier. Ids are longs.
+
+    Splitters come from about ``sample_suffixes`` suffixes of about
+    ``sample_docs`` documents, whatever their length, so the driver holds no
+    more than these. There is a range for each ``range_bytes`` of text, as
+    many as shuffle partitions at least and ``most_ranges`` at most.
+    """
     spark = docs.sparkSession
     pick = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
 
+    size, bytes_ = pick.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
+    drawn = pick.where(F.pmod(F.xxhash64("id", F.octet_length("text")), F.lit(1 << 31)) < int(min(1.0, sample_docs / max(1, size)) * (1 << 31)))
+    step = max(1, (drawn.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // (BYTES_A_SUFFIX * sample_suffixes))
+    n_ranges = min(max(n_parts(spark), -(-(bytes_ or 0) // range_bytes)), most_ranges)
+
     def sampled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, texts = _arrays(b)
             for i, j in slices(texts):
                 s = _suffixes(ids[i:j], texts[i:j], length)
-                s = s[:: max(1, len(s) // 65_536)]
+                s = s[::step]
                 yield pa.record_batch([pa.array([s.tobytes()], pa.binary())], names=["s"])
 
-    some = hash_sample(pick, sample_docs, "id").mapInArrow(sampled, "s binary").collect()
-    splitters = Splitters(np.frombuffer(b"".join(r[0] for r in some), SUFFIX), n_parts(spark))
+    some = drawn.mapInArrow(sampled, "s binary").collect()
+    splitters = Splitters(np.frombuffer(b"".join(r[0] for r in some), SUFFIX), n_ranges)
 
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -308,11 +321,12 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, length: int, s
         for b in batches:
             if b.num_rows:
                 h, doc, start = _windows(*columns(b), b.column(5).to_pylist(), length)
-                yield pa.record_batch([pa.array(h.view(np.int64)), pa.array(doc), pa.array(start)], names=["h", "doc", "start"])
+                n = np.maximum(np.minimum(b.column(4).to_numpy(), np.array([len(x) for x in b.column(5).to_pylist()]) - length + 1), 0)
+                yield pa.record_batch([pa.array(np.repeat(b.column(0).to_numpy(), n)), pa.array(h.view(np.int64)), pa.array(doc), pa.array(start)], names=["lead", "h", "doc", "start"])
 
-    hot = cut(near.where("hot").select("lead", "doc", "anchor", "first", "windows", "bytes").mapInArrow(exploded, "h bigint, doc bigint, start bigint"), "windows")
-    least = hot.groupBy("h").agg(F.min(F.struct("doc", "start")).alias("least"), F.count("*").alias("n")).where("n > 1").select("h", "least")
-    late = hot.join(least, "h").where(F.struct("doc", "start") > F.col("least")).select("doc", F.col("start").alias("first"), F.lit(1).cast("bigint").alias("windows"))
+    hot = cut(near.where("hot").select("lead", "doc", "anchor", "first", "windows", "bytes").mapInArrow(exploded, "lead bigint, h bigint, doc bigint, start bigint"), "windows")
+    least = hot.groupBy("lead", "h").agg(F.min(F.struct("doc", "start")).alias("least"), F.count("*").alias("n")).where("n > 1").select("lead", "h", "least")
+    late = hot.join(least, ["lead", "h"]).where(F.struct("doc", "start") > F.col("least")).select("doc", F.col("start").alias("first"), F.lit(1).cast("bigint").alias("windows"))
     return whole.unionByName(plain).unionByName(late)
 
 
