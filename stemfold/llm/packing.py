@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stemfold.llm.common import cut, hash_sample, n_parts
+from stemfold.llm.common import cut, n_parts
 
 #: Fixed value: how byte-level BPE cuts a text before merging.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -122,16 +122,20 @@ def _wide(blob: bytes) -> np.ndarray:
     return np.frombuffer(blob, "<u2" if blob[0] == 2 else "<u4", offset=1).astype("<u4")
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 2048, end_id: int = 1, sample: int = 50_000, range_ids: int = 4_000_000) -> DataFrame:
+def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text", length: int = 2048, end_id: int = 1, range_ids: int = 4_000_000, most_ranges: int = 10_000) -> DataFrame:
     """One row for each piece: id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     All documents stand in order of (Hilbert key, hash of id, id) as one
     stream of ids, each ended by ``end_id``; the stream is cut at every
     multiple of ``length``. Only the last sequence can be short.
 
-    The order is a range partitioning: splitters come from about ``sample``
-    keys weighed by their ids, so that a range has about ``range_ids`` ids at
-    any size, and a key that many documents share is split by id too. One
+    The order is a range partitioning: splitters come from about 16 sampled
+    rows a range weighed by their ids. A range has about ``range_ids`` ids, or
+    more where that would make over ``most_ranges``: ranges are sorted by
+    Spark, which spills, and read as a stream, so what bounds them is time and
+    not memory, while the driver and each task hold a few numbers for each of at
+    most ``most_ranges``. A key that many documents share is split by id too,
+    and rows that repeat an id by a few bits of their place in the written table. One
     small aggregate gives the ids in each range; from these sums each range
     knows where in the stream it starts, and ids are shuffled once.
 
@@ -139,10 +143,13 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     rows are packed each. Extra columns are not read.
     """
     spark = docs.sparkSession
-    rows = cut(tokenized(docs, id_col, text_col, tokenizer_path, end_id).withColumn("tie", F.xxhash64("id")), "tokens")
-    total = rows.agg(F.sum("n")).first()[0] or 0
-    parts = max(n_parts(spark), -(-total // range_ids))
-    drawn = hash_sample(rows.select("key", "tie", "n"), max(sample, 16 * parts), "tie", "key").toPandas().sort_values(["key", "tie"])
+    place = F.monotonically_increasing_id()
+    rows = cut(tokenized(docs, id_col, text_col, tokenizer_path, end_id).withColumns({"tie": F.xxhash64("id").bitwiseAND(~0xFFFF).bitwiseOR(place.bitwiseAND(0xFFFF)), "draw": F.xxhash64("id", place)}), "tokens")
+    count, total = rows.agg(F.count("*"), F.sum("n")).first()
+    parts = min(max(n_parts(spark), -(-(total or 0) // range_ids)), most_ranges)
+    # each row is drawn for itself, so repeated ones do not come or go together
+    some = rows.where(F.pmod("draw", F.lit(1 << 31)) < int(min(1.0, 16 * max(parts, 1000) / max(1, count)) * (1 << 31)))
+    drawn = some.select("key", "tie", "n").toPandas().sort_values(["key", "tie"])
     # splitters stand at equal shares of ids, not of documents
     at = np.searchsorted(drawn["n"].cumsum().to_numpy(), np.arange(1, parts) * (drawn["n"].sum() / parts)) if len(drawn) else np.zeros(0, np.int64)
     splitters = sorted({(int(drawn["key"].iat[k]), int(drawn["tie"].iat[k])) for k in at})
@@ -158,7 +165,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
             yield pa.record_batch([*b.columns, pa.array(bucket.astype(np.int32))], names=[*b.schema.names, "bucket"])
 
     sums = rows.select("key", "tie", "n").mapInArrow(ranged, "key bigint, tie bigint, n bigint, bucket int").groupBy("bucket").agg(F.sum("n").alias("n"))
-    totals = {r["bucket"]: r["n"] for r in sums.collect()}  # as many rows as partitions
+    totals = {r["bucket"]: r["n"] for r in sums.collect()}  # most_ranges rows at most
     starts, at = {}, 0
     for b in range(len(splitters) + 1):
         starts[b] = at
