@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stemfold.llm.common import cut
+
 #: Fixed value: the multiplier of the method's linear congruential generator.
 LCG = 2862933555777941757
 LOW = 0xFFFFFFFF
@@ -40,6 +42,10 @@ def jump_path(key: Column, shards: int) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(shards)), start, step)
 
 
+#: Copies of a row that are put out from one list.
+STRETCH = 10_000
+
+
 def assign_shards(df: DataFrame, key_col: str, text_col: str, shards: int, blocks: int = 256) -> DataFrame:
     """One row for each row of ``df``: its shard among ``shards``, its slot in it, and its shard if one more is appended.
 
@@ -48,20 +54,26 @@ def assign_shards(df: DataFrame, key_col: str, text_col: str, shards: int, block
     has no bytes and the CRC of the empty text. Repeated rows each get a slot.
     Extra columns of ``df`` are not read.
 
-    Slots count from 0 without gaps. To number a shard in parallel, it is cut
-    into ``blocks`` by a hash of the key: rows are numbered within a block and
-    the block's offset is added, so no task holds a whole shard. A row's tie
-    break is (key, CRC, size), so the slots do not depend on partitioning.
+    Slots count from 0 without gaps. The recurrence runs once a row; what it
+    gives is written without the texts. To number a shard in parallel, it is
+    cut into ``blocks`` by a hash of key, CRC and size, so a key that many
+    rows share is spread. Rows alike in all of these are counted before they are
+    numbered, and then take as many slots in a row; so no task sorts a whole
+    shard or a third of the table, and slots do not depend on partitioning.
     """
     kind = dict(df.dtypes)[key_col]
     raw = F.col(key_col)
     key = F.coalesce(raw.cast("long") if kind in ("tinyint", "smallint", "int", "bigint") else F.when(raw.isNull(), 0).otherwise(F.xxhash64(raw)), F.lit(0).cast("long"))
     text = F.coalesce(F.col(text_col).cast("binary"), F.lit(b""))
-    path = df.select(raw.alias("key"), jump_path(key, shards).alias("path"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block"), (F.octet_length(text).cast("long") + 16).alias("size"), F.crc32(text).alias("text_crc32"))
-    rows = path.select("key", "block", "size", "text_crc32", F.col("path.shard").cast("int").alias("shard"), F.when(F.col("path.jump") == shards, shards).otherwise(F.col("path.shard")).cast("int").alias("grown_shard"))
-    counts = df.select(jump_path(key, shards)["shard"].cast("int").alias("shard"), F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block")).groupBy("shard", "block").agg(F.count("*").alias("n"))
+    path = df.select(raw.alias("key"), jump_path(key, shards).alias("path"), (F.octet_length(text).cast("long") + 16).alias("size"), F.crc32(text).alias("text_crc32"))
+    rows = path.select("key", "size", "text_crc32", F.col("path.shard").cast("int").alias("shard"), F.when(F.col("path.jump") == shards, shards).otherwise(F.col("path.shard")).cast("int").alias("grown_shard"))
+    alike = cut(rows.groupBy("shard", "grown_shard", "key", "text_crc32", "size").agg(F.count("*").alias("n")).withColumn("block", F.pmod(F.xxhash64("key", "text_crc32", "size"), F.lit(blocks)).cast("int")), "shards")
+    counts = alike.groupBy("shard", "block").agg(F.sum("n").alias("n"))
     offsets = counts.selectExpr("shard AS o_shard", "block AS o_block", "coalesce(sum(n) OVER (PARTITION BY shard ORDER BY block ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS offset")
-    numbered = rows.selectExpr("*", "row_number() OVER (PARTITION BY shard, block ORDER BY key, text_crc32, size) - 1 AS place")
+    numbered = alike.selectExpr("*", "coalesce(sum(n) OVER (PARTITION BY shard, block ORDER BY key, text_crc32, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0L) AS place")
     # shards x blocks rows: bounded by the two parameters
     joined = numbered.join(F.broadcast(offsets), (F.col("shard") == F.col("o_shard")) & (F.col("block") == F.col("o_block")))
-    return joined.select(F.col("key").alias(key_col), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("place")).cast("long").alias("slot"), "grown_shard")
+    # copies come back in stretches, so that no list of them grows with the table
+    stretches = joined.withColumn("from", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1, F.lit(STRETCH).cast("long"))))
+    each = stretches.withColumn("copy", F.explode(F.sequence(F.col("from"), F.least(F.col("from") + STRETCH, F.col("n")) - 1)))
+    return each.select(F.col("key").alias(key_col), "size", "text_crc32", F.lit("key").alias("law"), "shard", (F.col("offset") + F.col("place") + F.col("copy")).cast("long").alias("slot"), "grown_shard")

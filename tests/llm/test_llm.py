@@ -94,6 +94,18 @@ def test_shards(docs, corpus, empty):
     assert assign_shards(empty, "doc_id", "text", 40).count() == 0
 
 
+def test_shards_of_a_hot_key(spark):
+    """A third of the rows are one row, another part shares its null key with other texts."""
+    rows = [(None, "same")] * 400 + [(None, f"text {k}") for k in range(200)] + [(5, "x")] * 100 + [(k, "y") for k in range(500)]
+    got = assign_shards(frame(spark, rows).repartition(6), "doc_id", "text", 7).toPandas()
+    assert len(got) == len(rows) and (got[got.doc_id.isna()].shard == jump(0, 7)).all()
+    assert all(sorted(g.slot) == list(range(len(g))) for _, g in got.groupby("shard"))
+    assert sorted(got.text_crc32) == sorted(zlib.crc32(t.encode()) for _, t in rows)
+    again = assign_shards(frame(spark, rows[::-1]).repartition(2), "doc_id", "text", 7).toPandas()
+    order = ["shard", "slot"]
+    assert got.sort_values(order).astype(str).values.tolist() == again.sort_values(order).astype(str).values.tolist()
+
+
 def test_shards_of_negative_and_other_keys(spark):
     df = spark.createDataFrame([(-5, "a"), (2**62, "b")], "k bigint, t string")
     assert {r["k"]: r["shard"] for r in assign_shards(df, "k", "t", 7).collect()} == {k: jump(k, 7) for k in (-5, 2**62)}
@@ -320,6 +332,44 @@ def test_contaminated(spark, docs, empty):
     assert normal("É, Ab-c") == "é  ab c".encode()
 
 
+def test_running_hash_is_that_of_the_words_alone():
+    from stemfold.llm.decontaminate import seed_hashes
+
+    rng = np.random.default_rng(3)
+    words = rng.integers(0, 2**63, 6000, dtype=np.uint64)
+    for k in (1, 3, 5):
+        whole = seed_hashes(words, k)
+        assert len(whole) == 6000 - k + 1 and all(whole[i] == seed_hashes(words[i : i + k], k)[0] for i in (0, 7, 4095, 4096, 5990))
+    assert len(seed_hashes(words[:2], 3)) == 0
+
+
+def test_ids_of_any_type_and_clashing_names(spark):
+    from decimal import Decimal
+
+    t = "one two three four five six seven eight"
+    for kind, value in (("smallint", 3), ("decimal(10,0)", Decimal(3)), ("binary", b"k"), ("string", "k"), ("date", __import__("datetime").date(2024, 1, 2))):
+        docs = spark.createDataFrame([(value, t + " and more", 1)], f"item_id {kind}, text string, coverage int")
+        bench = spark.createDataFrame([(value, t), (value, t), (None, t)], f"item_id {kind}, text string")
+        got = contaminated(docs, bench, id_col="item_id")
+        assert got.columns[:2] == ["item_id", "benchmark_item_id"] and got.count() == 2
+        assert {bytes(r[1]) if isinstance(r[1], bytearray) else r[1] for r in got.collect()} == {value, None}
+
+
+def test_hashes_that_collide_do_not_count(monkeypatch):
+    """With one hash for every run of words, and one for every word, only words that agree are matches."""
+    import stemfold.llm.decontaminate as M
+
+    monkeypatch.setattr(M, "mix", lambda h: np.zeros_like(h))
+    rng = random.Random(2)
+    for _ in range(30):
+        a, b = ([rng.randrange(3) for _ in range(18)] for _ in range(2))
+        assert sum(n for *_, n in tiles(np.array(a, np.uint64), np.array(b, np.uint64), 2)) == brute_tiles(a, b, 2)
+    monkeypatch.setattr(M, "word_hashes", lambda texts: (np.zeros(sum(len(t.split()) for t in texts), np.uint64), np.array([len(t.split()) for t in texts])))
+    block = M.Block.of([(1, "a b c d e f"), (2, "x y")], 5)
+    assert list(block.search(b"p q r s t u v", M.word_hashes([b"p q r s t u v"])[0], 5, 0.5)) == []
+    assert [x[0] for x in block.search(b"p q x y", M.word_hashes([b"p q x y"])[0], 5, 0.5)] == [2]
+
+
 def test_short_benchmark_items_are_found_whole(spark):
     docs = spark.createDataFrame([(1, "so One, two THREE it is"), (2, "one two four three"), (3, "three"), (4, None), (5, "a b c d")], "doc_id bigint, text string")
     bench = spark.createDataFrame([(7, "one two three"), (8, "three"), (9, " . "), (10, "b c d"), (11, "B C, d")], "item_id bigint, text string")
@@ -382,6 +432,22 @@ def test_repeats_of_long_texts_in_pieces(spark, monkeypatch):
     assert all(p["windows"].sum() == len(x) - 99 for p, (_, x) in zip(parts, rows, strict=True))
 
 
+def test_repeats_with_hot_ids_and_bounded_ranges(spark):
+    """Null and repeated ids, many ranges, a sample of few suffixes: the result is the same."""
+    from stemfold.llm.suffixes import repeated_windows
+
+    rng = random.Random(16)
+    base = [text(rng, 60) for _ in range(12)]
+    rows = [(k, base[k % 12] + " " + text(rng, 10)) for k in range(60)] + [(None, base[0])] * 40
+    df = frame(spark, rows).repartition(5)
+    got = drop_repeats(df).toPandas()
+    want = brute_repeats([r for r in rows if r[0] is not None], 100)
+    assert {int(r.doc_id): (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got[got.doc_id.notna()].itertuples()} == want
+    assert (got.doc_id.isna().sum(), got[got.doc_id.isna()].n_removed.sum()) == (40, 0)
+    runs = lambda **how: {(r["doc"], k) for r in repeated_windows(df, "doc_id", "text", 100, **how).collect() for k in range(r["first"], r["first"] + r["windows"])}
+    assert runs() == runs(range_bytes=200, most_ranges=40, sample_suffixes=50) == runs(sample_docs=1)
+
+
 def test_repeats_of_nothing(empty):
     assert drop_repeats(empty).count() == 0
 
@@ -594,6 +660,21 @@ def test_packing_is_a_round_trip(spark, docs, corpus, empty):
     assert pack_documents(empty, tokenizer_path()).count() == 0
 
 
+def test_packing_of_hot_rows_and_many_ranges(spark):
+    """A third of the rows are one row; ranges are few or many; the stream has no gap."""
+    rng = random.Random(21)
+    rows = [(None, "same text again")] * 150 + [(4, "other")] * 100 + [(k, text(rng, rng.randint(0, 40))) for k in range(200)]
+    encode = encoder(tokenizer_path())
+    total = sum(len(encode(t)) + 1 for _, t in rows)
+    for how in ({}, {"range_ids": 50}, {"range_ids": 50, "most_ranges": 3}):
+        got = pack_documents(frame(spark, rows).repartition(7), tokenizer_path(), length=64, **how).toPandas()
+        at = sorted((got.sequence_id * 64 + got.offset).tolist())
+        ends = dict(zip(got.sequence_id * 64 + got.offset, got.length, strict=True))
+        assert len(ends) == len(got) and sum(ends.values()) == total and at[0] == 0
+        assert all(a + ends[a] == b for a, b in zip(at, at[1:], strict=False))
+        assert got[got.doc_id.isna()].length.sum() == 150 * (len(encode("same text again")) + 1)
+
+
 def test_hilbert_steps_to_a_neighbour():
     side = 8
     points = np.array([(x, y, z) for x in range(side) for y in range(side) for z in range(side)])
