@@ -172,3 +172,154 @@ def test_violations_of_each_rule(spark):
     found = Q.violations(Q.required(df, "g", "id"), Q.disjoint(df, "g"), Q.finite(df, "x", "id"), Q.fixed_length(df, "x", 1.0, "id"), Q.inside(df, "id", F.lit(0), F.col("id"), 2), Q.sizes(df, "split", {"train": 1, "val": 2}))
     got = sorted((r["rule"], r["key"]) for r in found.collect())
     assert got == [("disjoint", "a"), ("finite", "2"), ("inside", "3"), ("length", "2"), ("length", "3"), ("required", "2"), ("size", "val")]
+
+
+def test_names_that_are_no_open_licence_grant_nothing(spark):
+    names = ["All rights reserved", "CC BY-NC 4.0", "Creative Commons NC", "Licence Art Libre", "com", None, ""]
+    df = spark.createDataFrame([(n,) for n in names], "n string").withColumn("f", S.license_flags(F.col("n")))
+    got = values(df.select("f.commercial", S.usage_class(F.col("f.commercial"), F.col("f.derivative")).alias("use"), S.license_name(F.col("n")).alias("name")), "commercial", "use", "name")
+    assert got == [(None, "nd", None), (False, "nc", "CC-BY-NC"), (None, "nd", "Unclear CC License"), (True, "com", "Art Libre"), (None, "nd", None), (None, "nd", None), (None, "nd", None)]
+
+
+def test_clips_without_a_code_keep_a_probability(spark):
+    df = spark.createDataFrame([("eng",), (None,), ("xyz",), ("eng",), (None,)], "langcode string")
+    families = spark.createDataFrame([("germanic", ["eng", "eng"], 4_000_000)], "language_family string, members array<string>, users bigint")
+    got = sorted((r["langcode"] or "", r["n_files"], round(r["sample_prob"], 9)) for r in C.sampling_probability(df, families).collect())
+    assert got == [("", 2, round(1 / 12, 9)), ("", 2, round(1 / 12, 9)), ("eng", 2, round(1 / 3, 9)), ("eng", 2, round(1 / 3, 9)), ("xyz", 1, round(1 / 6, 9))]
+
+
+def test_outputs_without_the_mixture(spark, tmp_path):
+    from stemfold.sources import manifests as M
+
+    df = spark.createDataFrame([(1, "mixture"), (1, "speech"), (1, "speech"), (1, "music_sfx"), (2, None)], "idx int, submix string").selectExpr("*", "'default' AS subset", "'train' AS split")
+    assert sorted(values(M.outputs(df, ["idx"], True), "submix")) == [("mixture",), ("music_sfx",), ("speech",)]
+    assert sorted(values(M.outputs(df, ["idx"], False), "submix")) == [("music_sfx",), ("speech",)]
+    M.write_annotations(df, str(tmp_path / "a"), ["music_sfx"])
+    assert values(spark.read.parquet(str(tmp_path / "a")), "submix") == [("speech",)] * 2
+
+
+def test_sources_without_a_subset_are_listed(spark):
+    df = spark.createDataFrame([("full/48k", None), ("a", None), (None, None), ("a", "nc")], "source string, subset string")
+    assert sorted(values(C.without_subset(df), "source"), key=str) == [("a",), (None,)]
+    assert sorted(values(C.select_subset(df, "nc"), "source")) == [("a",), ("full/48k",)]
+
+
+def test_quantiles_are_exact_in_blocks(spark):
+    import numpy as np
+
+    from stemfold.operators import stats as A
+
+    rng = np.random.default_rng(3)
+    data = {"a": rng.normal(size=501).tolist(), "b": [1.0, 2.0], None: [5.0] * 40 + [7.0], "c": [4.0], "d": rng.integers(0, 5, 300).astype(float).tolist()}
+    rows = [(k, v) for k, vs in data.items() for v in vs] + [("a", None), ("a", float("nan")), ("e", None)]
+    df = spark.createDataFrame(rows, "k string, v double").repartition(4)
+    shares = [0.0, 0.25, 0.5, 0.9, 1.0]
+    got = {r["k"]: [r[f"q{j}"] for j in range(len(shares))] for r in A.quantiles(df, F.col("v"), ["k"], shares, blocks=8).collect()}
+    assert set(got) == set(data)
+    for k, vs in data.items():
+        assert got[k] == pytest.approx(np.quantile(vs, shares).tolist())
+    assert {r["k"] for r in A.describe(df, F.col("v"), "k").collect()} == {*data, "e"}
+
+
+def test_mix_and_overlap_in_blocks(spark, monkeypatch):
+    import numpy as np
+
+    monkeypatch.setattr(L, "BLOCK", 5)
+    rng = np.random.default_rng(1)
+    stems = [(k % 3, rng.normal(size=int(rng.integers(0, 23))).tolist(), int(rng.integers(-6, 30))) for k in range(20)]
+    df = spark.createDataFrame(stems, "m int, x array<double>, start int")
+    got = {r["m"]: r["signal"] for r in L.mix(df, ["m"], "x").collect()}
+    added = {(r["m"], r["pos"]): r["x"] for r in L.overlap_add(df, ["m"], "start", "x", 33).collect()}
+    assert len(added) == 3 * 33
+    for m in range(3):
+        own = [(np.array(x), s) for k, x, s in stems if k == m]
+        want = np.zeros(max(len(x) for x, _ in own))
+        line = np.zeros(100)
+        for x, s in own:
+            want[: len(x)] += x
+            line[s + 20 : s + 20 + len(x)] += x
+        assert got[m] == pytest.approx(want.tolist())
+        assert [added[m, p] for p in range(33)] == pytest.approx(line[20:53].tolist())
+
+
+def test_ladder_steps_are_those_of_single_thresholds(spark):
+    import random
+
+    rng = random.Random(4)
+    df = spark.createDataFrame([(k, i, rng.choice([-60.0, -30.0, -12.0, -5.0])) for k in range(6) for i in range(60)], "k int, pos int, v double")
+    drops = [30.0, 20.0, 5.0]
+    single = {j: sorted(values(W.nonsilent(df, "k", "pos", "v", 0.5, d), "k", "start_time", "end_time")) for j, d in enumerate(drops)}
+    got = values(W.ladder_split(df, "k", "pos", "v", 0.5, 4.0, drops), "k", "step", "start_time", "end_time")
+    for k in range(6):
+        fit = [j for j in single if any(r[0] == k for r in single[j]) and all(b - a <= 4.0 for kk, a, b in single[j] if kk == k)]
+        want = fit[0] if fit else max(j for j in single if any(r[0] == k for r in single[j]))
+        assert sorted((a, b) for kk, _, a, b in got if kk == k) == [(a, b) for kk, a, b in single[want] if kk == k]
+
+
+def test_balanced_split_picks_as_the_plain_search_does(spark):
+    rows = [("c", f"s{k}", "female" if k % 3 else "male", float((k * 37) % 11 + 1)) for k in range(60)]
+    share = {"train": 0.7, "val": 0.1, "test": 0.2}
+    got = {r["speaker"]: (r["split"], r["seed"]) for r in P.balanced_split(spark.createDataFrame(rows, "corpus string, speaker string, gender string, duration double"), share, 1.0, 1).collect()}
+    draws = {r["s"]: r["d"] for r in spark.createDataFrame([(s,) for _, s, _, _ in rows], "s string").select("s", D.u(0, "balance", F.lit(0), F.col("s")).alias("d")).collect()}
+    order = sorted(((draws[s], s, d) for _, s, _, d in rows))
+    left, need = {k: d for k, (_, _, d) in enumerate(order)}, {s: p * sum(r[3] for r in rows) for s, p in share.items()}
+    while left:
+        name = max(need, key=lambda s: (need[s], s))
+        pick = min(left, key=lambda k: (abs(left[k] - need[name]), k))
+        need[name] -= left.pop(pick)
+        assert got[order[pick][1]] == (name, 0)
+
+
+def test_precomputed_draws_and_shuffles_by_their_names(spark):
+    made = T.precompute(spark, {"train": 5, "val": 2}, 3, -17.0, 2.0, -27.0, 1.0, 12.0)
+    rows = made.select("split", "idx")
+    again = T.precomputed_draws(rows, 3, -17.0, 2.0, -27.0, 1.0, 12.0)
+    cols = ["split", "idx", "speech_lufs", "master_lufs", "speech_segments"]
+    assert sorted(values(made, *cols)) == sorted(values(again, *cols)) and made.count() == 7
+    keys = spark.range(50).withColumnRenamed("id", "key")
+    draw = D.u(6, "shuffle", F.col("key"))
+    plain = [r[0] for r in values(C.seeded_shuffle(keys, draw, "key"), "key")]
+    counts = spark.createDataFrame([(0, 50)], "idx bigint, n bigint")
+    slots = sorted(values(T.exhaust(keys, "key", counts, 6, tag="shuffle", keyed_by_loop=False), "slot", "key"))
+    assert [k for _, k in slots] == plain
+
+
+def test_headers_are_dropped_from_each_file_and_not_from_its_later_splits(spark, tmp_path):
+    from stemfold.sources import manifests as M
+
+    for f in range(3):
+        (tmp_path / f"{f}.txt").write_text("# a\n# b\nid\tname\n" + "".join(f"{f * 1000 + k}\tn{k}\n" for k in range(400)) + "\n")
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "900b")
+    try:
+        got = M.read_manifest(spark, str(tmp_path), "id int, name string", "tab", 3)
+        assert sorted(r["id"] for r in got.collect()) == [f * 1000 + k for f in range(3) for k in range(400)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    from types import SimpleNamespace
+
+    from stemfold.sources import scratch
+
+    kept, scratch._own_dir[:] = scratch._own_dir[:], []
+    try:
+        conf = {"spark.master": "spark://host:7077"}
+        with pytest.raises(RuntimeError):
+            scratch.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: conf.get(k, d))))
+        assert scratch.shared_dir(SimpleNamespace(conf=SimpleNamespace(get=lambda k, d=None: "/shared/" if k == "spark.checkpoint.dir" else d))) == "/shared"
+    finally:
+        scratch._own_dir[:] = kept
+
+
+def test_what_was_cut_can_be_cleared(spark):
+    import os
+
+    from stemfold.sources import scratch
+
+    df = scratch.cut(spark.range(5), "small")
+    folder = scratch.fresh(spark, "x").removeprefix("file://").rpartition("/")[0]
+    assert df.count() == 5 and os.path.isdir(folder)
+    scratch.clear(spark)
+    assert not os.path.isdir(folder)
