@@ -156,51 +156,57 @@ def document_statistics(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return df.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {dict(df.dtypes)[id_col]}, x binary")
 
 
-def fit_quality(stats: DataFrame, labels: DataFrame, id_col: str, label_col: str, max_rows: int = 20_000, fold: int = 5) -> Trees:
-    """Fit on about ``max_rows`` labelled rows (a sample by hash of the id), so the driver holds a bounded matrix.
-
-    Rows with ``crc32(id as text) mod fold = 0`` are held out. Rows without a
-    label or id are left out; an id labelled more than once takes the mean,
-    0.5 and more counting as 1. The label is only ever the target.
+def fit_quality(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_col: str, max_rows: int = 20_000, fold: int = 5) -> Trees:
+    """Fit on the documents of about ``max_rows`` labelled ids (a sample by hash of the id), so the driver holds a bounded matrix.
+
+    The sampled ids are few and are broadcast; statistics are made of their
+    documents only, and no text is shuffled. Rows with ``crc32(id as text) mod
+    fold = 0`` are held out. Rows without a label or id are left out; an id
+    labelled more than once takes the mean, 0.5 and more counting as 1, and an
+    id with several documents is one row. The label is only ever the target.
     """
     of = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg((F.avg(label_col) >= 0.5).cast("int").alias("y"))
-    of = of.where(F.crc32(F.col("l_id").cast("string")) % fold != 0)
-    joined = cut(stats.join(of, F.col(id_col) == F.col("l_id")).select("x", "y", "l_id"), "labelled")
-    rows = hash_sample(joined, max_rows, "l_id").orderBy("l_id", "x").select("x", "y").toPandas()
+    of = of.where("l_id IS NOT NULL").where(F.crc32(F.col("l_id").cast("string")) % fold != 0)
+    some = hash_sample(cut(of, "labels"), max_rows, "l_id")
+    texts = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).alias("text")).join(F.broadcast(some.select("l_id")), F.col("d_id") == F.col("l_id"), "left_semi")
+    stats = document_statistics(texts, "d_id", "text").groupBy("d_id").agg(F.min("x").alias("x"))
+    rows = stats.join(F.broadcast(some), F.col("d_id") == F.col("l_id")).select("l_id", "x", "y").toPandas().sort_values("l_id")
     return fit_trees(_matrix([bytes(v) for v in rows["x"]]), rows["y"].to_numpy(np.float64))
 
 
-def score_statistics(stats: DataFrame, model: Trees, id_col: str) -> DataFrame:
-    """(id, score): the probability of label 1 for each row of ``document_statistics``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            yield pa.record_batch([b.column(0), pa.array(model.scores(_matrix(b.column(1).to_pylist())))], names=[id_col, "score"])
-
-    return stats.mapInArrow(run, f"`{id_col}` {dict(stats.dtypes)[id_col]}, score double")
-
-
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3, fold: int = 5, max_rows: int = 20_000) -> DataFrame:
     """One row for each row of ``docs``: id, held_out, score, predicted.
 
-    The statistics are made once and written; they are small beside the texts.
-    Null and empty texts have zero statistics and a score like any other. A
-    row with a null id is scored and is not held out. Extra columns are not read.
+    Texts are read once for the scores and shuffled never. Null and empty
+    texts have zero statistics and a score like any other. A row with a null
+    id is scored and is not held out; repeated rows have equal scores. Extra
+    columns are not read.
     """
-    stats = cut(document_statistics(docs, id_col, text_col), "statistics")
-    model = fit_quality(stats, labels, id_col, label_col, max_rows, fold)
+    model = fit_quality(docs, labels, id_col, text_col, label_col, max_rows, fold)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield pa.record_batch([b.column(0), pa.array(model.scores(all_statistics(b.column(1))))], names=[id_col, "score"])
+
+    scored = docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {dict(docs.dtypes)[id_col]}, score double")
     held = F.coalesce(F.crc32(F.col(id_col).cast("string")) % fold == 0, F.lit(False))
-    return score_statistics(stats, model, id_col).select(id_col, held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+    return scored.select(id_col, held.alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", threshold: float = 0.3) -> DataFrame:
-    """The rows of ``docs``, all columns, whose score is at least ``threshold``; scored and filtered in one pass without a shuffle of texts."""
-    model = fit_quality(cut(document_statistics(docs, id_col, text_col), "statistics"), labels, id_col, label_col)
+    """The rows of ``docs``, all columns, whose score is at least ``threshold``; scored and filtered in one pass without a shuffle of texts.
+
+    A null or empty text is scored like any other; rows with a null id and
+    repeated rows stay or go by their text alone; an empty table stays empty,
+    and without labels every score is 0.5, so all rows stay. Other columns
+    pass through whatever their names.
+    """
+    model = fit_quality(docs, labels, id_col, text_col, label_col)
     at = docs.columns.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            yield b.filter(pa.array(model.scores(all_statistics(b.column(at))) >= threshold))
+            yield b.filter(pa.array(model.scores(all_statistics(b.column(at))) >= threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
