@@ -137,7 +137,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     kind = dict(docs.dtypes)[id_col]
     ids = target_ids.select(F.col(target_ids.columns[0]).alias("t_id")).where("t_id IS NOT NULL").distinct()
     named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    flagged = named.join(ids.hint("merge"), F.col("id") == F.col("t_id"), "left").select("id", "text", F.col("t_id").isNotNull().alias("in_target"))
+    joined = named.where("id IS NOT NULL").join(ids.hint("merge"), F.col("id") == F.col("t_id"), "left").select("id", "text", F.col("t_id").isNotNull().alias("in_target"))
+    flagged = joined.unionByName(named.where("id IS NULL").withColumn("in_target", F.lit(False)))  # rows without an id are not shuffled to one task
     dealt = cut(blocks(flagged), "blocks")
     asked = cut(block_counts(dealt), "trigrams")
     model = cut(losses(cut(asked.groupBy("code").agg(F.sum("background").alias("background"), F.sum("target").alias("target")), "counts")), "losses")
