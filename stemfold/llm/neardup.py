@@ -274,7 +274,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **how: int) -> DataFrame:
-    """The rows of ``docs``, all columns, that are the first of their group. Repeated rows of a kept id all stay."""
+    """The rows of ``docs``, all columns, that are the first of their group.
+
+    The smallest id of a group stays; rows that repeat a kept id all stay, and
+    so do rows with a null id and rows without words, which are in no group. An
+    empty table stays empty. Other columns pass through whatever their names.
+    """
     found = near_duplicates(docs, id_col, text_col, **how)
     gone = found.where("NOT kept").select(id_col).distinct()
     return docs.join(gone, id_col, "left_anti").select(docs.columns)

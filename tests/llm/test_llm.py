@@ -816,3 +816,29 @@ def test_pipeline_stages(spark):
         assert not base(r.text) and r.n_chars == len(r.text) and (base(before[r.doc_id]) or r.text == before[r.doc_id])
     packed = stage["packing"](spark, spark.createDataFrame(masked), TINY).toPandas()
     assert set(packed.doc_id) == set(masked.doc_id)
+
+
+@pytest.mark.parametrize("name", ["quality", "near_dedup", "decontamination", "secrets", "packing"])
+def test_pipeline_stages_on_odd_tables(spark, name):
+    """Nulls in every column, empty and long texts, repeated rows, a hot text, extra columns, and no rows at all."""
+    import corpus_pipeline as P
+
+    rng = random.Random(31)
+    schema = "doc_id bigint, text string, lang string, source string, n_chars bigint, id bigint, score double, key string, label int"
+    t = text(rng, 40)
+    rows = [(None, None), (1, None), (2, ""), (3, t), (3, t), (None, t), (4, text(rng, 8000)), (5, " \n")] + [(100 + k, "hot text of all " + t) for k in range(40)]
+    docs = spark.createDataFrame([(i, x, None, "s", None if x is None else len(x), 7, 1.0, "k", None) for i, x in rows], schema).repartition(4)
+    stage = dict(P.STAGES)[name]
+    got = stage(spark, docs, TINY).toPandas()
+    none = stage(spark, docs.limit(0), TINY)
+    assert none.count() == 0
+    if name == "packing":
+        assert {int(i) for i in got.doc_id.dropna()} == {i for i, _ in rows if i is not None}
+        return
+    assert list(got.columns) == docs.columns == none.columns
+    counts = collections.Counter(int(i) for i in got.doc_id.dropna())
+    if name == "near_dedup":
+        assert counts[3] == 2 and counts[100] + counts[3] and not set(range(101, 140)) & set(counts) and {1, 2, 4, 5} <= set(counts)
+    elif name != "quality":
+        assert len(got) == len(rows) and counts[3] == 2
+        assert got[got.doc_id == 1].text.isna().all()
