@@ -51,6 +51,11 @@ def gender(value: Column) -> Column:
     return F.when(value.isNull() | v.isin("nan", "unknown", ""), "unknown").when(v.isin("m", "male"), "male").when(v.isin("f", "female"), "female")
 
 
+def accent(path: Column, rule: str) -> Column:
+    """The accent that a path tells: ``es-ar`` by the mark of the Spanish speakers in it, ``british`` by the first two letters of the file name."""
+    return F.when(path.contains("esw"), "es-es").otherwise("es-ar") if rule == "es-ar" else F.substring(basename(path), 1, 2)
+
+
 def langcode(value: Column) -> Column:
     return F.lower(F.trim(value))
 

@@ -25,8 +25,8 @@ def split_distribution(df: DataFrame, speaker: str, gender: str, variant: str) -
     return per.groupingSets([["split", gender, variant], ["split"], []], "split", gender, variant).agg(F.sum("files").alias("n_files"), F.count("*").alias("n_speakers")).select("split", gender, variant, "n_files", "n_speakers")
 
 
-def hours(df: DataFrame, *by: str, usable: Column | None = None, seconds: str = "duration") -> DataFrame:
-    """Total hours and, in the same pass, those of usable files."""
+def hours(df: DataFrame, *by: str | Column, usable: Column | None = None, seconds: str = "duration") -> DataFrame:
+    """Total hours by columns or derived keys and, in the same pass, those of usable files."""
     good = F.col(seconds) if usable is None else F.when(usable, F.col(seconds)).otherwise(0.0)
     return df.groupBy(*by).agg((F.sum(seconds) / 3600).alias("hours"), (F.sum(good) / 3600).alias("usable_hours"))
 

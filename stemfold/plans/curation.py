@@ -256,6 +256,17 @@ def hours_usable(spark: SparkSession, sf: str) -> DataFrame:
     return A.hours(clips(spark, sf), "source", usable=F.col("duration") >= 10).select("source", F.round("hours", 9).alias("hours"), F.round("usable_hours", 9).alias("usable_hours"))
 
 
+@query(
+    "hours_by_accent",
+    "WITH p AS (SELECT '/data/' || CASE WHEN doc_id % 3 = 0 THEN 'esw' ELSE 'esa' END || '/' || lang || doc_id || '.wav' AS path, n_chars / 100.0::DOUBLE AS duration FROM documents) SELECT CASE WHEN contains(path, 'esw') THEN 'es-es' ELSE 'es-ar' END AS spanish, substr(string_split(path, '/')[-1], 1, 2) AS british, round(sum(duration) / 3600, 9) AS hours FROM p GROUP BY ALL",
+)
+def hours_by_accent(spark: SparkSession, sf: str) -> DataFrame:
+    path = F.concat(F.lit("/data/"), F.when(F.col("doc_id") % 3 == 0, "esw").otherwise("esa"), F.lit("/"), "lang", F.col("doc_id").cast("string"), F.lit(".wav"))
+    files = table(spark, sf, "documents").select(path.alias("path"), (F.col("n_chars") / 100.0).alias("duration"))
+    p = F.col("path")
+    return A.hours(files, S.accent(p, "es-ar").alias("spanish"), S.accent(p, "british").alias("british")).select("spanish", "british", F.round("hours", 9).alias("hours"))
+
+
 @query("speaker_durations", "SELECT CASE WHEN c_nationkey % 2 = 0 THEN 'female' ELSE 'male' END AS gender, o_custkey AS speaker, round(sum(o_totalprice), 4) AS duration, count(*) AS n_files FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL")
 def speaker_durations(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("speaker"), F.when(F.col("c_nationkey") % 2 == 0, "female").otherwise("male").alias("gender"))
