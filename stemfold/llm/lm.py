@@ -10,7 +10,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stemfold.llm.common import cut, slices
+from stemfold.llm.common import cut, n_parts, slices
 
 #: The vocabulary has a symbol for every character of the corpus, one for any other and one for the edge of a text, and this many at least.
 VOCABULARY = 96
@@ -157,4 +157,6 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
         return pa.table([own["id"], pa.array(n), pa.array(target), pa.array(background), pa.array(target - background)], names=[id_col, "n_tokens", "target_loss", "background_loss", "score"])
 
     schema = f"`{id_col}` {kind}, n_tokens bigint, target_loss double, background_loss double, score double"
-    return dealt.select("block", "id", "text").groupBy("block").cogroup(known.groupBy("block")).applyInArrow(run, schema)
+    # as many partitions as blocks, so that a task's share does not grow with the corpus
+    n = max(n_parts(docs.sparkSession), dealt.select("block").distinct().count())
+    return dealt.select("block", "id", "text").repartition(n, "block").groupBy("block").cogroup(known.repartition(n, "block").groupBy("block")).applyInArrow(run, schema)
