@@ -175,6 +175,10 @@ def _block_links(percent: int, least: float):
     return run
 
 
+#: Shingles of a block of members, on average, at most.
+BLOCK_SHINGLES = 2_000_000
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = 5, percent: int = 80, bands: int = 40, rows: int = 5, pivot_rounds: int = 2, block: int = 1024) -> DataFrame:
     """One row for each row of ``docs``: id, n_shingles, component_id, kept.
 
@@ -190,8 +194,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
        bucket, chosen anew, unless both are in one component already.
        Signatures discard hopeless pairs; the rest are confirmed on full sets.
     3. What stays apart in a bucket after the rounds is settled exactly: by
-       pairs where those are few, else in blocks of ``block`` members against
-       blocks of as many of those outside the largest component.
+       pairs where those are few, else in blocks of ``block`` members, or fewer
+       if their sets are large, against blocks of as many of those outside the
+       largest component.
 
     A document without words, or null, has no shingles and is linked with
     nothing; one with fewer words than a shingle has its whole sequence as
@@ -248,13 +253,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         settle(pairs.select("a", "b"))
     now = open_buckets()
     if not now.isEmpty():
-        per = now.groupBy("key", "component").agg(F.count("*").alias("c"))
-        top = per.groupBy("key").agg(F.max_by("component", F.struct("c", "component")).alias("top"), F.sum("c").alias("all"), F.max("c").alias("most"))
+        per = now.groupBy("key", "component").agg(F.count("*").alias("c"), F.sum("n").alias("s"))
+        largest = F.struct("c", "component")
+        top = per.groupBy("key").agg(F.max_by("component", largest).alias("top"), F.sum("c").alias("all"), F.max("c").alias("most"), F.sum("s").alias("all_n"), F.max_by("s", largest).alias("most_n"))
         sides = cut(now.join(top, "key").withColumns({"query": F.col("component") != F.col("top"), "few": (F.col("all") - F.col("most")) * F.col("all") <= 256}), "sides")
         few = sides.where("few")
         other = few.select("key", F.col("id").alias("b"), F.col("component").alias("cb"), F.col("n").alias("nb"))
         settle(candidates(few.where("query").join(other, "key").where(apart).select(F.col("id").alias("a"), "b")).select("a", "b"))
-        many = sides.where("NOT few").withColumns({"blocks": F.ceil(F.col("all") / block).cast("int"), "askings": F.ceil((F.col("all") - F.col("most")) / block).cast("int")})
+        blocks = lambda members, shingles: F.greatest(F.ceil(members / block), F.ceil(shingles / BLOCK_SHINGLES)).cast("int")
+        many = sides.where("NOT few").withColumns({"blocks": blocks(F.col("all"), F.col("all_n")), "askings": blocks(F.col("all") - F.col("most"), F.col("all_n") - F.col("most_n"))})
         if not many.isEmpty():
             members = many.select("key", "id", "component", F.lit(False).alias("query"), F.pmod(F.xxhash64("id"), "blocks").cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("askings") - 1)).alias("asking"))
             asked = many.where("query").select("key", "id", "component", F.lit(True).alias("query"), F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("part"), F.pmod(F.xxhash64("id"), "askings").cast("int").alias("asking"))

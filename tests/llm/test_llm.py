@@ -264,6 +264,15 @@ def test_near_duplicates(docs, corpus, words, rounds, block):
     assert got[got.doc_id.isna()].kept.all() and got[got.doc_id.isna()].component_id.isna().all()
 
 
+def test_near_duplicates_in_blocks_bounded_by_shingles(docs, corpus, monkeypatch):
+    import stemfold.llm.neardup as M
+
+    monkeypatch.setattr(M, "BLOCK_SHINGLES", 500)
+    got = near_duplicates(docs, words=2, pivot_rounds=0).toPandas()
+    want = brute_components(dict(corpus).items(), 2)
+    assert {int(r.doc_id): (r.n_shingles, int(r.component_id)) for r in got[got.doc_id.notna()].itertuples()} == want
+
+
 def test_near_duplicates_of_nothing(empty):
     assert near_duplicates(empty).count() == 0
 
