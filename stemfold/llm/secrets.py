@@ -55,6 +55,8 @@ def merge_classes(examples: list[str], alpha: float = 0.05) -> dict[str, int]:
 
 def readings(run: str) -> list[list[tuple[int, int]]]:
     """The candidates in a maximal run of token characters, as places: the run without the marks at its ends; its parts around =; its parts between = / . and ~."""
+    if run.isalnum():
+        return [[(0, len(run))]]
     start, end = len(run) - len(run.lstrip(ENDS)), len(run.rstrip(ENDS))
     whole = [(a, b) for a, b in {(start, end), (start, len(run.rstrip(".")))} if b - a >= LEAST_ASSIGNED]
     return [[x] for x in sorted(whole)] + [[m.span() for m in p.finditer(run)] for p in PARTS]
@@ -76,20 +78,24 @@ class Automaton:
 
     def __post_init__(self) -> None:
         size = Counter(self.classes.values())
-        self.share = {c: (k, -math.log(size[k])) for c, k in self.classes.items()}
+        members: dict[int, list[str]] = {}
+        for c, k in self.classes.items():
+            members.setdefault(k, []).append(c)
+        # by character: the state it leads to and what it costs
+        self.steps = [{c: (to, p - math.log(size[k])) for k, (to, p) in own.items() for c in members[k]} for own in self.moves]
         self.unseen = self.floor - math.log(64)
 
     def loss(self, text: str) -> float:
         """Mean negative log likelihood of a character, the end counted as one more."""
-        state, total = 0, 0.0
+        steps, total = self.steps[0], 0.0
+        state, unseen = 0, self.unseen
         for c in text:
-            kind, share = self.share.get(c, (-1, 0.0))
-            to = self.moves[state].get(kind)
-            if to is None:
-                total += self.unseen
+            if c in steps:
+                state, p = steps[c]
+                steps = self.steps[state]
+                total += p
             else:
-                state = to[0]
-                total += to[1] + share
+                total += unseen
         return -(total + self.ends[state]) / (len(text) + 1)
 
 
@@ -191,12 +197,15 @@ class Grammar:
     def candidates(self, run: str) -> tuple[tuple[tuple[int, int], ...], float]:
         """Where in a maximal run of token characters credentials are, and the best score of its candidates. Of the readings with credentials, that with the best fitting one counts, the first if they fit alike."""
         best, excess, found = -math.inf, math.inf, ()
+        fits: dict[tuple[int, int], tuple[float, float]] = {}
         for places in readings(run):
-            scored = [(*self.fit(run[a:b]), a, b) for a, b in places]
-            best = max([best, *(x[0] for x in scored)])
-            own = [x for x in scored if x[0] >= self.margin]
-            if own and min(x[1] for x in own) < excess:
-                excess, found = min(x[1] for x in own), tuple((a, b) for _, _, a, b in own)
+            for a, b in places:
+                if (a, b) not in fits:
+                    fits[a, b] = self.fit(run[a:b])
+                    best = max(best, fits[a, b][0])
+            own = [x for x in places if fits[x][0] >= self.margin]
+            if own and min(fits[x][1] for x in own) < excess:
+                excess, found = min(fits[x][1] for x in own), tuple(own)
         return found, best
 
 
