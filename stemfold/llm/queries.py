@@ -17,6 +17,7 @@ from stemfold.llm.quality import quality_scores
 from stemfold.llm.secrets import scan_secrets
 from stemfold.llm.sharding import assign_shards
 from stemfold.llm.suffixes import drop_repeats
+from stemfold.llm.tokencount import token_counts
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -79,6 +80,10 @@ def op10_hilbert_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_two_tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -96,6 +101,7 @@ QUERIES: dict[str, Query] = {
     "op8_mincut_text": op8_mincut_text,
     "op9_cross_entropy_difference": op9_cross_entropy_difference,
     "op10_hilbert_packing": op10_hilbert_packing,
+    "op11_two_tier_counts": op11_two_tier_counts,
     "pipeline": pipeline,
 }
 
