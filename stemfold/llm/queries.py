@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stemfold.llm.decontaminate import contaminated
+from stemfold.llm.hardneg import hard_negatives
 from stemfold.llm.html import extract_text
 from stemfold.llm.images import copies_and_members, read_edited, read_vectors
 from stemfold.llm.lm import cross_entropy_difference
@@ -84,6 +85,12 @@ def op11_two_tier_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op12_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    relabelled = vectors.withColumn("label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives(relabelled, F.col("vec_id") % 50 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -102,6 +109,7 @@ QUERIES: dict[str, Query] = {
     "op9_cross_entropy_difference": op9_cross_entropy_difference,
     "op10_hilbert_packing": op10_hilbert_packing,
     "op11_two_tier_counts": op11_two_tier_counts,
+    "op12_bond_negatives": op12_bond_negatives,
     "pipeline": pipeline,
 }
 
@@ -115,4 +123,10 @@ ORACLE_SQL: dict[str, str] = {
  r AS (SELECT a AS doc_id, a AS reached FROM g UNION SELECT r.doc_id, g.b FROM r JOIN g ON g.a = r.reached),
  c AS (SELECT doc_id, min(reached) AS c FROM r GROUP BY doc_id)
  SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, coalesce(c.c, d.doc_id) AS component_id, coalesce(c.c, d.doc_id) = d.doc_id AS kept FROM documents d LEFT JOIN n ON n.doc_id = d.doc_id LEFT JOIN c ON c.doc_id = d.doc_id""",
+    "op12_bond_negatives": """WITH v AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+ WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+ s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, list_inner_product(a.e, b.e)::BIGINT AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+ p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+ SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.id AS negative_id, positive_score, s.score AS negative_score FROM p JOIN s USING (anchor_id)
+ WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) QUALIFY row_number() OVER w <= 3""",
 }
