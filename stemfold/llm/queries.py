@@ -12,6 +12,7 @@ from stemfold.llm.hardneg import hard_negatives
 from stemfold.llm.html import extract_text
 from stemfold.llm.images import copies_and_members, read_edited, read_vectors
 from stemfold.llm.lm import cross_entropy_difference
+from stemfold.llm.merkle import merkle_manifest
 from stemfold.llm.neardup import near_duplicates
 from stemfold.llm.packing import pack_documents
 from stemfold.llm.quality import quality_scores
@@ -91,6 +92,12 @@ def op12_bond_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(relabelled, F.col("vec_id") % 50 == 0)
 
 
+def op13_octopus_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows whose decimal doc_id has an even CRC-32 lose their line feeds in the tampered copy."""
+    unbroken = {"text": F.replace("text", F.lit("\n"), F.lit(""))}
+    return merkle_manifest(table(spark, sf_dir, "documents"), tampered=unbroken, chosen=F.crc32(F.col("doc_id").cast("string")) % 2 == 0)
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -110,9 +117,41 @@ QUERIES: dict[str, Query] = {
     "op10_hilbert_packing": op10_hilbert_packing,
     "op11_two_tier_counts": op11_two_tier_counts,
     "op12_bond_negatives": op12_bond_negatives,
+    "op13_octopus_manifest": op13_octopus_manifest,
     "pipeline": pipeline,
 }
 
+def merkle_sql() -> str:
+    def leaf(text: str) -> str:
+        parts = (f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen({c}::VARCHAR) || ':' || {c}::VARCHAR END" for c in ("doc_id", "source", "lang", "n_chars", text))
+        return f"sha256(concat({', '.join(parts)}))"
+
+    # CRC-32 bit by bit: each byte is followed by eight shifts
+    bits = "list_reduce(list_concat([4294967295], flatten(list_transform(string_split(doc_id::VARCHAR, ''), lambda c: list_concat([ascii(c)::BIGINT], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))), lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END)"
+
+    def tree(name: str, leaves: str) -> str:
+        return f"{name} AS ({leaves} UNION ALL SELECT tree, level + 1, pos // 3, sha256(string_agg(h, '' ORDER BY pos)), (max(n) + 2) // 3 FROM {name} WHERE n > 1 GROUP BY tree, level, pos // 3)"
+
+    def fold(name: str, first: str, nodes: str) -> str:
+        step = f"SELECT f.r, f.tree, f.level + 1, f.pos // 3, sha256(string_agg(CASE WHEN n.pos = f.pos THEN f.h ELSE n.h END, '' ORDER BY n.pos)), (max(n.n) + 2) // 3"
+        return f"{name} AS ({first} UNION ALL {step} FROM {name} f JOIN {nodes} n ON n.tree = f.tree AND n.level = f.level AND n.pos // 3 = f.pos // 3 WHERE f.n > 1 GROUP BY f.r, f.tree, f.level, f.pos)"
+
+    def beside(nodes: str, at: str) -> str:
+        power = "(3 ** n.level)::BIGINT"
+        return f"SELECT l.r, string_agg(n.h, '' ORDER BY n.level, n.pos) AS p FROM l JOIN {nodes} n ON n.tree = {'l.tree' if nodes == 'nodes' else '0'} WHERE n.n > 1 AND n.pos // 3 = {at} // {power} // 3 AND n.pos <> {at} // {power} GROUP BY l.r"
+
+    return f"""WITH RECURSIVE d AS (SELECT *, row_number() OVER () AS r, {leaf('text')} AS leaf, CASE WHEN {bits} & 1 = 1 THEN {leaf("replace(text, chr(10), '')")} ELSE {leaf('text')} END AS altered FROM documents),
+ l AS (SELECT *, dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS pos, count(*) OVER (PARTITION BY source) AS n FROM d),
+ {tree('nodes', 'SELECT tree, 0 AS level, pos, leaf AS h, n FROM l')},
+ s AS (SELECT tree AS pos, h FROM nodes WHERE n = 1),
+ {tree('tops', 'SELECT 0 AS tree, 0 AS level, pos, h, count(*) OVER () AS n FROM s')},
+ {fold('f', 'SELECT r, tree, 0 AS level, pos, altered AS h, n FROM l', 'nodes')},
+ {fold('g', 'SELECT r, 0 AS tree, 0 AS level, f.tree AS pos, h, (SELECT count(*) FROM s) AS n FROM f WHERE n = 1', 'tops')},
+ low AS ({beside('nodes', 'l.pos')}), high AS ({beside('tops', 'l.tree')})
+ SELECT doc_id, leaf, s.h AS subroot, root.h AS root, sha256(coalesce(low.p, '') || coalesce(high.p, '')) AS proof_sha256, g.h AS folded_root, g.h = root.h AS verified
+ FROM l JOIN s ON s.pos = l.tree CROSS JOIN (SELECT h FROM tops WHERE n = 1) root JOIN g ON g.r = l.r AND g.n = 1 LEFT JOIN low ON low.r = l.r LEFT JOIN high ON high.r = l.r"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op6_bbit_minhash": r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
  s AS (SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) >= 2 THEN list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) ELSE w END) AS s FROM w),
@@ -129,4 +168,5 @@ ORACLE_SQL: dict[str, str] = {
  p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
  SELECT anchor_id, positive_id, row_number() OVER w::INTEGER AS rank, s.id AS negative_id, positive_score, s.score AS negative_score FROM p JOIN s USING (anchor_id)
  WHERE NOT s.same AND 50 * positive_score <= 100 * s.score AND 100 * s.score <= 95 * positive_score WINDOW w AS (PARTITION BY anchor_id, positive_id ORDER BY s.score DESC, s.id) QUALIFY row_number() OVER w <= 3""",
+    "op13_octopus_manifest": merkle_sql(),
 }
