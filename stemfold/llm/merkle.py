@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from stemfold.llm.common import cut
 
 #: Trees are built in chunks of ARITY ** CHUNK_LEVELS nodes.
-CHUNK_LEVELS = 9
+CHUNK_LEVELS = 7
 #: Requests up to this many are broadcast.
 BROADCAST_REQUESTS = 200_000
 
@@ -79,7 +79,7 @@ def interior(nodes: DataFrame, arity: int, levels: int = CHUNK_LEVELS) -> DataFr
 
     Chunks of ``arity ** levels`` consecutive nodes are gathered and folded
     in a task that reads them in order; their tops are the nodes of the next
-    round, which is that much smaller. Two or three rounds serve any table.
+    round, which is that much smaller. Three rounds serve ten thousand million leaves.
     """
     out: list[DataFrame] = []
     base, now = 0, nodes.select("tree", F.lit(0).alias("level"), "pos", "digest", "leaves").where("leaves > 1")
