@@ -223,35 +223,78 @@ def exhaust(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- placement ----------------------------------------------------------------------
 
-_cfg = T.Placement(min_prop=0.4, min_seconds=2.0, end_seconds=1.0, end_prop=0.1, length_loc=0.7, length_scale=0.3, overlap=0.25)
+_cfg = T.Placement(hop_seconds=1.0, min_prop=0.4, min_seconds=2.0, end_seconds=1.0, end_prop=0.1, length_loc=0.7, length_scale=0.3, overlap=0.25)
 _TRIALS = 3
 
 
+HOPS_SQL = "hops AS (SELECT file, pos, CASE WHEN file % 11 = 0 OR (pos // 16) % 3 = file % 3 THEN 0 ELSE x * x END::DOUBLE AS power FROM (SELECT vec_id AS file, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings WHERE vec_id < 500))"
+ENERGY_SQL = """hb AS (SELECT *, CASE WHEN count(*) OVER w = 4 AND avg(power) OVER w > 0 THEN 10 * log10(CASE WHEN avg(power) OVER w > 0 THEN avg(power) OVER w ELSE 1 END) - 0.691::DOUBLE > -70 ELSE false END AS is_loud FROM hops WINDOW w AS (PARTITION BY file ORDER BY pos ROWS BETWEEN CURRENT ROW AND 3 FOLLOWING)),
+ hs AS (SELECT file, pos, sum(power) OVER w AS e, sum(is_loud::INT) OVER w AS l FROM hb WINDOW w AS (PARTITION BY file ORDER BY pos)), en AS (SELECT file, list_concat([0.0::DOUBLE], list(e ORDER BY pos)) AS energy, list_concat([0::BIGINT], list(l::BIGINT ORDER BY pos)) AS loud FROM hs GROUP BY file)"""
+
+
 def _timeline_sql() -> str:
     c, end, rate = _cfg, f"{_cfg.length!r}::DOUBLE", _cfg.rate
     least = f"greatest(len * {c.min_prop}::DOUBLE, {c.min_seconds}::DOUBLE)"
     last = f"least({end} - least_, {end} - {c.end_seconds}::DOUBLE, {end} - {c.end_prop}::DOUBLE * len)"
     start = f"greatest(t, least({_skew_sql('p0', 'p1', f'(t + {c.offset}::DOUBLE)', c.scale, c.shape)}, last_))"
     length = f"CASE WHEN len <= least_ THEN len ELSE {_trunc_sql('p2', f'(most * {c.length_loc}::DOUBLE)', f'(most * {c.length_scale}::DOUBLE)', 'least_', 'most')} END"
-    return f"""WITH RECURSIVE ev AS (SELECT l_orderkey AS k, l_quantity AS len, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS event FROM lineitem),
- ca AS (SELECT k, event, trial, len, event * {_TRIALS} + trial AS step, {u_sql(11, 's0', 'k', 'event', 'trial')} AS p0, {u_sql(11, 's1', 'k', 'event', 'trial')} AS p1, {u_sql(11, 'len', 'k', 'event', 'trial')} AS p2, {u_sql(11, 'next', 'k', 'event', 'trial')} AS p3, {u_sql(11, 'offset', 'k', 'event', 'trial')} AS p4 FROM ev, (SELECT unnest(range(0, {_TRIALS})) AS trial)),
+    hop = c.hop
+    return f"""WITH RECURSIVE {HOPS_SQL}, {ENERGY_SQL},
+ ev AS (SELECT l_orderkey AS k, l_quantity AS len, l_partkey % 500 AS file, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) - 1 AS event FROM lineitem),
+ ca AS (SELECT k, event, trial, len, loud, energy, event * {_TRIALS} + trial AS step, {u_sql(11, 's0', 'k', 'event', 'trial')} AS p0, {u_sql(11, 's1', 'k', 'event', 'trial')} AS p1, {u_sql(11, 'len', 'k', 'event', 'trial')} AS p2, {u_sql(11, 'next', 'k', 'event', 'trial')} AS p3, {u_sql(11, 'offset', 'k', 'event', 'trial')} AS p4 FROM ev LEFT JOIN en ON en.file = ev.file, (SELECT unnest(range(0, {_TRIALS})) AS trial)),
  st AS (SELECT k, -1::BIGINT AS step, 0.0::DOUBLE AS t, -1::BIGINT AS last, NULL::BIGINT AS event, NULL::BIGINT AS trial, NULL::BIGINT AS a, NULL::BIGINT AS n, NULL::BIGINT AS off FROM (SELECT DISTINCT k FROM ev)
- UNION ALL SELECT k, step, CASE WHEN ok THEN ((a + n * {1 - c.overlap!r}::DOUBLE) + floor(p3 * greatest(least({int(c.length * rate)}::DOUBLE, (a + n)::DOUBLE) - (a + n * {1 - c.overlap!r}::DOUBLE), 0.0::DOUBLE))) / {rate}::DOUBLE ELSE t END, CASE WHEN ok THEN event ELSE last END, CASE WHEN ok THEN event END, CASE WHEN ok THEN trial END, CASE WHEN ok THEN a END, CASE WHEN ok THEN n END,
- CASE WHEN ok THEN (CASE WHEN trunc(len * {rate}) > n THEN floor(p4 * (trunc(len * {rate}) - n)) ELSE 0 END)::BIGINT END
- FROM (SELECT *, event <> last AND fits AND n > 0 AS ok FROM (SELECT *, trunc(start * {rate})::BIGINT AS a, trunc(length * {rate})::BIGINT AS n, {end} - t >= least_ AND last_ >= t AND start + length <= {end} + 1e-9::DOUBLE AS fits
- FROM (SELECT *, {length} AS length FROM (SELECT *, least(len, {end} - start) AS most FROM (SELECT *, {start} AS start FROM (SELECT *, {last} AS last_ FROM (SELECT ca.*, st.t, st.last, {least.replace('len', 'ca.len')} AS least_ FROM st JOIN ca ON ca.k = st.k AND ca.step = st.step + 1)))))))
+ UNION ALL SELECT k, step, CASE WHEN ok THEN ((a + n * {1 - c.overlap!r}::DOUBLE) + floor(p3 * greatest(least({int(c.length * rate)}::DOUBLE, (a + n)::DOUBLE) - (a + n * {1 - c.overlap!r}::DOUBLE), 0.0::DOUBLE))) / {rate}::DOUBLE ELSE t END, CASE WHEN ok THEN event ELSE last END, CASE WHEN ok THEN event END, CASE WHEN ok THEN trial END, CASE WHEN ok THEN a END, CASE WHEN ok THEN n END, CASE WHEN ok THEN o END
+ FROM (SELECT *, event <> last AND fits AND n > 0 AND coalesce(CASE WHEN (o + n) // {hop} - ceil(o / {hop}) < 4 THEN energy[least(ceil((o + n) / {hop})::BIGINT, len(energy) - 1) + 1] - energy[least(o // {hop}, len(energy) - 1) + 1] > {10 ** -6.9309!r}::DOUBLE * (ceil((o + n) / {hop}) - o // {hop})
+ ELSE loud[least((o + n) // {hop} - 3, len(loud) - 1) + 1] - loud[least(ceil(o / {hop})::BIGINT, len(loud) - 1) + 1] > 0 END, false) AS ok FROM (SELECT *, CASE WHEN trunc(len_ * {rate}) > n THEN floor(p4 * (trunc(len_ * {rate}) - n)) ELSE 0 END::BIGINT AS o FROM (SELECT *, len AS len_, trunc(start * {rate})::BIGINT AS a, trunc(length * {rate})::BIGINT AS n, {end} - t >= least_ AND last_ >= t AND start + length <= {end} + 1e-9::DOUBLE AS fits
+ FROM (SELECT *, {length} AS length FROM (SELECT *, least(len, {end} - start) AS most FROM (SELECT *, {start} AS start FROM (SELECT *, {last} AS last_ FROM (SELECT ca.*, st.t, st.last, {least.replace('len', 'ca.len')} AS least_ FROM st JOIN ca ON ca.k = st.k AND ca.step = st.step + 1))))))))
  )
  SELECT k AS l_orderkey, event, trial::INT AS trial, a AS start_sample, n AS length_sample, off AS segment_start_sample FROM st WHERE a IS NOT NULL"""
 
 
+def _hops(spark: SparkSession, sf: str) -> DataFrame:
+    """The components of vectors as the hops of source files: of each file a third of the stretches of 16 hops is silent, and one file in 11 is wholly so."""
+    e = table(spark, sf, "embeddings").where("vec_id < 500").select(F.col("vec_id").alias("file"), F.posexplode("embedding").alias("pos", "x"))
+    silent = (F.col("file") % 11 == 0) | (F.floor(F.col("pos") / 16) % 3 == F.col("file") % 3)
+    return e.select("file", "pos", F.when(silent, 0.0).otherwise(F.col("x").cast("double") * F.col("x").cast("double")).alias("power"))
+
+
 def _events(spark: SparkSession, sf: str) -> DataFrame:
     ordered = C.number_segments(table(spark, sf, "lineitem"), "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"], "name")
-    return ordered.select("l_orderkey", F.col("segment").cast("bigint").alias("event"), F.col("l_quantity").alias("len"), F.col("l_partkey").alias("file"))
+    return ordered.select("l_orderkey", F.col("segment").cast("bigint").alias("event"), F.col("l_quantity").alias("len"), (F.col("l_partkey") % 500).alias("file"))
 
 
 @query("timeline", _timeline_sql())
 def timeline(spark: SparkSession, sf: str) -> DataFrame:
-    return T.place(T.candidates(_events(spark, sf), "l_orderkey", _TRIALS, 11), "l_orderkey", _cfg)
+    return T.place(T.candidates(_events(spark, sf), "l_orderkey", _TRIALS, 11), "l_orderkey", _cfg, T.energy_table(_hops(spark, sf), "file", "pos", "power"))
+
+
+def _annotation_sql() -> str:
+    hop, rate = _cfg.hop, _cfg.rate
+    gate = "CASE WHEN p > 0 THEN 10 * log10(p) - 0.691::DOUBLE ELSE '-Infinity'::DOUBLE END"
+
+    def gated(name: str, key: str, hops: str, pos: str) -> str:
+        on = " AND ".join(f"x.{k} = y.{k}" for k in key.split(", "))
+        return f"""{name}0 AS (SELECT {key}, {pos} AS spot, p, min({pos}) OVER (PARTITION BY {key}) AS lo, max({pos}) OVER (PARTITION BY {key}) AS hi FROM {hops}),
+ {name}1 AS (SELECT {key}, sum(p) / (max(hi) - min(lo) + 1) AS p FROM {name}0 WHERE hi - lo < 3 GROUP BY {key} UNION ALL SELECT {key}, sum(p) / 4 FROM (SELECT *, unnest(range(spot - 3, spot + 1)) AS b FROM {name}0) WHERE hi - lo >= 3 AND b >= lo AND b + 3 <= hi GROUP BY {key}, b),
+ {name}2 AS (SELECT *, {gate} AS l FROM {name}1), {name}3 AS (SELECT {key}, avg(p) AS p FROM {name}2 WHERE l > -70 GROUP BY {key}),
+ {name} AS (SELECT {key}, {gate} AS level FROM (SELECT {', '.join('x.' + k for k in key.split(', '))}, avg(x.p) AS p FROM {name}2 x JOIN (SELECT {key}, {gate} AS f FROM {name}3) y ON {on} WHERE x.l > -70 AND x.l > f - 10 GROUP BY ALL))"""
+
+    return _timeline_sql().replace(" )\n SELECT k AS l_orderkey, event,", " ),\n pl AS (SELECT k AS l_orderkey, event,", 1) + f"""),
+ pf AS (SELECT pl.*, ev.file FROM pl JOIN ev ON ev.k = pl.l_orderkey AND ev.event = pl.event),
+ hp AS (SELECT l_orderkey, event, u - segment_start_sample // {hop} AS hop, start_sample // {hop} + u - segment_start_sample // {hop} AS spot, hops.power AS p FROM (SELECT *, unnest(range(segment_start_sample // {hop}, (segment_start_sample + length_sample - 1) // {hop} + 1)) AS u FROM pf) q JOIN hops ON hops.file = q.file AND hops.pos = u),
+ mx AS (SELECT l_orderkey, spot, sum(p) AS p FROM hp GROUP BY ALL), {gated('lv', 'l_orderkey, event', 'hp', 'hop')}, {gated('ml', 'l_orderkey', 'mx', 'spot')},
+ al AS (SELECT pf.*, coalesce(lv.level, '-Infinity'::DOUBLE) AS own, coalesce(ml.level, '-Infinity'::DOUBLE) AS measured, -20.0::DOUBLE - pf.l_orderkey % 7 AS target FROM pf LEFT JOIN lv ON lv.l_orderkey = pf.l_orderkey AND lv.event = pf.event LEFT JOIN ml ON ml.l_orderkey = pf.l_orderkey)
+ SELECT l_orderkey, event, file, start_sample, length_sample, segment_start_sample, round(start_sample / {rate}, 9) AS start_seconds, round(length_sample / {rate}, 9) AS length_seconds, round((start_sample + length_sample) / {rate}, 9) AS end_seconds,
+ round(own + g, 5) AS lufs, round(measured + g, 5) AS submix_lufs, target AS submix_lufs_target FROM (SELECT *, CASE WHEN isinf(measured) THEN 0 ELSE target - measured END AS g FROM al)"""
+
+
+@query("event_annotations", _annotation_sql())
+def event_annotations(spark: SparkSession, sf: str) -> DataFrame:
+    events = _events(spark, sf)
+    targets = events.select("l_orderkey").distinct().withColumn("target", -20.0 - F.col("l_orderkey") % 7)
+    out = T.annotate(timeline(spark, sf), events, _hops(spark, sf), targets, "l_orderkey", _cfg)
+    rounded = {c: F.round(c, 9) for c in ("start_seconds", "length_seconds", "end_seconds")} | {c: F.round(c, 5) for c in ("lufs", "submix_lufs")}
+    return out.withColumns(rounded)
 
 
 # --- levels ---------------------------------------------------------------------------
@@ -297,6 +340,12 @@ def gated_level(spark: SparkSession, sf: str) -> DataFrame:
     return _signals(spark, sf).select("vec_id", F.round(S.gated_level(F.col("x"), RATE), 6).alias("level"))
 
 
+@query("gated_level_long", f"WITH {SIGNALS}, {GATED} SELECT vec_id, round(level, 6) AS level FROM gl")
+def gated_level_long(spark: SparkSession, sf: str) -> DataFrame:
+    samples = table(spark, sf, "embeddings").select("vec_id", F.posexplode("embedding").alias("pos", "x"))
+    return L.gated_levels(samples, ["vec_id"], "pos", "x", RATE).select("vec_id", F.round("level", 6).alias("level"))
+
+
 @query("gain_scalars", "SELECT vec_id, round(embedding[1]::DOUBLE * pow(10, -6.0::DOUBLE / 20), 9) AS gained, round((embedding[1]::DOUBLE + embedding[2]::DOUBLE) / 2, 9) AS mid, greatest(-70.0::DOUBLE, least(-5.0::DOUBLE, label * 10.0::DOUBLE - 80)) AS clamped FROM embeddings")
 def gain_scalars(spark: SparkSession, sf: str) -> DataFrame:
     x = F.col("x")

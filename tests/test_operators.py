@@ -323,3 +323,81 @@ def test_what_was_cut_can_be_cleared(spark):
     assert df.count() == 5 and os.path.isdir(folder)
     scratch.clear(spark)
     assert not os.path.isdir(folder)
+
+
+def _plain_level(powers):
+    """The level of the mean squares of hops, by hand."""
+    if len(powers) < 4:
+        blocks = [sum(powers) / len(powers)]
+    else:
+        blocks = [sum(powers[k : k + 4]) / 4 for k in range(len(powers) - 3)]
+    db = lambda p: 10 * math.log10(p) - 0.691 if p > 0 else -math.inf
+    first = [p for p in blocks if db(p) > -70]
+    second = [p for p in first if db(p) > db(sum(first) / len(first)) - 10]
+    return db(sum(second) / len(second)) if second else -math.inf
+
+
+def test_levels_in_long_form_are_those_of_arrays(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(1)
+    clips = {k: rng.normal(size=n) * np.where(np.arange(n) // 30 % 3, 1.0, 1e-5) for k, n in enumerate((1, 2, 5, 31, 32, 33, 64, 399, 1000))} | {90: np.zeros(100)}
+    arrays = spark.createDataFrame([(k, x.tolist()) for k, x in clips.items()], "k int, x array<double>")
+    want = {r.k: r.v for r in arrays.select("k", S.gated_level(F.col("x"), 40).alias("v")).collect()}
+    long = arrays.select("k", F.posexplode("x").alias("pos", "x")).repartition(7)
+    got = {r.k: r.level for r in L.gated_levels(long, ["k"], "pos", "x", 40).collect()}
+    assert got == pytest.approx(want)
+    with pytest.raises(ValueError):
+        L.gated_levels(long, ["k"], "pos", "x", 44)
+    # mastering: the same gain for all stems, as the form with arrays gives it
+    stems = spark.createDataFrame([("m", s, rng.normal(size=200).tolist()) for s in "abc"], "m string, s string, x array<double>")
+    whole = {r.s: r.x for r in L.master(stems, ["m"], "x", -20.0, 40).collect()}
+    parts = L.master_long(stems.select("m", "s", F.posexplode("x").alias("pos", "x")), ["m"], "pos", "x", -20.0, 40).orderBy("pos").toPandas()
+    for s, x in whole.items():
+        assert parts[parts.s == s].x.tolist() == pytest.approx(x)
+    after = L.gated_levels(L.normalize_long(long.where("k <> 90"), ["k"], "pos", "x", -20.0, 40).drop("measured", "gain"), ["k"], "pos", "x", 40).toPandas()
+    assert after.level.tolist() == pytest.approx([-20.0 if want[k] > -math.inf else -math.inf for k in after.k], abs=1e-6)
+
+
+def test_one_long_signal_is_spread_over_tasks(spark):
+    n = 400_000
+    long = spark.range(n).select(F.lit("one").alias("k"), F.col("id").alias("pos"), F.sin(F.col("id") / 7).alias("x"))
+    got = L.gated_levels(long, ["k"], "pos", "x", 1000).first().level
+    assert got == pytest.approx(10 * math.log10(0.5) - 0.691, abs=1e-3)
+
+
+def test_stretches_are_differences_of_two_entries(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    powers = rng.random(50)
+    powers[10:22] = 0.0
+    hops = spark.createDataFrame([("f", k, float(p)) for k, p in enumerate(powers)], "file string, pos int, power double")
+    table = T.energy_table(hops, "file", "pos", "power")
+    cases = [(a, n) for a in (0, 3, 100, 105, 110, 119, 130, 215, 480, 499) for n in (1, 9, 10, 35, 40, 55, 90, 300) if a + n <= 500]
+    asked = spark.createDataFrame(cases, "a long, n long").crossJoin(table)
+    got = {(r.a, r.n): r.v for r in asked.select("a", "n", T.stretch_level(F.struct("energy", "loud", "loud_energy"), F.col("a"), F.col("n"), 10).alias("v")).collect()}
+    for a, n in cases:
+        lo, hi = -(-a // 10), (a + n) // 10
+        own = powers[a // 10 : -(-(a + n) // 10)] if hi - lo < 4 else powers[lo:hi]
+        want = _plain_level(own) if hi - lo >= 4 else (10 * math.log10(sum(own) / len(own)) - 0.691 if sum(own) else -math.inf)
+        # finite exactly when both gates let something pass, and never above
+        assert (got[a, n] > -math.inf) == (want > -math.inf), (a, n)
+        assert got[a, n] <= want + 1e-9
+
+
+def test_silent_events_are_skipped_and_leave_the_clock(spark):
+    cfg = T.Placement(overlap=0.0, rate=1000)
+    files = {"loud": [1.0] * 200, "silent": [0.0] * 200, "half": [0.0] * 100 + [1.0] * 100}
+    hops = spark.createDataFrame([(f, k, p) for f, ps in files.items() for k, p in enumerate(ps)], "file string, pos int, power double")
+    energy = T.energy_table(hops, "file", "pos", "power")
+    ev = spark.createDataFrame([(k, e, 8.0 if f != "half" else 20.0, f) for k in range(30) for e, f in enumerate(["loud", "silent", "gone", "half", "loud"])], "k long, event long, len double, file string")
+    tried = T.candidates(ev, "k", 10, 1)
+    got = T.place(tried, "k", cfg, energy).toPandas()
+    assert len(got) and set(got.event) <= {0, 3, 4}
+    # what is left is placed as if the skipped events had not been there
+    without = T.place(tried.where("event NOT IN (1, 2)"), "k", cfg, energy).toPandas()
+    assert sorted(map(tuple, got.values)) == sorted(map(tuple, without.values))
+    half = got[got.event == 3]
+    assert (half.segment_start_sample + half.length_sample > 10_000).all() and (half.trial > 0).any()
+    assert len(T.place(tried, "k", cfg).where("event IN (1, 2)").take(1))
