@@ -387,7 +387,7 @@ def test_stretches_are_differences_of_two_entries(spark):
 
 
 def test_silent_events_are_skipped_and_leave_the_clock(spark):
-    cfg = T.Placement(overlap=0.0, rate=1000)
+    cfg = T.Placement(overlap=0.0, rate=1000, min_prop=0.1, length_loc=0.3)
     files = {"loud": [1.0] * 200, "silent": [0.0] * 200, "half": [0.0] * 100 + [1.0] * 100}
     hops = spark.createDataFrame([(f, k, p) for f, ps in files.items() for k, p in enumerate(ps)], "file string, pos int, power double")
     energy = T.energy_table(hops, "file", "pos", "power")
