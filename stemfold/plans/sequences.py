@@ -562,11 +562,12 @@ def csv_dialects(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_ingest", f"WITH {CLIPS} SELECT file AS cleaned_path, CASE WHEN doc_id % 2 = 0 THEN 'CC BY 4.0' ELSE 'CC BY-NC 4.0' END AS license, CASE WHEN doc_id % 2 = 0 THEN 'com' ELSE 'nc' END AS license_usage, split FROM clips")
 def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
-    """Two batches of manifest files, the second with rows of the first again: each path is stored once."""
+    """A table that holds the validation rows, then two batches of manifest files that repeat them and each other: each path is stored once."""
     source, target, checkpoint = (fresh(spark, f"stream-{k}") for k in ("in", "out", "checkpoint"))
     urls = spark.createDataFrame(URLS, "url string, license string, license_family string")
     flags = spark.createDataFrame(FLAGS, "license_family string, attribution boolean, commercial boolean, derivative boolean, share_alike boolean")
     rows = clips(spark, sf).select(F.col("file").alias("cleaned_path"), F.when(F.col("doc_id") % 2 == 0, URLS[0][0]).otherwise(URLS[1][0]).alias("license_url"), "split")
+    M.store_new(C.resolve_license(rows.where("split = 'val'"), urls, flags), target, "cleaned_path")
     for part in (rows.where("split <> 'test'"), rows.where("split <> 'train'")):
         part.write.mode("append").option("header", "true").csv(source)
         ingest(spark, source, "cleaned_path string, license_url string, split string", urls, flags, target, checkpoint).awaitTermination()

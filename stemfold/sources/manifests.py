@@ -6,10 +6,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.utils import AnalysisException
 
+from stemfold.sources.scratch import cut
+
 
 def inventory(spark: SparkSession, folder: str, glob: str = "*", tags: dict[str, str] | None = None, recursive: bool = True) -> DataFrame:
     """(path, length) of the files under a folder, with source constants as columns. Contents are not read."""
@@ -102,6 +104,43 @@ def outputs(df: DataFrame, key: list[str], output_mixture: bool = True) -> DataF
     return names if output_mixture else names.where("submix <> 'mixture'")
 
 
+def folder_bucket(path: str, buckets: int) -> Column:
+    """Which of ``buckets`` a path belongs to, by its folder: files of one folder share it."""
+    return F.pmod(F.xxhash64(F.regexp_replace(path, "/[^/]*$", "")), F.lit(buckets)).cast("int")
+
+
+def stored(spark: SparkSession, target: str) -> DataFrame | None:
+    """The rows of a Parquet table, None if there is none yet."""
+    try:
+        return spark.read.parquet(target)
+    except AnalysisException as e:
+        if "PATH_NOT_FOUND" in str(e) or "UNABLE_TO_INFER_SCHEMA" in str(e):
+            return None
+        raise
+
+
+def store_new(rows: DataFrame, target: str, key: str, buckets: int = 256) -> None:
+    """Append the rows whose key is not in the table at ``target``; each key once, with the least of its rows.
+
+    The table is partitioned by the bucket of the key's folder. Only buckets
+    that the rows touch are read, and of them only the key; so what a small
+    delivery reads depends on its folders and not on the table. A large bucket is written by several tasks,
+    small ones share one. A table that exists without buckets is read whole and
+    appended to as it is. Null keys are left out.
+    """
+    rest = [c for c in rows.columns if c != key]
+    one = rows.where(F.col(key).isNotNull()).groupBy(key).agg(F.min(F.struct(*rest)).alias("r")).select(key, "r.*") if rest else rows.where(F.col(key).isNotNull()).distinct()
+    new = cut(one.withColumn("bucket", folder_bucket(key, buckets)), "new")
+    old = stored(rows.sparkSession, target)
+    if old is None or "bucket" in old.columns:
+        if old is not None:
+            touched = [r[0] for r in new.select("bucket").distinct().collect()]  # as many as buckets at most
+            new = todo(new, old.where(F.col("bucket").isin(touched)).select(key), key)
+        new.hint("rebalance", "bucket").write.mode("append").partitionBy("bucket").parquet(target)
+    else:
+        todo(new.drop("bucket"), old.select(key), key).write.mode("append").parquet(target)
+
+
 def todo(everything: DataFrame, done: DataFrame, key: str) -> DataFrame:
     """What has no result yet."""
     return everything.join(done, key, "left_anti")

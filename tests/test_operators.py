@@ -401,3 +401,59 @@ def test_silent_events_are_skipped_and_leave_the_clock(spark):
     half = got[got.event == 3]
     assert (half.segment_start_sample + half.length_sample > 10_000).all() and (half.trial > 0).any()
     assert len(T.place(tried, "k", cfg).where("event IN (1, 2)").take(1))
+
+
+def _ingested(spark, batches, tmp_path, remember="1 hour", rows_before=None):
+    from stemfold.plans.curation import FLAGS, URLS
+    from stemfold.sources.manifests import store_new
+    from stemfold.streaming.ingest import ingest
+
+    urls = spark.createDataFrame(URLS, "url string, license string, license_family string")
+    flags = spark.createDataFrame(FLAGS, "license_family string, attribution boolean, commercial boolean, derivative boolean, share_alike boolean")
+    schema = "cleaned_path string, license_url string, note string"
+    source, target, checkpoint = (str(tmp_path / k) for k in ("in", "out", "checkpoint"))
+    if rows_before:
+        store_new(C.resolve_license(spark.createDataFrame(rows_before, schema), urls, flags), target, "cleaned_path")
+    state = []
+    for rows in batches:
+        spark.createDataFrame([(p, URLS[0][0], n) for p, n in rows], schema).coalesce(1).write.mode("append").option("header", "true").csv(source)
+        q = ingest(spark, source, schema, urls, flags, target, checkpoint, remember)
+        q.awaitTermination()
+        state.append(max((o["numRowsTotal"] for p in q.recentProgress for o in p["stateOperators"]), default=0))
+    got = spark.read.parquet(target).select("cleaned_path", "note").collect()
+    return sorted(map(tuple, got), key=str), state
+
+
+def test_ingest_stores_each_path_once(spark, tmp_path):
+    from stemfold.plans.curation import URLS
+
+    before = [("/a/0", URLS[0][0], "old")]
+    batches = [[("/a/0", "new"), ("/a/1", "z"), ("/a/1", "b"), ("/a/1", None), (None, "x")], [("/a/1", "again"), ("/b/2", "c")], [("/b/2", "c"), ("/a/0", "new")], [("/c/3", "d")] * 3]
+    got, state = _ingested(spark, batches, tmp_path, rows_before=before)
+    # a null sorts before any text; what is stored stays
+    assert got == [("/a/0", "old"), ("/a/1", None), ("/b/2", "c"), ("/c/3", "d")]
+    assert state == [4, 6, 6, 7]
+
+
+def test_ingest_forgets_what_the_table_remembers(spark, tmp_path):
+    batches = [[(f"/{k}/{i}", "n") for i in range(50)] for k in range(3)]
+    source = [batches[0], batches[1], batches[0] + batches[2]]
+    got, state = _ingested(spark, source, tmp_path, remember="0 seconds")
+    assert len(got) == 150 and len({p for p, _ in got}) == 150
+    assert max(state) <= 100  # never the 150 paths that were seen
+
+
+def test_new_rows_read_only_the_buckets_they_touch(spark, tmp_path):
+    from stemfold.sources.manifests import folder_bucket, store_new
+
+    target = str(tmp_path / "t")
+    rows = spark.createDataFrame([(f"/f{k % 40}/{k}", k) for k in range(400)], "cleaned_path string, n long")
+    store_new(rows, target, "cleaned_path", 64)
+    assert spark.read.parquet(target).where(F.col("bucket") != folder_bucket("cleaned_path", 64)).count() == 0
+    store_new(spark.createDataFrame([("/f1/1", 7), ("/f1/new", 5), ("/f1/new", 4)], "cleaned_path string, n long"), target, "cleaned_path", 64)
+    got = spark.read.parquet(target)
+    assert got.count() == 401 and got.where("cleaned_path = '/f1/new'").first().n == 4
+    plain = str(tmp_path / "plain")
+    rows.write.parquet(plain)
+    store_new(rows.limit(9).unionByName(spark.createDataFrame([("/x", 1)], "cleaned_path string, n long")), plain, "cleaned_path")
+    assert spark.read.parquet(plain).count() == 401
