@@ -90,31 +90,47 @@ def segment_offset(p: Column, available: Column, length: Column) -> Column:
     return F.when(available > length, F.floor(p * (available - length))).otherwise(F.lit(0)).cast("long")
 
 
-def poisson_table(df: DataFrame, mu: str, most: int = 200) -> DataFrame:
-    """(mu, k, cum_lo, cum_hi) for each distinct mean: the Poisson distribution function in steps, up to ``most``."""
-    k = F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(most)), lambda i: i)).alias("k", "_k")
-    rows = df.select(F.col(mu).alias("mu")).distinct().select("mu", k)
-    log_p = F.col("k") * F.ln("mu") - F.col("mu") - F.sum(F.when(F.col("k") > 0, F.ln(F.greatest(F.col("k"), F.lit(1)))).otherwise(0.0)).over(Window.partitionBy("mu").orderBy("k"))
-    run = Window.partitionBy("mu").orderBy("k")
-    out = rows.select("mu", "k", F.exp(log_p).alias("p"))
-    return out.select("mu", "k", (F.sum("p").over(run) - F.col("p")).alias("cum_lo"), F.sum("p").over(run).alias("cum_hi"))
+#: Parts of [0, 1) under which a distribution's steps are listed.
+PARTS = 1024
+
+
+def poisson_steps(means: DataFrame, mu: str, low: int, high: int | None) -> DataFrame:
+    """(mu, k, lo, hi): the share of [0, 1) that each count has in the Poisson distribution of each mean, truncated to [low, high].
+
+    No table end: for each mean the counts go from ten deviations and 40 below its likeliest
+    count in [low, high] to as many above, beyond which less than 1e-20 is left.
+    Probabilities are products of ratios of neighbours from that count on, so
+    no factorial is formed and a truncation far out in a tail is as exact as one
+    at the centre. A window holds the counts of one mean, some 20 roots of it.
+    """
+    top = F.lit(float("inf")) if high is None else F.lit(float(high))
+    likely = F.least(F.greatest(F.floor(mu).cast("double"), F.lit(float(low))), top)
+    reach = F.ceil(10 * F.sqrt(F.greatest(F.col(mu), F.col("likely"))) + 40)
+    rows = means.select(mu).where(F.col(mu) > 0).distinct().withColumn("likely", likely).withColumn("reach", reach)
+    first, last = F.greatest(F.col("likely") - F.col("reach"), F.lit(float(low))), F.least(F.col("likely") + F.col("reach"), top)
+    each = rows.select(mu, "likely", F.explode(F.sequence(first.cast("long"), last.cast("long"))).alias("k"))
+    up, down = Window.partitionBy(mu).orderBy("k"), Window.partitionBy(mu).orderBy(F.desc("k"))
+    log_p = F.sum(F.when(F.col("k") > F.col("likely"), F.ln(F.col(mu) / F.col("k"))).otherwise(0.0)).over(up) + F.sum(F.when(F.col("k") < F.col("likely"), F.ln((F.col("k") + 1) / F.col(mu))).otherwise(0.0)).over(down)
+    weighed = each.select(mu, "k", F.exp(log_p).alias("w"))
+    whole = Window.partitionBy(mu)
+    shares = weighed.select(mu, "k", F.sum("w").over(up).alias("run"), "w", F.sum("w").over(whole).alias("all"), F.max("k").over(whole).alias("last"))
+    return shares.select(mu, "k", ((F.col("run") - F.col("w")) / F.col("all")).alias("lo"), F.when(F.col("k") == F.col("last"), 1.0).otherwise(F.col("run") / F.col("all")).alias("hi"))
 
 
 def truncated_poisson(df: DataFrame, mu: str, p: str, low: int, high: int | None, out: str) -> DataFrame:
     """Add ``out``: a Poisson count with mean ``mu`` truncated to [low, high], by inverting its distribution at ``p``.
 
-    The table of steps is small (one row for a mean and count); the draw is a
-    range lookup within the mean. ``low = 1`` and no ``high`` is the
-    zero-truncated case.
+    Steps are listed under each of the PARTS of [0, 1) that they touch, and a
+    draw meets those of its mean and part in an equi-join: a few rows for
+    each draw, whatever the mean. ``low = 1`` and no ``high`` is the
+    zero-truncated case. A mean of 0 or below gives ``low``, a null mean or draw null.
     """
-    table = poisson_table(df, mu)
-    top = F.lit(float("inf")) if high is None else F.lit(high)
-    inside = table.where((F.col("k") >= low) & (F.col("k") <= top))
-    bounds = inside.groupBy("mu").agg(F.min("cum_lo").alias("c0"), F.max("cum_hi").alias("c1"))
-    steps = inside.join(bounds, "mu").select("mu", "k", ((F.col("cum_lo") - F.col("c0")) / (F.col("c1") - F.col("c0"))).alias("lo"), "cum_hi").groupBy("mu").agg(F.array_sort(F.collect_list(F.struct("k", "lo"))).alias("steps"))
-    chosen = F.array_max(F.transform(F.filter("steps", lambda s: s["lo"] <= F.col(p)), lambda s: s["k"]))
-    # as many rows as distinct means: a parameter set
-    return df.join(steps.withColumnRenamed("mu", mu), mu).withColumn(out, F.coalesce(chosen, F.lit(low)).cast("int")).drop("steps")
+    part = F.explode(F.sequence(F.floor(F.col("lo") * PARTS), F.least(F.floor(F.col("hi") * PARTS), F.lit(PARTS - 1)))).alias("_part")
+    steps = poisson_steps(df, mu, low, high).select(F.col(mu).alias("_mu"), F.col("k").alias("_k"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"), part)
+    asked = df.withColumn("_at", F.floor(F.col(p) * PARTS))
+    on = (F.col(mu) == F.col("_mu")) & (F.col("_at") == F.col("_part")) & (F.col(p) >= F.col("_lo")) & (F.col(p) < F.col("_hi"))
+    drawn = asked.join(steps, on, "left")
+    return drawn.withColumn(out, F.when(F.col(mu) > 0, F.col("_k")).when(F.col(mu) <= 0, F.lit(low)).cast("int")).drop("_mu", "_k", "_lo", "_hi", "_part", "_at")
 
 
 def level_hierarchy(df: DataFrame, seed: int, levels: list[tuple[str, list[str], float, float | None]]) -> DataFrame:

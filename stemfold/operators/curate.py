@@ -110,10 +110,10 @@ def unmatched_keys(df: DataFrame, dim: DataFrame, key: str) -> DataFrame:
 
 
 def resolve_license(df: DataFrame, urls: DataFrame, families: DataFrame, col: str = "license_url") -> DataFrame:
-    """URL to licence and family to flags to usage class. Both lookups take ``https`` as ``http``. An unknown URL gives ``missing`` and nd."""
+    """URL to licence and family to flags to usage class. Both lookups take ``https`` as ``http``. An unknown URL gives ``missing`` and nd; of several entries for a URL or a family the least counts."""
     url = F.regexp_replace(F.col(col), "^https://", "http://")
-    u = small(urls.select(F.regexp_replace("url", "^https://", "http://").alias("l_url"), "license", "license_family").dropDuplicates(["l_url"]))
-    f = small(families.select(F.col("license_family").alias("l_family"), "attribution", "commercial", "derivative", "share_alike").dropDuplicates(["l_family"]))
+    u = small(urls.select(F.regexp_replace("url", "^https://", "http://").alias("l_url"), F.struct("license", "license_family").alias("l")).groupBy("l_url").agg(F.min("l").alias("l")).select("l_url", "l.*"))
+    f = small(families.select(F.col("license_family").alias("l_family"), F.struct("attribution", "commercial", "derivative", "share_alike").alias("l")).groupBy("l_family").agg(F.min("l").alias("l")).select("l_family", "l.*"))
     out = df.join(u, url == F.col("l_url"), "left").join(f, F.col("license_family") == F.col("l_family"), "left").drop("l_url", "l_family")
     return out.fillna({"license": "missing", "license_family": "missing"}).withColumn("license_usage", S.usage_class(F.col("commercial"), F.col("derivative")))
 

@@ -54,16 +54,22 @@ def license_summary(df: DataFrame, family: str = "license_family") -> DataFrame:
     return out.orderBy(rank(F.col("commercial")), rank(F.col("derivative")), family)
 
 
-def quantiles(df: DataFrame, col: Column, by: list[str], shares: list[float], blocks: int = 64) -> DataFrame:
+#: Values that a block of a group is meant to hold, and blocks at least and at most.
+BLOCK_VALUES, LEAST_BLOCKS, MOST_BLOCKS = 250_000, 64, 4096
+
+
+def quantiles(df: DataFrame, col: Column, by: list[str], shares: list[float], blocks: int | None = None) -> DataFrame:
     """(by, q0, q1, ...): exact interpolated quantiles of each group.
 
-    No task holds a group: approximate quantiles cut its values into blocks,
-    counts of the blocks say in which of them the wanted ranks are, and only
-    those blocks are sorted. Nulls and NaN do not count; a null key is a group.
+    No task holds a group, nor the copies of a value: approximate quantiles cut a group's values into ``blocks``
+    (one for BLOCK_VALUES rows, within bounds), counts of the blocks say in which of them the wanted ranks are, and only
+    those blocks become pairs of a value and how often it occurs, counted before the shuffle. Ranks are
+    running sums over these pairs, so a value that most rows have is one row. Nulls and NaN do not count; a null key is a group.
     """
     names = [f"_{x}" for x in by]
     values = df.select(*by, col.cast("double").alias("v")).where("v IS NOT NULL AND NOT isnan(v)")
-    cuts = values.groupBy(*by).agg(F.percentile_approx("v", F.array(*[F.lit((i + 1) / blocks) for i in range(blocks - 1)]), 1000).alias("_cuts")).toDF(*names, "_cuts")
+    n_blocks = blocks or min(max(LEAST_BLOCKS, df.count() // BLOCK_VALUES), MOST_BLOCKS)
+    cuts = values.groupBy(*by).agg(F.percentile_approx("v", F.array(*[F.lit((i + 1) / n_blocks) for i in range(n_blocks - 1)]), 16 * n_blocks).alias("_cuts")).toDF(*names, "_cuts")
     same = lambda xs, ys: reduce(and_, (F.col(x).eqNullSafe(F.col(y)) for x, y in zip(xs, ys, strict=True)), F.lit(True))
     ranged = values.join(cuts, same(by, names)).select(*by, "v", F.size(F.filter("_cuts", lambda x: x < F.col("v"))).alias("block"))
     w = Window.partitionBy(*by)  # as many rows as blocks
@@ -72,13 +78,22 @@ def quantiles(df: DataFrame, col: Column, by: list[str], shares: list[float], bl
     asked = F.array(*[F.struct(F.lit(k).alias("q"), (F.lit(p) * (F.col("n") - 1)).alias("at")) for k, p in enumerate(shares)])
     ranks = spans.select("*", F.explode(asked).alias("a")).where((F.ceil("a.at") >= F.col("before")) & (F.floor("a.at") < F.col("before") + F.col("c")))
     wanted = ranks.groupBy(*by, "block").agg(F.first("before").alias("before"), F.collect_list("a").alias("asked")).toDF(*names, "_block", "before", "asked")
-    near = ranged.join(wanted, same([*by, "block"], [*names, "_block"]))
-    placed = near.select(*by, "v", "asked", (F.col("before") + F.row_number().over(Window.partitionBy(*by, "block").orderBy("v")) - 1).alias("rank"))
-    hits = placed.select(*by, "v", "rank", F.explode("asked").alias("a")).where((F.col("rank") == F.floor("a.at")) | (F.col("rank") == F.ceil("a.at")))
-    weight = F.when(F.floor("a.at") == F.ceil("a.at"), 1.0).when(F.col("rank") == F.floor("a.at"), F.ceil("a.at") - F.col("a.at")).otherwise(F.col("a.at") - F.floor("a.at"))
+    pairs = value_pairs(ranged, by).join(wanted, same([*by, "block"], [*names, "_block"]))
+    run = F.sum("c").over(Window.partitionBy(*by, "block").orderBy("v"))
+    placed = pairs.select(*by, "v", "asked", (F.col("before") + run - F.col("c")).alias("from"), (F.col("before") + run - 1).alias("to"))
+    covers = lambda at: (at >= F.col("from")) & (at <= F.col("to"))
+    low, high = F.floor("a.at"), F.ceil("a.at")
+    hits = placed.select(*by, "v", "from", "to", F.explode("asked").alias("a")).where(covers(low) | covers(high))
+    part = F.col("a.at") - low
+    weight = F.when(covers(low), 1 - part).otherwise(0.0) + F.when(covers(high), part).otherwise(0.0)
     return hits.groupBy(*by).agg(*(F.sum(F.when(F.col("a.q") == k, F.col("v") * weight)).alias(f"q{k}") for k in range(len(shares))))
 
 
+def value_pairs(ranged: DataFrame, by: list[str]) -> DataFrame:
+    """(by, block, v, c): each value of a block once, with how often it occurs."""
+    return ranged.groupBy(*by, "block", "v").agg(F.count("*").alias("c"))
+
+
 def describe(df: DataFrame, col: Column, *by: str) -> DataFrame:
     """Count, mean, sample deviation, least, interpolated quartiles and greatest."""
     out = df.groupBy(*by).agg(F.count(col).alias("count"), F.avg(col).alias("mean"), F.stddev_samp(col).alias("std"), F.min(col).alias("min"), F.max(col).alias("max"))

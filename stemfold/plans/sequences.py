@@ -147,6 +147,25 @@ def draw_bounded_counts(spark: SparkSession, sf: str) -> DataFrame:
     return D.truncated_poisson(rows, "mu", "p", 1, 4, "n").drop("mu", "p")
 
 
+_LARGE = (0.1, 12.0, 200.0, 5000.0)
+
+
+@query(
+    "draw_large_counts",
+    f"""WITH m AS (SELECT unnest({list(_LARGE)!r}::DOUBLE[]) AS mu), k AS (SELECT mu, unnest(range(1, (mu + 14 * sqrt(mu) + 60)::BIGINT)) AS k FROM m),
+ w AS (SELECT mu, k, k * ln(mu) - sum(ln(k)) OVER (PARTITION BY mu ORDER BY k) AS l FROM k), e AS (SELECT mu, k, exp(l - max(l) OVER (PARTITION BY mu)) AS w FROM w),
+ pt AS (SELECT mu, k, (sum(w) OVER (PARTITION BY mu ORDER BY k) - w) / sum(w) OVER (PARTITION BY mu) AS lo FROM e),
+ d AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, ({list(_LARGE)!r}::DOUBLE[])[1 + l_linenumber % 4] AS mu, {u_sql(2, 'large', 'l_orderkey', 'l_linenumber', 'l_partkey')} AS p FROM lineitem)
+ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, d.mu, coalesce(k, 1)::INT AS n FROM d ASOF LEFT JOIN pt ON d.mu = pt.mu AND d.p >= pt.lo""",
+)
+def draw_large_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Zero-truncated counts with means from 0.1 to 5,000."""
+    keys = ["l_orderkey", "l_linenumber", "l_partkey"]
+    means = F.get(F.array(*map(F.lit, _LARGE)), F.col("l_linenumber") % 4)
+    rows = table(spark, sf, "lineitem").select(*keys, "l_suppkey", means.alias("mu"), D.u(2, "large", *[F.col(k) for k in keys]).alias("p"))
+    return D.truncated_poisson(rows, "mu", "p", 1, None, "n").drop("p")
+
+
 def _skew_sql(p0: str, p1: str, loc: str, scale: float = 2.0, shape: float = 5.0) -> str:
     delta = shape / (1 + shape * shape) ** 0.5
     return f"greatest(0.0::DOUBLE, {loc} + {scale!r}::DOUBLE * ({delta!r}::DOUBLE * abs({quantile_sql(p0)}) + {(1 - delta * delta) ** 0.5!r}::DOUBLE * {quantile_sql(p1)}))"

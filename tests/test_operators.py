@@ -11,6 +11,7 @@ from stemfold.operators import curate as C
 from stemfold.operators import levels as L
 from stemfold.operators import segments as W
 from stemfold.operators import splits as P
+from stemfold.operators import stats as A
 from stemfold.operators import timeline as T
 
 
@@ -457,3 +458,40 @@ def test_new_rows_read_only_the_buckets_they_touch(spark, tmp_path):
     rows.write.parquet(plain)
     store_new(rows.limit(9).unionByName(spark.createDataFrame([("/x", 1)], "cleaned_path string, n long")), plain, "cleaned_path")
     assert spark.read.parquet(plain).count() == 401
+
+
+@pytest.mark.parametrize("mu", [0.1, 12.0, 200.0, 5000.0])
+def test_counts_have_the_mean_and_variance_of_their_law(spark, mu):
+    n = 200_000
+    d = spark.range(n).select(F.lit(mu).alias("mu"), ((F.col("id") + 0.5) / n).alias("p"))
+    got = D.truncated_poisson(d, "mu", "p", 0, None, "k").agg(F.avg("k"), F.var_samp("k"), F.count("k")).first()
+    assert got[2] == n and got[0] == pytest.approx(mu, rel=0.01) and got[1] == pytest.approx(mu, rel=0.01)
+
+
+def test_counts_in_tails_and_without_a_mean(spark):
+    rows = [(5.0, 0.0), (5.0, 0.999), (0.0, 0.5), (None, 0.5), (3000.0, 0.5), (5.0, None)]
+    d = spark.createDataFrame(rows, "mu double, p double")
+    far = [r.k for r in D.truncated_poisson(d, "mu", "p", 100, 2000, "k").orderBy("mu", "p").collect()]
+    assert far == [None, 100, None, 100, 102, 1999]
+    assert sorted(r.k for r in D.truncated_poisson(d.where("mu = 5 AND p IS NOT NULL"), "mu", "p", 7, 7, "k").collect()) == [7, 7]
+
+
+def test_quantiles_of_a_frequent_value_rank_pairs(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    x = np.where(rng.random(40_000) < 0.9, 3.0, rng.normal(size=40_000))
+    df = spark.createDataFrame([(float(v),) for v in x], "v double").repartition(6)
+    got = A.quantiles(df.withColumn("g", F.lit(1)), F.col("v"), ["g"], [0.01, 0.05, 0.25, 0.5, 0.95], blocks=16).first()
+    assert [got[f"q{k}"] for k in range(5)] == pytest.approx(np.quantile(x, [0.01, 0.05, 0.25, 0.5, 0.95]).tolist())
+    # the value of 36,000 rows is one of the rows that are ranked
+    pairs = A.value_pairs(df.select(F.lit(1).alias("g"), F.lit(0).alias("block"), "v"), ["g"])
+    assert pairs.count() == len(np.unique(x)) and pairs.where("v = 3").first().c == (x == 3).sum()
+
+
+def test_licences_of_a_url_listed_twice_are_defined(spark):
+    urls = spark.createDataFrame([("http://a", "Z", "z"), ("https://a", "B", "b"), ("http://a", "C", "c")], "url string, license string, license_family string")
+    flags = spark.createDataFrame([("b", True, True, True, False), ("b", True, False, True, False)], "license_family string, attribution boolean, commercial boolean, derivative boolean, share_alike boolean")
+    for k in (1, 5):
+        got = C.resolve_license(spark.createDataFrame([("https://a",)], "license_url string"), urls.repartition(k), flags).first()
+        assert (got.license, got.commercial) == ("B", False)
