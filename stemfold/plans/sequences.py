@@ -10,11 +10,12 @@ from stemfold.functions import scalars as S
 from stemfold.operators import curate as C
 from stemfold.operators import expect as Q
 from stemfold.operators import levels as L
+from stemfold.operators import scans as N
 from stemfold.operators import segments as W
 from stemfold.operators import splits as P
 from stemfold.operators import timeline as T
 from stemfold.plans.curation import FLAGS, URLS
-from stemfold.plans.registry import CLIPS, cdf_sql, clips, quantile_sql, query, table, u_sql
+from stemfold.plans.registry import CLIPS, SQL, cdf_sql, clips, quantile_sql, query, table, u_sql
 from stemfold.sources import manifests as M
 from stemfold.sources.scratch import fresh
 from stemfold.streaming.ingest import ingest
@@ -90,6 +91,26 @@ def ladder_split(spark: SparkSession, sf: str) -> DataFrame:
     return W.ladder_split(_levels(spark, sf), "user_id", "event_id", "value", 0.5, 8.0, list(_ladder)).withColumns({c: F.round(c, 6) for c in ("start_time", "end_time")})
 
 
+_SECONDS = ("start_time", "end_time")
+
+
+@query("run_length_scan", SQL["run_length"])
+def run_length_scan(spark: SparkSession, sf: str) -> DataFrame:
+    t = F.col("event_type")
+    frames = table(spark, sf, "events").select("user_id", "event_id", W.encode_activation(t.isin("view", "purchase").cast("double"), t.isin("click", "purchase").cast("double")).alias("code"))
+    return N.run_length_scan(frames, "user_id", "event_id", "code", 0.5).select("user_id", W.class_name(F.col("class")).alias("class"), *(F.round(c, 6).alias(c) for c in _SECONDS))
+
+
+@query("nonsilent_scan", SQL["nonsilent"])
+def nonsilent_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return N.nonsilent_scan(_levels(spark, sf), "user_id", "event_id", "value", 0.5).withColumns({c: F.round(c, 6) for c in _SECONDS})
+
+
+@query("ladder_split_scan", SQL["ladder_split"])
+def ladder_split_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return N.ladder_split_scan(_levels(spark, sf), "user_id", "event_id", "value", 0.5, 8.0, list(_ladder)).withColumns({c: F.round(c, 6) for c in _SECONDS})
+
+
 @query(
     "segment_names",
     "WITH s AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn) - 1 AS segment, turn * 1.25::DOUBLE AS a, turn * 1.25::DOUBLE + length(text) / 37.0::DOUBLE AS b FROM conversations) SELECT conv_id, turn, segment, conv_id || '_' || lpad(segment::VARCHAR, 4, '0') AS name, floor(a * 44100)::BIGINT AS start_sample, ceil(b * 44100)::BIGINT AS end_sample, trunc(a * 44100)::BIGINT AS start_truncated, trunc(b * 44100)::BIGINT AS end_truncated FROM s",

@@ -9,6 +9,7 @@ from stemfold.functions import draws as D
 from stemfold.functions import scalars as S
 from stemfold.operators import curate as C
 from stemfold.operators import levels as L
+from stemfold.operators import scans as N
 from stemfold.operators import segments as W
 from stemfold.operators import splits as P
 from stemfold.operators import stats as A
@@ -495,3 +496,29 @@ def test_licences_of_a_url_listed_twice_are_defined(spark):
     for k in (1, 5):
         got = C.resolve_license(spark.createDataFrame([("https://a",)], "license_url string"), urls.repartition(k), flags).first()
         assert (got.license, got.commercial) == ("B", False)
+
+
+@pytest.mark.parametrize("blocks", [1, 3, 40])
+def test_scans_are_the_plain_operators(spark, blocks):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    rows = [(k, i, c, float(v)) for k, n in (("long", 400), ("one", 1), ("flat", 60), (None, 30)) for i, (c, v) in enumerate(zip(np.repeat(rng.integers(0, 3, n), rng.integers(1, 9, n))[:n].tolist(), np.repeat(rng.normal(50, 30, n), rng.integers(1, 9, n))[:n], strict=True))]
+    rows = [(k, i * 3 - 7, None if c == 2 else 0 if k == "flat" else c, v) for k, i, c, v in rows]
+    df = spark.createDataFrame(rows, "k string, pos int, c int, v double").repartition(5)
+    same = lambda a, b: sorted(map(tuple, a.collect()), key=str) == sorted(map(tuple, b.select(a.columns).collect()), key=str)
+    assert same(W.run_length(df, "k", "pos", "c", 0.5).select("k", "class", "start_time", "end_time"), N.run_length_scan(df, "k", "pos", "c", 0.5, blocks))
+    known = df.where("k IS NOT NULL")
+    assert same(W.nonsilent(known, "k", "pos", "v", 0.5), N.nonsilent_scan(known, "k", "pos", "v", 0.5, blocks=blocks))
+    assert same(W.ladder_split(known, "k", "pos", "v", 0.5, 8.0, [60.0, 20.0, 5.0]), N.ladder_split_scan(known, "k", "pos", "v", 0.5, 8.0, [60.0, 20.0, 5.0], blocks=blocks))
+    assert N.run_length_scan(df.limit(0), "k", "pos", "c").count() == 0
+
+
+def test_a_run_may_reach_over_many_blocks_of_one_key(spark):
+    n = 300_000
+    df = spark.range(n).select(F.lit("k").alias("k"), F.col("id").alias("pos"), F.when(F.col("id") < 250_000, "a").when(F.col("id") < 250_001, "b").otherwise("a").alias("c"))
+    held = N.in_blocks(df, ["k"], "pos", 16)
+    sizes = [r["count"] for r in held.groupBy("_block").count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 3 * n / 16  # no task holds the key
+    got = sorted(map(tuple, N.run_length_scan(df, "k", "pos", "c", 1.0, 16).select("class", "start_time", "end_time").collect()), key=lambda r: r[1])
+    assert got == [("a", 0.0, 250_000.0), ("b", 250_000.0, 250_001.0), ("a", 250_001.0, 300_000.0)]
