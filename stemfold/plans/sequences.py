@@ -485,12 +485,39 @@ def split_folds(spark: SparkSession, sf: str) -> DataFrame:
     return P.fixed_split(table(spark, sf, "supplier"), t, "s_nationkey").select("s_suppkey", "split")
 
 
-@query("split_balanced")
-def split_balanced(spark: SparkSession, sf: str) -> DataFrame:
+#: The lowest bit of the CRC-32 of a text, bit by bit: each byte is followed by eight shifts.
+_ODD_CRC = "list_reduce(list_concat([4294967295], flatten(list_transform(string_split({0}, ''), lambda c: list_concat([ascii(c)::BIGINT], [-1::BIGINT, -1, -1, -1, -1, -1, -1, -1])))), lambda c, b: CASE WHEN b >= 0 THEN xor(c, b) ELSE xor(c >> 1, (c & 1) * 3988292384) END) & 1"
+_PROPORTIONS = {"train": 0.7, "val": 0.1, "test": 0.2}
+_SPEAKERS = f"""sp AS (SELECT concat_ws('-', c_nationkey::VARCHAR, c_mktsegment) AS corpus, o_custkey::VARCHAR AS speaker, CASE WHEN {_ODD_CRC.format('any_value(c_name)')} = 1 THEN 'female' ELSE 'male' END AS gender, round(sum(o_totalprice), 2) AS duration
+ FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_nationkey, c_mktsegment, o_custkey)"""
+
+
+def _speakers(spark: SparkSession, sf: str) -> DataFrame:
     """One corpus for each nation and segment, so that each speaker list is short."""
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat_ws("-", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("corpus"), F.when(F.crc32(F.col("c_name")) % 2 == 0, "female").otherwise("male").alias("gender"))
-    s = table(spark, sf, "orders").join(c, "o_custkey").groupBy("corpus", F.col("o_custkey").cast("string").alias("speaker"), "gender").agg(F.sum("o_totalprice").alias("duration"))
-    return P.balanced_split(s, {"train": 0.7, "val": 0.1, "test": 0.2}, 0.15, 8)
+    return table(spark, sf, "orders").join(c, "o_custkey").groupBy("corpus", F.col("o_custkey").cast("string").alias("speaker"), "gender").agg(F.round(F.sum("o_totalprice"), 2).alias("duration"))
+
+
+@query(
+    "split_balanced",
+    f"""WITH RECURSIVE {_SPEAKERS}, d AS (SELECT *, row_number() OVER (PARTITION BY corpus, seed ORDER BY {u_sql(0, 'balance', 'seed', 'speaker')}, speaker) AS k, sum(duration) OVER (PARTITION BY corpus, seed) AS total FROM sp, (SELECT unnest(range(0, 8)) AS seed)),
+ st AS (SELECT DISTINCT corpus, seed, 0::BIGINT AS k, '' AS split, [{', '.join(f'{p} * total' for p in _PROPORTIONS.values())}]::DOUBLE[] AS need, []::BIGINT[] AS taken FROM d
+ UNION ALL SELECT corpus, seed, k, name, list_transform(need, lambda x, i: CASE WHEN i = spot THEN x - duration ELSE x END), list_append(taken, k) FROM (SELECT q.corpus, q.seed, d.k, q.name, q.spot, q.need, q.taken, d.duration,
+ row_number() OVER (PARTITION BY q.corpus, q.seed ORDER BY abs(d.duration - q.need[q.spot]), d.k) AS r FROM (SELECT *, ({list(_PROPORTIONS)!r})[spot] AS name FROM (SELECT *, CASE WHEN need[1] >= need[2] AND need[1] >= need[3] THEN CASE WHEN need[2] = need[1] THEN 2 ELSE 1 END WHEN need[2] >= need[3] THEN 2 ELSE 3 END AS spot FROM st)) q
+ JOIN d ON d.corpus = q.corpus AND d.seed = q.seed AND NOT list_contains(q.taken, d.k)) WHERE r = 1),
+ a AS (SELECT d.*, st.split FROM st JOIN d ON d.corpus = st.corpus AND d.seed = st.seed AND d.k = st.k), own AS (SELECT corpus, seed, split, sum(CASE WHEN gender = 'female' THEN duration ELSE 0 END) AS f, sum(duration) AS t FROM a GROUP BY ALL),
+ w AS (SELECT corpus, seed, max(abs(f / t - whole)) AS stray FROM (SELECT *, sum(f) OVER (PARTITION BY corpus, seed) / sum(t) OVER (PARTITION BY corpus, seed) AS whole FROM own) GROUP BY ALL),
+ best AS (SELECT corpus, seed, stray <= 0.15 AS accepted FROM w QUALIFY row_number() OVER (PARTITION BY corpus ORDER BY stray > 0.15, CASE WHEN stray <= 0.15 THEN 0 ELSE round(stray, 9) END, seed) = 1)
+ SELECT corpus, speaker, split, seed::INT AS seed, accepted FROM a JOIN best USING (corpus, seed)""",
+)
+def split_balanced(spark: SparkSession, sf: str) -> DataFrame:
+    return P.balanced_split(_speakers(spark, sf), _PROPORTIONS, 0.15, 8)
+
+
+@query("split_balanced_binned")
+def split_balanced_binned(spark: SparkSession, sf: str) -> DataFrame:
+    """All customers as one corpus, as large as the table."""
+    return P.balanced_split_binned(_speakers(spark, sf).withColumn("corpus", F.lit("all")), _PROPORTIONS, 0.15, 4)
 
 
 # --- expectations -------------------------------------------------------------------------

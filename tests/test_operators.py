@@ -522,3 +522,52 @@ def test_a_run_may_reach_over_many_blocks_of_one_key(spark):
     assert len(sizes) == 16 and max(sizes) < 3 * n / 16  # no task holds the key
     got = sorted(map(tuple, N.run_length_scan(df, "k", "pos", "c", 1.0, 16).select("class", "start_time", "end_time").collect()), key=lambda r: r[1])
     assert got == [("a", 0.0, 250_000.0), ("b", 250_000.0, 250_001.0), ("a", 250_001.0, 300_000.0)]
+
+
+def _plain_assignment(durations, need):
+    left, need, out = list(range(len(durations))), dict(need), [""] * len(durations)
+    while left:
+        name = max(need, key=lambda s: (need[s], s))
+        k = min(left, key=lambda k: (abs(durations[k] - need[name]), k))
+        left.remove(k)
+        out[k] = name
+        need[name] -= durations[k]
+    return out
+
+
+def test_nearest_durations_as_by_plain_search():
+    import random
+    import time
+
+    rng = random.Random(3)
+    for n in (0, 1, 2, 7, 60, 300):
+        for spread in (3, 40, 10**6):
+            d = [float(rng.randint(1, spread)) for _ in range(n)]
+            need = {"train": 0.7 * sum(d), "val": 0.1 * sum(d), "test": 0.2 * sum(d)}
+            assert P.assign_nearest(d, need) == _plain_assignment(d, need)
+    d = [rng.random() for _ in range(400_000)]
+    began = time.time()
+    P.assign_nearest(d, {"train": 0.7 * sum(d), "val": 0.1 * sum(d), "test": 0.2 * sum(d)})
+    assert time.time() - began < 30
+
+
+def test_shares_of_bins_are_whole_and_in_proportion():
+    p = {"train": 0.7, "val": 0.1, "test": 0.2}
+    got = P.shares_of_bins([1, 3, 10, 997, 4], [900.0, 50.0, 9.0, 1.5, 0.1], p)
+    assert [sum(x) for x in got] == [1, 3, 10, 997, 4] and all(min(x) >= 0 for x in got)
+    got = P.shares_of_bins([1000, 5000], [10.0, 2.0], p)
+    assert [sum(x[k] for x in got) for k in range(3)] == [4200, 600, 1200]
+
+
+def test_a_corpus_of_any_size_is_balanced_by_bins(spark):
+    i = F.col("id")
+    one = spark.range(200_000).select(F.lit("big").alias("corpus"), F.concat(F.lit("s"), i).alias("speaker"), F.when(F.hash(i) % 3 == 0, "female").otherwise("male").alias("gender"), (F.lit(5.0) + F.when(i % 2 == 0, F.lit(0.0)).otherwise(F.pmod(F.hash(i, F.lit(1)), F.lit(9000)) / 10.0)).alias("duration"))
+    few = spark.createDataFrame([("few", "a", "female", 3.0), ("few", "b", None, 0.0), ("few", "c", "male", 2.0)], "corpus string, speaker string, gender string, duration double")
+    got = P.balanced_split_binned(one.unionByName(few), {"train": 0.7, "val": 0.1, "test": 0.2}, 0.05, 2).join(one.select("speaker", "gender", "duration"), "speaker", "left").toPandas()
+    big = got[got.corpus == "big"]
+    assert len(big) == 200_000 and big.speaker.is_unique and big.accepted.all() and big.split.notna().all()
+    d = big.groupby("split").duration.sum() / big.duration.sum()
+    assert [d["train"], d["val"], d["test"]] == pytest.approx([0.7, 0.1, 0.2], abs=0.002)
+    ratio = big[big.gender == "female"].groupby("split").duration.sum() / big.groupby("split").duration.sum()
+    assert ratio.max() - ratio.min() < 0.02
+    assert sorted(got[got.corpus == "few"].speaker) == ["a", "b", "c"]
