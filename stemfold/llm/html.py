@@ -87,7 +87,7 @@ def _says(name: str, inside: bool) -> int:
 
 
 def _named(attributes: str, inside: bool) -> int:
-    found = sum(_says(n, inside) for m in _names.finditer(attributes) for n in m[1].strip("\"'").split()[:64])
+    found = sum(_says(n, inside) for m in _names.finditer(attributes) for n in m[1].strip("\"'").split())
     return (found > 0) - (found < 0)
 
 
@@ -199,11 +199,13 @@ def read_page(html: str) -> Page:
                 may = name == "form" and may
             elif name in TOWARD and may:
                 element = 1
-            if own < 0:
+            if own < 0 and inside and name in PLAIN:
+                says = -1  # one paragraph's name does not undo what holds it
+            elif own < 0:
                 element, says = min(element, 0), -1
             elif own > 0 and may:
                 element, says = max(element, 0), 1
-            if name in BLOCK and (name not in PLAIN or own):
+            if name in BLOCK and name not in PLAIN:
                 parent.append(container)
                 container = len(parent) - 1
             stack.append((name, container, element, says, hidden or name in HIDDEN or bool(attributes and _hide.search(attributes))))
@@ -330,14 +332,14 @@ def smoothness(page: Page) -> list[tuple[int, int, float]]:
     return edges
 
 
-#: Nats that a text's features may weigh.
-MOST_TEXT = 3.0
+#: Nats that a text's features may weigh, and a mark against or for content; so a text with an edge or two can overrule what a name says.
+MOST_TEXT, MOST_AWAY, MOST_TOWARD = 3.0, 1.5, 3.0
 
 
 def gains(found: list[Block], weights: np.ndarray) -> np.ndarray:
     """Terminal capacities: by how many nats each block is content by its text, and by what elements and names around it say."""
     x = np.array([b.features for b in found]).reshape(-1, TEXT + MARKS)
-    return np.clip(x[:, :TEXT] @ weights[:TEXT], -MOST_TEXT, MOST_TEXT) + x[:, TEXT:] @ weights[TEXT:]
+    return np.clip(x[:, :TEXT] @ weights[:TEXT], -MOST_TEXT, MOST_TEXT) + x[:, TEXT:] @ np.clip(weights[TEXT:], -MOST_AWAY, MOST_TOWARD)
 
 
 def label_blocks(page: Page, weights: np.ndarray) -> list[bool]:
