@@ -7,6 +7,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from os.path import commonprefix
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -68,13 +69,16 @@ class Automaton:
 
     ``moves[s]`` maps a class to (next state, log probability); ``ends[s]`` is
     the log probability of stopping. A class's characters are equally likely.
-    What was not seen in a state costs ``floor`` and stays there.
+    What was not seen in a state costs ``floor`` and stays there. With an
+    ``alphabet`` a tenth of each state's probability is spread evenly over it, so
+    that few examples do not rule out characters that they happen to lack.
     """
 
     classes: dict[str, int]
     moves: list[dict[int, tuple[int, float]]]
     ends: list[float]
     floor: float
+    alphabet: str = ""
 
     def __post_init__(self) -> None:
         size = Counter(self.classes.values())
@@ -84,6 +88,25 @@ class Automaton:
         # by character: the state it leads to and what it costs
         self.steps = [{c: (to, p - math.log(size[k])) for k, (to, p) in own.items() for c in members[k]} for own in self.moves]
         self.unseen = self.floor - math.log(64)
+        if self.alphabet:
+            spread = 0.1 / len(self.alphabet)
+            for state, own in enumerate(self.steps):
+                for c in self.alphabet:
+                    to, p = own.get(c, (state, -math.inf))
+                    own[c] = to, math.log(0.9 * math.exp(p) + spread)
+
+    def nats(self, text: str) -> float:
+        """Negative log likelihood of the characters, whatever the end."""
+        steps, total = self.steps[0], 0.0
+        unseen = self.unseen
+        for c in text:
+            if c in steps:
+                state, p = steps[c]
+                steps = self.steps[state]
+                total += p
+            else:
+                total += unseen
+        return -total
 
     def loss(self, text: str) -> float:
         """Mean negative log likelihood of a character, the end counted as one more."""
@@ -99,7 +122,7 @@ class Automaton:
         return -(total + self.ends[state]) / (len(text) + 1)
 
 
-def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, floor: float = 1e-4) -> Automaton:
+def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, floor: float = 1e-4, alphabet: str = "") -> Automaton:
     """Merge the states of the examples' prefix tree whose symbol and end frequencies agree within Hoeffding bounds.
 
     Symbols are the classes that merge_classes finds. States are taken breadth
@@ -170,26 +193,99 @@ def infer_automaton(examples: list[str], alpha: float = 0.05, least: int = 20, f
     number = {n: k for k, n in enumerate(accepted)}
     log = lambda part, whole: math.log(max(floor, part / max(whole, 1)))
     moves = [{s: (number[k], log(freq[n][s], count[n])) for s, k in kids[n].items()} for n in accepted]
-    return Automaton(classes, moves, [log(ends[n], count[n]) for n in accepted], math.log(floor))
+    return Automaton(classes, moves, [log(ends[n], count[n]) for n in accepted], math.log(floor), alphabet)
+
+
+#: Examples that make a format, characters of a prefix that tells one.
+LEAST_EXAMPLES, PREFIX = 5, 4
+#: Nats by which an arbitrary identifier is less likely than an ordinary string, and that a candidate must gain on both.
+IDENTIFIER, EVIDENCE = 14.0, 10.0
+#: Nats that each character of an arbitrary identifier costs besides the choice of it: long ones are rare.
+PER_CHARACTER = 0.2
+#: Nats that each character costs by which a candidate is longer or shorter than all examples of a format.
+OFF_LENGTH = 1.0
+
+_SIZES = ((frozenset("abcdefghijklmnopqrstuvwxyz"), 26), (frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZ"), 26), (frozenset("0123456789"), 10))
+_LETTERS = frozenset().union(*(k for k, _ in _SIZES))
+_KINDS_OF_CHARACTERS = ("abcdef", "ghijklmnopqrstuvwxyz", "ABCDEF", "GHIJKLMNOPQRSTUVWXYZ", "0123456789")
+
+
+def alphabet_of(strings: list[str]) -> str:
+    """The characters that strings like these may hold: whole kinds (hexadecimal letters, letters, digits) and the marks that occur."""
+    seen = set("".join(strings))
+    kinds = [k for k in _KINDS_OF_CHARACTERS if seen & set(k)]
+    # letters past f bring those up to f with them
+    for k, low in ((1, 0), (3, 2)):
+        if _KINDS_OF_CHARACTERS[k] in kinds and _KINDS_OF_CHARACTERS[low] not in kinds:
+            kinds.append(_KINDS_OF_CHARACTERS[low])
+    return "".join(sorted(set("".join(kinds)) | {c for c in seen if not c.isalnum()}))
+
+
+def identifier_nats(token: str) -> float:
+    """What a token costs as an arbitrary string of the letters, digits and marks that it has, besides being one."""
+    seen = set(token)
+    size = sum(n for kind, n in _SIZES if not seen.isdisjoint(kind)) + len(seen - _LETTERS)
+    return len(token) * (math.log(max(size, 1)) + PER_CHARACTER)
+
+
+@dataclass
+class Format:
+    """One format of credentials: a fixed prefix (or none), an automaton for what follows, and the lengths seen.
+
+    ``most`` is the loss a character that 99 % of the examples stay within.
+    """
+
+    prefix: str
+    automaton: Automaton
+    lengths: dict[int, int]
+    most: float = 0.0
+
+    def __post_init__(self) -> None:
+        self.by_length = [self._length(n) for n in range(LONGEST + 1)]
+
+    def nats(self, token: str) -> float:
+        cost = self.by_length[len(token)] if len(token) <= LONGEST else self._length(len(token))
+        if self.prefix:
+            cost += 0.1 * len(self.prefix) if token.startswith(self.prefix) else -self.automaton.unseen * len(self.prefix)
+            token = token.removeprefix(self.prefix)
+        return cost + self.automaton.nats(token)
+
+    def _length(self, n: int) -> float:
+        total = sum(self.lengths.values())
+        if n in self.lengths:
+            return math.log((total + 1) / self.lengths[n])
+        return math.log(total + 1) + OFF_LENGTH * min(abs(n - x) for x in self.lengths)
 
 
 @dataclass
 class Grammar:
-    """An automaton for each format of credentials with the loss that 99 % of its own stay within, and an automaton of ordinary tokens.
+    """The formats of credentials, an automaton of ordinary tokens, and labelled credentials of no format.
 
     A candidate's score is by how many nats a character the format that fits
-    it best beats the ordinary automaton; every candidate has one. From
-    ``margin`` on it is a credential.
+    it best beats the ordinary automaton; every candidate has one. It is a credential
+    from ``margin`` on, if the format also gains ``EVIDENCE`` nats in all on the ordinary automaton and on an arbitrary identifier:
+    what is short, or as long as no example, has too little to tell it from a commit's or a part's number.
     """
 
-    formats: dict[str, tuple[Automaton, float]]
+    formats: dict[str, Format]
     ordinary: Automaton
     margin: float = 0.5
-
-    def fit(self, token: str) -> tuple[float, float]:
-        """The score, -inf only if no format was learned, and by how much more than its own strings the best format loses on it."""
-        loss, most = min(((a.loss(token), most) for a, most in self.formats.values()), default=(math.inf, 0.0))
-        return self.ordinary.loss(token) - loss, max(0.0, loss - most - 1e-6)
+    single: frozenset[str] = frozenset()
+
+    def fit(self, token: str) -> tuple[float, float, bool]:
+        """The score, -inf only if no format was learned; by how much more than its own strings the best format loses on the token; whether the evidence is enough."""
+        size = len(token) + 1
+        nats, most = math.inf, 0.0
+        for f in self.formats.values():
+            n = f.nats(token)
+            if n < nats:
+                nats, most = n, f.most
+        plain = self.ordinary.loss(token) * size
+        score = (plain - nats) / size
+        if token in self.single and plain > (other := identifier_nats(token)) + EVIDENCE:
+            return max(self.margin, score, (plain - other) / size), 0.0, True
+        enough = score >= self.margin and min(plain, identifier_nats(token) + IDENTIFIER) - nats >= EVIDENCE
+        return score, max(0.0, nats / size - most - 1e-6), enough
 
     def score(self, token: str) -> float:
         return self.fit(token)[0]
@@ -197,52 +293,67 @@ class Grammar:
     def candidates(self, run: str) -> tuple[tuple[tuple[int, int], ...], float]:
         """Where in a maximal run of token characters credentials are, and the best score of its candidates. Of the readings with credentials, that with the best fitting one counts, the first if they fit alike."""
         best, excess, found = -math.inf, math.inf, ()
-        fits: dict[tuple[int, int], tuple[float, float]] = {}
+        fits: dict[tuple[int, int], tuple[float, float, bool]] = {}
         for places in readings(run):
             for a, b in places:
                 if (a, b) not in fits:
                     fits[a, b] = self.fit(run[a:b])
                     best = max(best, fits[a, b][0])
-            own = [x for x in places if fits[x][0] >= self.margin]
+            own = [x for x in places if fits[x][0] >= self.margin and fits[x][2]]
             if own and min(fits[x][1] for x in own) < excess:
                 excess, found = min(fits[x][1] for x in own), tuple(own)
         return found, best
 
 
-def infer_grammar(examples: dict[str, list[str]], ordinary: list[str], least_examples: int = 20, least_margin: float = 0.3) -> Grammar:
-    """``examples``: credentials by kind. Of each kind, every length with enough examples is a format, and the rest is one.
+def format_groups(examples: dict[str, list[str]]) -> tuple[dict[str, list[str]], list[str]]:
+    """Examples by format, and those of none: of each kind, strings that share a prefix, else those of one alphabet, whatever their lengths."""
+    groups: dict[str, list[str]] = {}
+    single: list[str] = []
+    for kind, strings in sorted(examples.items()):
+        starts = Counter(x[:PREFIX] for x in set(strings))
+        own: dict[str, list[str]] = {}
+        for x in sorted(set(strings)):
+            shared = starts[x[:PREFIX]] >= LEAST_EXAMPLES
+            own.setdefault(f"{kind}:{x[:PREFIX]}*" if shared else f"{kind}:{alphabet_of([x])}", []).append(x)
+        for name, members in own.items():
+            if len(members) >= LEAST_EXAMPLES:
+                groups[name] = members
+            else:
+                single += members
+    return groups, single
+
+
+def infer_format(examples: list[str]) -> Format:
+    """One prefix tree over all examples of a format, whose compatible states merge; so lengths share states."""
+    prefix = commonprefix(examples)
+    prefix = prefix if len(prefix) >= PREFIX else ""
+    rest = [x[len(prefix) :] for x in examples]
+    out = Format(prefix, infer_automaton(rest, alphabet=alphabet_of(rest) or "0"), dict(Counter(map(len, examples))))
+    losses = sorted(out.nats(x) / (len(x) + 1) for x in examples)
+    out.most = losses[int(0.99 * len(losses))]
+    return out
+
+
+def infer_grammar(examples: dict[str, list[str]], ordinary: list[str], least_margin: float = 0.3) -> Grammar:
+    """``examples``: credentials by kind, which fall into formats by prefix and alphabet.
 
-    With too few of them a kind adds no format. Ordinary strings of a format's
-    length that fit it as well as nearly all of its own do are taken for unlabelled
-    credentials and left out, unless that were most of them. The margin leaves out all but a
-    thousandth of the ordinary strings that were kept from inference (every
+    Fewer than ``LEAST_EXAMPLES`` alike make no format; they are known as they
+    are. Ordinary strings of a length that a format has that fit it as well as nearly all of its own
+    do are taken for unlabelled credentials and left out, unless that were most of them. The margin
+    leaves out all but a thousandth of the ordinary strings that were kept from inference (every
     third), or if that would lose more, all but 98 % of the labelled ones.
     """
-    formats, lengths = {}, {}
-    for kind, strings in sorted(examples.items()):
-        by_length: dict[int, list[str]] = {}
-        for x in sorted(strings):
-            by_length.setdefault(len(x), []).append(x)
-        rest = [x for own in by_length.values() if len(own) < least_examples for x in own]
-        groups = {f"{kind}:{n}": own for n, own in sorted(by_length.items()) if len(own) >= least_examples}
-        if len(rest) >= least_examples:
-            groups[kind] = rest
-        for name, own in groups.items():
-            automaton = infer_automaton(own)
-            losses = sorted(map(automaton.loss, own))
-            formats[name] = automaton, losses[int(0.99 * len(losses))]
-            if own is not rest:
-                lengths[name] = len(own[0])
+    groups, single = format_groups(examples)
+    formats = {name: infer_format(own) for name, own in groups.items()}
     kept = sorted(ordinary)
-    for name, length in lengths.items():
-        automaton, most = formats[name]
-        left = [x for x in kept if all(j - i != length or automaton.loss(x[i:j]) > most + 1e-6 for places in readings(x) for i, j in places)]
+    for f in formats.values():
+        left = [x for x in kept if all(j - i not in f.lengths or f.nats(x[i:j]) / (j - i + 1) > f.most + 1e-6 for places in readings(x) for i, j in places)]
         if 2 * len(left) >= len(ordinary):
             kept = left
-    out = Grammar(formats, infer_automaton([x for k, x in enumerate(kept) if k % 3]), least_margin)
+    out = Grammar(formats, infer_automaton([x for k, x in enumerate(kept) if k % 3]), least_margin, frozenset(single))
     if formats and kept:
         plain = sorted(out.score(x) for x in kept[::3])
-        own = sorted(out.score(x) for strings in examples.values() for x in strings)
+        own = sorted(out.score(x) for strings in groups.values() for x in strings)
         out.margin = max(least_margin, min(plain[int(0.999 * len(plain))] + 0.05, own[int(0.02 * len(own))]))
     return out
 
