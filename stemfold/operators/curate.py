@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stemfold.functions import scalars as S
+from stemfold.sources.scratch import cut
 
 #: A dimension of at most this many rows is broadcast after it has been counted.
 BROADCAST_ROWS = 100_000
@@ -137,15 +138,16 @@ def sampling_probability(df: DataFrame, families: DataFrame, least_users: float
     ``families``: language_family, members (array of codes), users. A code
     without a family counts as one of its own with the least users, and so do
     all rows without a code together. Files are counted by an aggregate
-    (n_files) that is joined back: one row for each family or code, which the
-    number of languages bounds, so it is broadcast and files are not shuffled.
+    (n_files) that is written, counted and joined back: one row for each family or code. Few of
+    them, as there are languages, are broadcast, and files are not shuffled; a column of dirty
+    codes makes a plain join.
     """
     members = small(families.select("language_family", "users", F.explode("members").alias("langcode")).dropDuplicates(["langcode"]))
     tagged = df.join(members, "langcode", "left").withColumns({"language_family": F.coalesce("language_family", "langcode"), "sample_users": F.greatest(F.coalesce(F.col("users").cast("double"), F.lit(0.0)), F.lit(least_users))}).drop("users")
     files = tagged.groupBy("language_family", "sample_users").agg(F.count("*").alias("n_files"))
     total = files.agg(F.sum("sample_users").alias("all_users"))
     weights = files.crossJoin(F.broadcast(total)).select(F.col("language_family").alias("w_family"), "n_files", (F.col("sample_users") / F.col("n_files") / F.col("all_users")).alias("sample_prob"))
-    return tagged.join(F.broadcast(weights), F.col("language_family").eqNullSafe(F.col("w_family"))).drop("w_family")
+    return tagged.join(small(cut(weights, "weights")), F.col("language_family").eqNullSafe(F.col("w_family"))).drop("w_family")
 
 
 def uniform_probability(df: DataFrame) -> DataFrame:

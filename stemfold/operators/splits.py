@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from stemfold.functions.draws import u
+from stemfold.operators.curate import small
 
 
 def _ceil_share(n: Column, percent: Column | int) -> Column:
@@ -73,7 +74,7 @@ def merged_split(df: DataFrame, group: str, stratum: str, merged: DataFrame, see
     ``merged``: (stratum, merged), for sparse strata; others stay as they are.
     """
     groups = df.groupBy(group, stratum).agg(F.bool_or(F.col("split") == "test").alias("is_test"))
-    named = groups.join(F.broadcast(merged.select(F.col("stratum").alias(stratum), "merged")), stratum, "left").withColumn("merged", F.coalesce("merged", stratum))
+    named = groups.join(small(merged.select(F.col("stratum").alias(stratum), "merged")), stratum, "left").withColumn("merged", F.coalesce("merged", stratum))
     ranked = _ranked(named.where("NOT is_test"), ["merged"], group, seed)
     return ranked.select(group, F.when(F.col("rank") <= _ceil_share(F.col("n"), val), "val").otherwise("train").alias("split")).unionByName(named.where("is_test").select(group, F.lit("test").alias("split")))
 

@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from stemfold.functions import scalars as S
 from stemfold.operators import curate as C
 from stemfold.operators import stats as A
-from stemfold.plans.registry import CLIPS, clips, query, table
+from stemfold.plans.registry import CLIPS, SQL, clips, query, table
+from stemfold.sources.scratch import bucketed
 
 # --- fixed values: the small dimensions that queries look things up in ---
 FAMILIES = [("germanic", ["eng", "deu"], 500_000_000), ("romance", ["fra", "spa"], 700_000)]
@@ -199,6 +200,16 @@ def precomputed_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return C.with_precomputed(plan, made)
 
 
+@query("bucketed_lookup", SQL["precomputed_lookup"])
+def bucketed_lookup(spark: SparkSession, sf: str) -> DataFrame:
+    """precomputed_lookup on tables that were written in buckets of (split, idx): the join shuffles neither."""
+    key, buckets = ["split", "idx"], int(spark.conf.get("spark.sql.shuffle.partitions"))
+    plan = bucketed(table(spark, sf, "orders").select(F.col("o_orderstatus").alias("split"), F.col("o_orderkey").alias("idx")), key, buckets, "plan")
+    lines = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("idx"), "l_quantity").join(plan, "idx")
+    made = bucketed(lines.groupBy(*key).agg(F.count("*").alias("n_lines"), F.round(F.sum("l_quantity"), 6).alias("total")), key, buckets, "precomputed")
+    return C.with_precomputed(plan, made.hint("merge"))
+
+
 @query(
     "assign_split",
     "WITH m AS (SELECT n_nationkey, CASE WHEN n_regionkey = 0 THEN 'test' WHEN n_regionkey = 1 THEN 'val' ELSE 'train' END AS split FROM nation) SELECT c_custkey, CASE c_mktsegment WHEN 'BUILDING' THEN 'CONSTRUCTION' WHEN 'HOUSEHOLD' THEN 'HOME' ELSE c_mktsegment END AS c_mktsegment, split FROM customer JOIN m ON c_nationkey = n_nationkey",

@@ -536,14 +536,17 @@ def split_balanced_binned(spark: SparkSession, sf: str) -> DataFrame:
  UNION ALL SELECT 'disjoint', source, count(DISTINCT split)::VARCHAR FROM clips GROUP BY source HAVING count(DISTINCT split) > 1""",
 )
 def violations(spark: SparkSession, sf: str) -> DataFrame:
-    c, o, li = clips(spark, sf), table(spark, sf, "orders"), table(spark, sf, "lineitem")
-    known = table(spark, sf, "nation").where("n_nationkey < 15").select(F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("source"))
-    scored = C.enrich(table(spark, sf, "documents").select("doc_id"), table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality")), "doc_id")
-    return Q.violations(
-        Q.required(c, "subset", "doc_id", "langcode"), Q.determines(o, "o_custkey", ["o_orderpriority"], "speaker"), Q.known(c, known, "source", "doc_id", "license"), Q.sizes(o, "o_orderstatus", {"F": 86, "O": 14, "X": 50}),
-        Q.inside(li, "l_orderkey", F.col("l_linenumber") * 10, F.col("l_quantity").cast("bigint"), 100), Q.finite(scored, "quality", "doc_id"), Q.fixed_length(table(spark, sf, "part"), "p_size", 11, "p_partkey"), Q.disjoint(c.select("source", "split"), "source"),
-        Q.required(C.without_subset(c, "src3"), "subset", "doc_id", "subset"),
+    """Each table is scanned once for all of its rules."""
+    known = table(spark, sf, "nation").where("n_nationkey < 15").select(F.concat(F.lit("src"), F.col("n_nationkey").cast("string")).alias("source"), F.lit(True).alias("known"))
+    c = C.enrich(C.enrich(clips(spark, sf), table(spark, sf, "labels").select("doc_id", F.col("quality").cast("double").alias("quality")), "doc_id"), C.small(known), "source")
+    no_subset = Q.missing_value("subset", "doc_id", "subset")
+    documents = Q.check(
+        c, Q.missing_value("subset", "doc_id", "langcode"), Q.RowRule("license", F.col("known").isNull() & F.col("source").isNotNull(), F.col("doc_id"), F.col("source")), Q.not_finite("quality", "doc_id"),
+        Q.RowRule("subset", no_subset.fails & ~F.col("source").eqNullSafe("src3"), no_subset.key, no_subset.detail), Q.OneRule("disjoint", F.col("source"), F.col("split")),
     )
+    orders = Q.check(table(spark, sf, "orders"), Q.OneRule("speaker", F.col("o_custkey"), F.col("o_orderpriority")), Q.SizeRule("size", F.col("o_orderstatus"), {"F": 86, "O": 14, "X": 50}))
+    lines = Q.check(table(spark, sf, "lineitem"), Q.not_inside("l_orderkey", F.col("l_linenumber") * 10, F.col("l_quantity").cast("bigint"), 100))
+    return Q.violations(documents, orders, lines, Q.check(table(spark, sf, "part"), Q.other_length("p_size", 11, "p_partkey")))
 
 
 # --- sources and sinks ------------------------------------------------------------------------
@@ -612,7 +615,8 @@ def file_inventory(spark: SparkSession, sf: str) -> DataFrame:
 def csv_dialects(spark: SparkSession, sf: str) -> DataFrame:
     """The customer table written and read in each dialect; each tab file carries three header rows that are skipped."""
     n = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_nationkey").alias("region"))
-    out, parts = None, 4
+    # as many files as the session has shuffle partitions
+    out, parts = None, int(spark.conf.get("spark.sql.shuffle.partitions"))
     for name, options in M.DIALECTS.items():
         folder = fresh(spark, f"csv-{name}")
         skipped = 3 if name == "tab" else 0

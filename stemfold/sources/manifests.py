@@ -84,8 +84,13 @@ def path_columns(df: DataFrame, path: str, names: list[str]) -> DataFrame:
 
 
 def write_manifest(df: DataFrame, folder: str, mode: str = "overwrite") -> None:
-    """One folder for each subset and split."""
-    df.write.mode(mode).partitionBy("subset", "split").parquet(folder)
+    """One folder for each subset and split.
+
+    Rows are rebalanced on both first: small partitions share a task and a large one is
+    split by size over several, so a folder has files of about the session's
+    advisory partition size and not one for each task that holds some of it.
+    """
+    df.hint("rebalance", "subset", "split").write.mode(mode).partitionBy("subset", "split").parquet(folder)
 
 
 def split_failed(df: DataFrame, col: str) -> DataFrame:

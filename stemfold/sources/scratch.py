@@ -48,6 +48,14 @@ def cut(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def bucketed(df: DataFrame, key: list[str], buckets: int, tag: str) -> DataFrame:
+    """``df`` written in buckets of ``key`` to the shared folder, and read as a table: joins and groupings on the key of tables with as many buckets need no shuffle."""
+    spark = df.sparkSession
+    name = f"{tag}_{uuid.uuid4().hex}"
+    df.repartition(buckets, *key).write.bucketBy(buckets, *key).sortBy(*key).format("parquet").option("path", fresh(spark, tag)).saveAsTable(name)
+    return spark.table(name)
+
+
 def clear(spark: SparkSession) -> None:
     """Delete what this application has written to the shared folder. DataFrames that read it cannot be used afterwards."""
     path = spark._jvm.org.apache.hadoop.fs.Path(_session_dir(spark))

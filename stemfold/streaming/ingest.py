@@ -7,12 +7,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from stemfold.operators.curate import resolve_license
+from stemfold.operators.expect import RowRule, failures
 from stemfold.sources.manifests import store_new
 
 ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
-def ingest(spark: SparkSession, source: str, schema: str, urls: DataFrame, families: DataFrame, target: str, checkpoint: str, remember: str = "1 hour", buckets: int = 256, path: str = "cleaned_path") -> StreamingQuery:
+def ingest(spark: SparkSession, source: str, schema: str, urls: DataFrame, families: DataFrame, target: str, checkpoint: str, remember: str = "1 hour", buckets: int = 256, path: str = "cleaned_path", rules: tuple[RowRule, ...] = ()) -> StreamingQuery:
     """Append new manifest files, with their licences resolved, to a Parquet table in which each path is stored once.
 
     Two guards keep repeats out. A manifest row that comes again within
@@ -25,11 +26,13 @@ def ingest(spark: SparkSession, source: str, schema: str, urls: DataFrame, famil
     A path with several rows in a batch keeps the least of them, column by
     column; one that is in the target keeps its row. Time is that of the batch, so
     no row is ever too late. Rows without a path name no file and are left out.
-    The query stops when it has read what is there.
+    Failures of ``rules`` are counted on the way, over all rows that are read: the query's progress has
+    them as observed metrics named ``violations``. The query stops when it has read what is there.
     """
     new = spark.readStream.schema(schema).option("header", "true").csv(source)
     columns = new.columns
-    once = new.where(F.col(path).isNotNull()).withColumn("_seen", F.current_timestamp()).withWatermark("_seen", remember).dropDuplicatesWithinWatermark(columns)
+    read = new.observe("violations", *failures(*rules)) if rules else new
+    once = read.where(F.col(path).isNotNull()).withColumn("_seen", F.current_timestamp()).withWatermark("_seen", remember).dropDuplicatesWithinWatermark(columns)
 
     def store(batch: DataFrame, _id: int) -> None:
         store_new(resolve_license(batch.select(columns), urls, families), target, path, buckets)

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stemfold.functions import draws as D
 from stemfold.functions import scalars as S
 from stemfold.operators import curate as C
+from stemfold.operators import expect as Q
 from stemfold.operators import levels as L
 from stemfold.operators import scans as N
 from stemfold.operators import segments as W
@@ -571,3 +572,77 @@ def test_a_corpus_of_any_size_is_balanced_by_bins(spark):
     ratio = big[big.gender == "female"].groupby("split").duration.sum() / big.groupby("split").duration.sum()
     assert ratio.max() - ratio.min() < 0.02
     assert sorted(got[got.corpus == "few"].speaker) == ["a", "b", "c"]
+
+
+def test_rules_of_a_table_are_checked_in_one_pass(spark, tmp_path):
+    rows = [(k, None if k == 3 else "x", float(k), f"g{k % 3}", "a" if k < 50 else "b", "F" if k % 10 else "O") for k in range(100)] * 2 + [(None, "", math.nan, None, "c", "Z")]
+    df = spark.createDataFrame(rows, "id long, name string, v double, g string, s string, st string")
+    df.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    row = [Q.missing_value("name", "id"), Q.not_finite("v", "id"), Q.not_inside("id", F.col("v"), F.lit(1), 95), Q.other_length("v", 7.0, "id")]
+    found = Q.check(df, *row, Q.OneRule("disjoint", F.col("g"), F.col("s")), Q.SizeRule("size", F.col("st"), {"F": 180, "O": 21, "X": 5}))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1
+    plain = Q.violations(
+        Q.required(df, "name", "id"), Q.finite(df, "v", "id"), Q.inside(df, "id", F.col("v"), F.lit(1), 95), Q.fixed_length(df, "v", 7.0, "id"), Q.disjoint(df.where("g IS NOT NULL").selectExpr("g", "s AS split"), "g"), Q.sizes(df, "st", {"F": 180, "O": 21, "X": 5}),
+    )
+    assert sorted(map(tuple, found.collect()), key=str) == sorted(map(tuple, plain.collect()), key=str)
+    seen, counts = Q.observed(df, *row)
+    assert seen.count() == 201
+    assert counts.get == {r.rule: r.n for r in plain.where("rule NOT IN ('disjoint', 'size')").groupBy("rule").agg(F.count("*").alias("n")).collect()}
+    assert Q.check(df.limit(0), *row).count() == 0 and Q.check(df.limit(0), Q.SizeRule("size", F.col("st"), {"F": 1})).collect()[0].detail == "0"
+
+
+def test_rules_are_counted_in_the_stream(spark, tmp_path):
+    from stemfold.plans.curation import FLAGS, URLS
+    from stemfold.streaming.ingest import ingest
+
+    urls = spark.createDataFrame(URLS, "url string, license string, license_family string")
+    flags = spark.createDataFrame(FLAGS, "license_family string, attribution boolean, commercial boolean, derivative boolean, share_alike boolean")
+    schema = "cleaned_path string, license_url string, split string"
+    source, target, checkpoint = (str(tmp_path / k) for k in ("in", "out", "checkpoint"))
+    rows = [(f"/a/{k}", URLS[0][0] if k % 4 else None, "train") for k in range(20)] * 2
+    spark.createDataFrame(rows, schema).coalesce(1).write.option("header", "true").csv(source)
+    rule = Q.missing_value("license_url", "cleaned_path", "license")
+    q = ingest(spark, source, schema, urls, flags, target, checkpoint, rules=(rule,))
+    q.awaitTermination()
+    # every row that is read is checked, repeats too
+    assert sum(p["observedMetrics"]["violations"]["license"] or 0 for p in q.recentProgress if "violations" in p["observedMetrics"]) == 10
+    assert spark.read.parquet(target).count() == 20
+
+
+def test_manifest_files_are_bounded_on_skewed_splits(spark, tmp_path):
+    from stemfold.sources.manifests import write_manifest
+
+    df = spark.range(200_000).select("id", F.md5(F.col("id").cast("string")).alias("x"), F.lit("com").alias("subset"), F.when(F.col("id") % 100 > 5, "train").when(F.col("id") % 2 == 0, "val").otherwise("test").alias("split")).repartition(24)
+    before = {k: spark.conf.get(k, None) for k in ("spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize")}
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1m")
+    try:
+        write_manifest(df, str(tmp_path / "m"))
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    sizes = {}
+    for f in (tmp_path / "m").rglob("*.parquet"):
+        sizes.setdefault(f.parent.name, []).append(f.stat().st_size)
+    # a small split has no more files than the tasks that the large one beside it is split over
+    assert max(len(sizes["split=val"]), len(sizes["split=test"])) <= len(sizes["split=train"])
+    # the large split is several files, none far above the others
+    assert 2 <= len(sizes["split=train"]) < 24 and max(sizes["split=train"]) < 4 << 20
+    assert spark.read.parquet(str(tmp_path / "m")).count() == 200_000
+
+
+def test_bucketed_lookups_shuffle_nothing(spark):
+    from stemfold.plans.curation import bucketed_lookup
+    from tests.conftest import TINY
+
+    plan = bucketed_lookup(spark, TINY)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "SortMergeJoin" in plan
+
+
+def test_short_signals_are_not_padded_to_long_blocks(spark):
+    df = spark.createDataFrame([("k", [1.0] * 64), ("k", [2.0] * 50)], "k string, x array<double>")
+    assert L.block_size(df, "x") == 64 and L.block_size(df.limit(0), "x") == 64
+    assert L.block_size(spark.createDataFrame([([1.0] * 100_000,)], "x array<double>"), "x") == L.BLOCK
+    assert L.mix(df, ["k"], "x").first().signal == [3.0] * 50 + [1.0] * 14
