@@ -337,6 +337,29 @@ def event_annotations(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumns(rounded)
 
 
+def _stem_sql() -> str:
+    e, rate = ("l_orderkey", "event"), _cfg.rate
+    return _timeline_sql().replace(" )\n SELECT k AS l_orderkey, event,", " ),\n pl AS (SELECT k AS l_orderkey, event,", 1) + f"""),
+ fs AS (SELECT DISTINCT l_orderkey AS track, l_returnflag AS stem, l_linestatus || (l_linenumber % 3)::VARCHAR AS component, l_partkey AS file FROM lineitem),
+ tn AS (SELECT track, row_number() OVER (ORDER BY {u_sql(21, 'tracks', 'track')}, track) - 1 AS slot, count(*) OVER () AS n FROM (SELECT DISTINCT track FROM fs)),
+ dr AS (SELECT *, floor({u_sql(21, 'track', *e)} * (SELECT count(*) FROM tn))::BIGINT AS slot FROM pl),
+ ch AS (SELECT dr.*, fs.* FROM dr JOIN tn ON tn.slot = dr.slot JOIN fs ON fs.track = tn.track QUALIFY row_number() OVER (PARTITION BY l_orderkey, event, stem, component ORDER BY {u_sql(21, 'file', *e, 'stem', 'component', 'file')}, file) = 1),
+ ac AS (SELECT *, -20.0::DOUBLE - l_orderkey % 7 AS target FROM ch QUALIFY row_number() OVER (PARTITION BY l_orderkey, event, stem ORDER BY {u_sql(21, 'component', *e, 'stem', 'component')}, component) <= 1 + floor({u_sql(21, 'active', *e, 'stem')} * count(*) OVER (PARTITION BY l_orderkey, event, stem))),
+ cl AS (SELECT *, {quantile_sql(u_sql(21, 'clip', *e))} * 2.0::DOUBLE + target AS clip_lufs FROM ac)
+ SELECT l_orderkey, event, track, stem, component, file, start_sample, length_sample, segment_start_sample, round(start_sample / {rate}, 9) AS start_seconds, round(length_sample / {rate}, 9) AS length_seconds, round((start_sample + length_sample) / {rate}, 9) AS end_seconds,
+ round(clip_lufs, 6) AS clip_lufs, round({quantile_sql(u_sql(21, 'stem', *e, 'stem', 'component'))} * 1.0::DOUBLE + clip_lufs, 6) AS lufs, target AS submix_lufs_target FROM cl"""
+
+
+@query("stem_annotations", _stem_sql())
+def stem_annotations(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as tracks, their line items as files of stems and components."""
+    files = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("track"), F.col("l_returnflag").alias("stem"), F.concat("l_linestatus", (F.col("l_linenumber") % 3).cast("string")).alias("component"), F.col("l_partkey").alias("file"))
+    targets = files.select(F.col("track").alias("l_orderkey")).distinct().withColumn("target", -20.0 - F.col("l_orderkey") % 7)
+    out = T.stem_events(timeline(spark, sf), files, targets, "l_orderkey", _cfg, 21, 2.0, 1.0)
+    rounded = {c: F.round(c, 9) for c in ("start_seconds", "length_seconds", "end_seconds")} | {c: F.round(c, 6) for c in ("clip_lufs", "lufs")}
+    return out.withColumns(rounded)
+
+
 # --- levels ---------------------------------------------------------------------------
 
 SIGNALS = "sg AS (SELECT vec_id, label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) - 1 AS pos FROM embeddings)"

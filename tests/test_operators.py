@@ -646,3 +646,22 @@ def test_short_signals_are_not_padded_to_long_blocks(spark):
     assert L.block_size(df, "x") == 64 and L.block_size(df.limit(0), "x") == 64
     assert L.block_size(spark.createDataFrame([([1.0] * 100_000,)], "x array<double>"), "x") == L.BLOCK
     assert L.mix(df, ["k"], "x").first().signal == [3.0] * 50 + [1.0] * 14
+
+
+def test_stems_share_the_placement_of_their_clip(spark):
+    cfg = T.Placement(rate=1000)
+    placed = spark.createDataFrame([(k, e, 0, 1000 * e, 500, 7 * e) for k in range(40) for e in range(5)], "k long, event long, trial int, start_sample long, length_sample long, segment_start_sample long")
+    files = spark.createDataFrame([(f"t{t}", s, f"c{c}", f"t{t}{s}{c}{f}") for t in range(6) for s in ("vox", "mus") for c in range(3) for f in range(1 + c)], "track string, stem string, component string, file string")
+    targets = spark.createDataFrame([(k, -20.0 - k) for k in range(40)], "k long, target double")
+    got = T.stem_events(placed, files.unionByName(files), targets, "k", cfg, 3, 2.0, 0.5).toPandas()
+    again = T.stem_events(placed.repartition(3), files.repartition(2), targets, "k", cfg, 3, 2.0, 0.5).toPandas()
+    assert sorted(map(tuple, got.values)) == sorted(map(tuple, again.values))
+    one = got.groupby(["k", "event"])
+    # a clip has one track, one placement and one level; both stems sound, each with a level around it
+    assert len(one) == 200 and (one[["track", "start_sample", "length_sample", "segment_start_sample", "clip_lufs"]].nunique() == 1).all().all()
+    assert (one.stem.nunique() == 2).all() and not got.duplicated(["k", "event", "stem", "component"]).any()
+    assert got.track.nunique() == 6 and set(got.groupby(["k", "event", "stem"]).size()) == {1, 2, 3}
+    assert all(f.startswith(t + s) for f, t, s in zip(got.file, got.track, got.stem, strict=True))
+    spread = got.lufs - got.clip_lufs
+    assert abs(spread.mean()) < 0.1 and spread.std() == pytest.approx(0.5, rel=0.1)
+    assert (one.first().clip_lufs - one.first().submix_lufs_target).std() == pytest.approx(2.0, rel=0.25)
