@@ -18,6 +18,8 @@ VOCABULARY = 96
 BITS, EDGE = 21, 0x110000
 #: Bytes of text in a block, and the most cells of a dense table of trigrams.
 BLOCK, DENSE = 8 << 20, 1 << 22
+#: Blocks whose trigrams meet one copy of the model.
+SALT = 4096
 
 
 def _points(text: str) -> np.ndarray:
@@ -56,11 +58,12 @@ def trigrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def blocks(flagged: DataFrame) -> DataFrame:
     """(block, id, text, in_target): documents dealt to blocks of about BLOCK bytes; a longer text stands alone."""
     kind = dict(flagged.dtypes)["id"]
+    most = BLOCK
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at = TaskContext.get().partitionId() << 32
         for b in batches:
-            for i, j in slices([x or b"" for x in b.column(1).cast(pa.binary()).to_pylist()], BLOCK):
+            for i, j in slices([x or b"" for x in b.column(1).cast(pa.binary()).to_pylist()], most):
                 part = b.slice(i, j - i)
                 yield pa.record_batch([pa.array(np.full(j - i, at, np.int64)), *part.columns], names=["block", "id", "text", "in_target"])
                 at += 1
@@ -142,7 +145,12 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     dealt = cut(blocks(flagged), "blocks")
     asked = cut(block_counts(dealt), "trigrams")
     model = cut(losses(cut(asked.groupBy("code").agg(F.sum("background").alias("background"), F.sum("target").alias("target")), "counts")), "losses")
-    known = asked.select("block", "code").join(model, "code").select("block", "code", "target_loss", "background_loss")
+    n_blocks = dealt.select("block").distinct().count()
+    # a frequent trigram has a row for each block: from some thousand blocks on they are dealt to copies of the model
+    copies = -(-n_blocks // SALT)
+    salted = asked.select("block", "code", F.pmod(F.xxhash64("block"), F.lit(max(1, copies))).alias("salt"))
+    copied = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(0, copies - 1)).cast("bigint"))))
+    known = salted.join(copied, ["code", "salt"]).select("block", "code", "target_loss", "background_loss")
 
     def run(own: pa.Table, loss: pa.Table) -> pa.Table:
         order = np.argsort(loss["code"].to_numpy())
@@ -158,5 +166,5 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
 
     schema = f"`{id_col}` {kind}, n_tokens bigint, target_loss double, background_loss double, score double"
     # as many partitions as blocks, so that a task's share does not grow with the corpus
-    n = max(n_parts(docs.sparkSession), dealt.select("block").distinct().count())
+    n = max(n_parts(docs.sparkSession), n_blocks)
     return dealt.select("block", "id", "text").repartition(n, "block").groupBy("block").cogroup(known.repartition(n, "block").groupBy("block")).applyInArrow(run, schema)

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stemfold.llm.common import BYTE_VALUE, binary, cut, mix, n_parts, slices
@@ -21,6 +21,8 @@ MANY = 4096
 PLACE = np.uint64((1 << 24) - 1)
 #: One suffix stands for about so many bytes of text.
 BYTES_A_SUFFIX = 37
+#: Bytes of a text whose requests stand in one list.
+REQUESTED = 64 << 20
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -276,7 +278,8 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, length: int, s
     moved = spark.createDataFrame([(REPEATED, *tuple(r)[1:]) for r in again] + [(ASK_HOT, *tuple(r)[1:]) for r in asked], schema)
     everything = found.where(~F.col("kind").isin(HEAD, TAIL)).unionByName(moved)
     whole = everything.where(F.col("kind") == REPEATED).select("doc", "first", "windows")
-    requests = everything.where(F.col("kind") != REPEATED).groupBy("doc").agg(F.collect_list(F.struct((F.col("kind") == ASK_HOT).alias("hot"), "lead", "anchor", "first", "windows")).alias("asked"))
+    # of a very long text each piece asks for itself, so no list holds all that a document asks for
+    requests = everything.where(F.col("kind") != REPEATED).groupBy("doc", F.floor(F.col("first") / REQUESTED).alias("piece")).agg(F.collect_list(F.struct((F.col("kind") == ASK_HOT).alias("hot"), "lead", "anchor", "first", "windows")).alias("asked"))
 
     def contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -330,6 +333,17 @@ def repeated_windows(docs: DataFrame, id_col: str, text_col: str, length: int, s
     return whole.unionByName(plain).unionByName(late)
 
 
+def merged_windows(runs: DataFrame, length: int) -> DataFrame:
+    """(doc, first, windows): runs of a document whose bytes overlap or touch become one, so there are as many rows as removed stretches."""
+    end = F.col("first") + F.col("windows") - 1 + length
+    order = Window.partitionBy("doc").orderBy("first", F.desc("windows"))
+    reached = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    marked = runs.withColumn("end", end).withColumn("new", F.when(F.col("first") <= reached, 0).otherwise(1))
+    isles = marked.withColumn("isle", F.sum("new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = isles.groupBy("doc", "isle").agg(F.min("first").alias("first"), F.max("end").alias("end"))
+    return whole.select("doc", "first", (F.col("end") - F.col("first") + 1 - length).alias("windows"))
+
+
 def _merged(found: list, n: int, length: int) -> list[tuple[int, int]]:
     """The maximal runs of bytes that the windows cover."""
     out: list[list[int]] = []
@@ -363,7 +377,7 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     Extra columns are not read.
     """
     runs = repeated_windows(docs, id_col, text_col, length)
-    of = runs.groupBy("doc").agg(F.collect_list(F.struct("first", "windows")).alias("found"))
+    of = merged_windows(runs, length).groupBy("doc").agg(F.collect_list(F.struct("first", "windows")).alias("found"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -381,5 +395,8 @@ def drop_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     names = [id_col, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept"] * with_bytes]
     kind = dict(docs.dtypes)[id_col]
-    joined = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).join(of, F.col("id") == F.col("doc"), "left").select("id", "text", "found")
+    named = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
+    joined = named.where("id IS NOT NULL").join(of, F.col("id") == F.col("doc"), "left").select("id", "text", "found")
+    # rows without an id are not shuffled to one task
+    joined = joined.unionByName(named.where("id IS NULL").withColumn("found", F.lit(None).cast(dict(joined.dtypes)["found"])))
     return joined.mapInArrow(run, f"`{id_col}` {kind}, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string{', kept binary' * with_bytes}")
