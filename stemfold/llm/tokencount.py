@@ -210,7 +210,9 @@ def frequent_lengths(docs: DataFrame, path: str, text_col: str = "text", entries
             yield pa.record_batch([pa.array(pieces), pa.array(n, pa.int64())], names=["piece", "n"])
 
     total: Counter[str] = Counter()
-    for piece, n in hash_sample(docs.select(text_col, F.monotonically_increasing_id().alias("place")), sample, "place").select(text_col).mapInArrow(run, "piece string, n bigint").toLocalIterator(prefetchPartitions=True):
+    drawn = hash_sample(docs.select(text_col, F.monotonically_increasing_id().alias("place")), sample, "place").select(text_col)
+    sent = drawn.mapInArrow(run, "piece string, n bigint").toArrow()  # sample * per_task rows at most
+    for piece, n in zip(sent.column(0).to_pylist(), sent.column(1).to_pylist(), strict=True):
         total[piece] += n
     pieces = [p for p, _ in islice(sorted(total.items(), key=lambda x: (-x[1], x[0])), entries)]
     return {p: n for p, n in zip(pieces, count.lengths(pieces), strict=True) if n < 256}
