@@ -515,7 +515,7 @@ _SPEAKERS = f"""sp AS (SELECT concat_ws('-', c_nationkey::VARCHAR, c_mktsegment)
  FROM orders JOIN customer ON c_custkey = o_custkey GROUP BY c_nationkey, c_mktsegment, o_custkey)"""
 
 
-def _speakers(spark: SparkSession, sf: str) -> DataFrame:
+def _balanced_speakers(spark: SparkSession, sf: str) -> DataFrame:
     """One corpus for each nation and segment, so that each speaker list is short."""
     c = table(spark, sf, "customer").select(F.col("c_custkey").alias("o_custkey"), F.concat_ws("-", F.col("c_nationkey").cast("string"), "c_mktsegment").alias("corpus"), F.when(F.crc32(F.col("c_name")) % 2 == 0, "female").otherwise("male").alias("gender"))
     return table(spark, sf, "orders").join(c, "o_custkey").groupBy("corpus", F.col("o_custkey").cast("string").alias("speaker"), "gender").agg(F.round(F.sum("o_totalprice"), 2).alias("duration"))
@@ -534,13 +534,13 @@ def _speakers(spark: SparkSession, sf: str) -> DataFrame:
  SELECT corpus, speaker, split, seed::INT AS seed, accepted FROM a JOIN best USING (corpus, seed)""",
 )
 def split_balanced(spark: SparkSession, sf: str) -> DataFrame:
-    return P.balanced_split(_speakers(spark, sf), _PROPORTIONS, 0.15, 8)
+    return P.balanced_split(_balanced_speakers(spark, sf), _PROPORTIONS, 0.15, 8)
 
 
 @query("split_balanced_binned")
 def split_balanced_binned(spark: SparkSession, sf: str) -> DataFrame:
     """All customers as one corpus, as large as the table."""
-    return P.balanced_split_binned(_speakers(spark, sf).withColumn("corpus", F.lit("all")), _PROPORTIONS, 0.15, 4)
+    return P.balanced_split_binned(_balanced_speakers(spark, sf).withColumn("corpus", F.lit("all")), _PROPORTIONS, 0.15, 4)
 
 
 # --- expectations -------------------------------------------------------------------------
