@@ -118,6 +118,18 @@ def losses(counts: DataFrame) -> DataFrame:
     return p3.select("code", *((-F.log(mixed(m, 3, F.col(f"{m}_p2")))).alias(f"{m}_loss") for m in models))
 
 
+def _met(asked: DataFrame, model: DataFrame, copies: int) -> DataFrame:
+    """(block, code, target_loss, background_loss): the losses of each block's trigrams.
+
+    A frequent trigram has a row for each block; from ``SALT`` blocks on these
+    are dealt to ``copies`` of the model, with the same result.
+    """
+    if copies > 1:
+        asked = asked.withColumn("salt", F.pmod(F.xxhash64("block"), F.lit(copies)))
+        model = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(copies - 1).cast("bigint"))))
+    return asked.join(model, ["code", "salt"] if copies > 1 else ["code"]).select("block", "code", "target_loss", "background_loss")
+
+
 def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row for each row of ``docs``: id, n_tokens, target_loss, background_loss, score.
 
@@ -146,11 +158,7 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, id_col: str
     asked = cut(block_counts(dealt), "trigrams")
     model = cut(losses(cut(asked.groupBy("code").agg(F.sum("background").alias("background"), F.sum("target").alias("target")), "counts")), "losses")
     n_blocks = dealt.select("block").distinct().count()
-    # a frequent trigram has a row for each block: from some thousand blocks on they are dealt to copies of the model
-    copies = -(-n_blocks // SALT)
-    salted = asked.select("block", "code", F.pmod(F.xxhash64("block"), F.lit(max(1, copies))).alias("salt"))
-    copied = model.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(max(0, copies - 1)).cast("bigint"))))
-    known = salted.join(copied, ["code", "salt"]).select("block", "code", "target_loss", "background_loss")
+    known = _met(asked.select("block", "code"), model, -(-n_blocks // SALT))
 
     def run(own: pa.Table, loss: pa.Table) -> pa.Table:
         order = np.argsort(loss["code"].to_numpy())
