@@ -8,6 +8,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stemfold.operators.segments import mean_level, near_mean
 from stemfold.sources.scratch import cut
 
 #: Rows that a block is meant to hold.
@@ -70,9 +71,9 @@ def run_length_scan(frames: DataFrame, key: str | list[str], pos: str, cls: str,
 
 
 def _nonsilent(frames: DataFrame, key: str, pos: str, level: str, frame: float, drops: list[float], least_silence: float, pad: float, blocks: int | None) -> DataFrame:
-    means = frames.groupBy(key).agg(F.avg(level).alias("_mean")).withColumnRenamed(key, "_key")
+    means = frames.groupBy(key).agg(*(c.alias(n) for n, c in mean_level(level).items())).withColumnRenamed(key, "_key")
     steps = F.explode(F.array(*[F.struct(F.lit(k).alias("step"), F.lit(float(d)).alias("drop")) for k, d in enumerate(drops)])).alias("s")
-    flagged = frames.join(means, F.col(key).eqNullSafe(F.col("_key"))).select(key, pos, level, "_mean", steps).select(key, pos, F.col("s.step").alias("step"), (F.col(level) >= F.col("_mean") - F.col("s.drop")).alias("loud"))
+    flagged = frames.join(means, F.col(key).eqNullSafe(F.col("_key"))).select(key, pos, level, *mean_level(level), steps).select(key, pos, F.col("s.step").alias("step"), near_mean(F.col(level), F.col("s.drop")).alias("loud"))
     keys = [key, "step"]
     runs = cut(scan_runs(flagged, keys, pos, "loud", blocks=blocks).withColumnsRenamed({"class": "loud"}).select(*keys, "loud", (F.col("first") * frame).alias("a"), ((F.col("last") + 1) * frame).alias("b"), (F.col("n") * frame).alias("total")), "silence")
     ends = runs.groupBy(*keys).agg(F.min(F.when(F.col("loud"), F.col("a"))).alias("_lo"), F.max(F.when(F.col("loud"), F.col("b"))).alias("_hi"), F.max("total").alias("_total")).withColumnsRenamed({key: "_key", "step": "_step"})

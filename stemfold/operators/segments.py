@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from stemfold.functions.draws import u
 
 CLASSES = ("none", "speech", "music", "both")
+#: Levels are compared with means in whole parts of a dB, so many to one.
+UNITS = 1e9
+#: Levels from here on, infinite ones too, are compared as floating-point numbers.
+ROUGH = 1e9
 
 
 def encode_activation(speech: Column, music: Column, threshold: float = 0.5) -> Column:
@@ -63,10 +67,35 @@ def random_gap_chunks(df: DataFrame, key: str, size: float, seed: int, duration:
     return out.withColumn("end_time", F.col("start_time") + size)
 
 
+def _units(level: Column) -> Column:
+    return F.when(F.abs(level) < ROUGH, F.floor(level.cast("double") * UNITS + 0.5))
+
+
+def mean_level(level: str) -> dict[str, Column]:
+    """Aggregates of a key's levels, null ones left out, from which ``near_mean`` tells frames near the mean."""
+    x = F.col(level).cast("double")
+    return {"_avg": F.avg(x), "_rough": F.max(F.coalesce(F.abs(x) >= ROUGH, F.lit(False))), "_sum": F.sum(_units(x).cast("decimal(19,0)")), "_count": F.count(x)}
+
+
+def near_mean(level: Column, drop: Column) -> Column:
+    """Whether a frame is at most ``drop`` dB below the mean of its key (columns of ``mean_level``).
+
+    Levels are added up in billionths of a dB, as whole numbers, and the mean is
+    rounded up to one: a level in whole units reaches the exact mean just when it reaches this. So the answer hangs on the levels alone; a
+    floating-point mean hangs on the order of its sum too, and a frame just ``drop``
+    below it may fall on either side. Only keys with levels beyond ROUGH use that one.
+    """
+    n = F.col("_count").cast("decimal(19,0)")
+    floor = F.expr("_sum div _count") + F.when(F.col("_sum") % n > 0, 1).otherwise(0)
+    exact = _units(level) >= floor - F.floor(drop * UNITS + 0.5)
+    return F.when(F.col("_rough") | (F.col("_count") == 0), level >= F.col("_avg") - drop).otherwise(exact)
+
+
 def nonsilent(frames: DataFrame, key: str, pos: str, level: str, frame: float, drop: float = 16.0, least_silence: float = 1.0, pad: float = 0.1) -> DataFrame:
     """(key, start_time, end_time): stretches without a silence of ``least_silence`` seconds or more, padded and clamped.
 
-    Silent is a frame more than ``drop`` dB below the mean level of its key.
+    Silent is a frame more than ``drop`` dB below the mean level of its key;
+    one that is just so far below is not (see ``near_mean``).
     Shorter silences belong to the sound around them.
     """
     return _nonsilent(frames, key, pos, level, frame, [drop], least_silence, pad).drop("step")
@@ -79,9 +108,9 @@ def _nonsilent(frames: DataFrame, key: str, pos: str, level: str, frame: float,
     and all that follows is grouped by key and step, which that shuffle serves.
     """
     whole = Window.partitionBy(key)
-    leveled = frames.select(key, pos, F.col(level).alias("_level"), F.avg(level).over(whole).alias("_mean"), (F.count("*").over(whole) * frame).alias("_total"))
+    leveled = frames.select(key, pos, F.col(level).alias("_level"), *(c.over(whole).alias(n) for n, c in mean_level(level).items()), (F.count("*").over(whole) * frame).alias("_total"))
     steps = F.array(*[F.struct(F.lit(k).alias("step"), F.lit(float(d)).alias("drop")) for k, d in enumerate(drops)])
-    flagged = leveled.withColumn("s", F.explode(steps)).select(key, pos, "s.step", F.struct((F.col("_level") >= F.col("_mean") - F.col("s.drop")).alias("loud"), "_total").alias("c"))
+    flagged = leveled.withColumn("s", F.explode(steps)).select(key, pos, "s.step", F.struct(near_mean(F.col("_level"), F.col("s.drop")).alias("loud"), "_total").alias("c"))
     keys = [key, "step"]
     runs = run_length(flagged, keys, pos, "c", frame).select(*keys, F.col("class.loud").alias("loud"), F.col("class._total").alias("_total"), "start_time", "end_time")
     one, order = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy("start_time")

@@ -665,3 +665,25 @@ def test_stems_share_the_placement_of_their_clip(spark):
     spread = got.lufs - got.clip_lufs
     assert abs(spread.mean()) < 0.1 and spread.std() == pytest.approx(0.5, rel=0.1)
     assert (one.first().clip_lufs - one.first().submix_lufs_target).std() == pytest.approx(2.0, rel=0.25)
+
+
+def test_frames_just_so_far_below_the_mean_are_heard(spark):
+    # a mean of 50.00 and levels of 34.00: in floating point the sum may end on either side, as its order has it
+    rows = []
+    for k in range(200):
+        some = [34.0] + [round(0.01 * ((k * 37 + j * 101) % 9000), 2) for j in range(65)]
+        rest = round(50.0 * 67 - sum(some), 2)
+        rows += [(k, j, v) for j, v in enumerate([*some[:30], rest, *some[30:]])]
+    df = spark.createDataFrame(rows, "k long, pos long, v double")
+    want = sorted((k, j) for k, j, v in rows if round(v * 100) >= 3400)
+    for order in (F.col("pos"), -F.col("pos"), F.hash("pos"), F.hash("v")):
+        means = df.groupBy("k").agg(*(c.alias(n) for n, c in W.mean_level("v").items()))
+        flagged = df.orderBy("k", order).join(means, "k").where(W.near_mean(F.col("v"), F.lit(16.0)))
+        assert sorted(values(flagged, "k", "pos")) == want
+    # the operators begin with the first such frame
+    for got in (W.nonsilent(df, "k", "pos", "v", 0.5, least_silence=0.5), N.nonsilent_scan(df, "k", "pos", "v", 0.5, least_silence=0.5)):
+        assert {r[0] for r in values(got.where("start_time = 0"), "k")} == set(range(200))
+    odd = spark.createDataFrame([(1, 0, None), (1, 1, float("-inf")), (1, 2, 3.0), (2, 0, None), (3, 0, float("inf")), (3, 1, 1.0), (4, 0, float("nan"))], "k long, pos long, v double")
+    means = odd.groupBy("k").agg(*(c.alias(n) for n, c in W.mean_level("v").items()))
+    got = {(r[0], r[1]): r[2] for r in values(odd.join(means, "k").select("k", "pos", W.near_mean(F.col("v"), F.lit(16.0)).alias("near")), "k", "pos", "near")}
+    assert got == {(1, 0): None, (1, 1): True, (1, 2): True, (2, 0): None, (3, 0): True, (3, 1): False, (4, 0): True}
