@@ -687,3 +687,25 @@ def test_frames_just_so_far_below_the_mean_are_heard(spark):
     means = odd.groupBy("k").agg(*(c.alias(n) for n, c in W.mean_level("v").items()))
     got = {(r[0], r[1]): r[2] for r in values(odd.join(means, "k").select("k", "pos", W.near_mean(F.col("v"), F.lit(16.0)).alias("near")), "k", "pos", "near")}
     assert got == {(1, 0): None, (1, 1): True, (1, 2): True, (2, 0): None, (3, 0): True, (3, 1): False, (4, 0): True}
+
+
+def test_events_are_placed_without_moving_energies(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    cfg = T.Placement(overlap=0.25, rate=1000, min_prop=0.1, length_loc=0.3)
+    powers = {f: np.where((np.arange(n) // 9 + f) % 3 == 0, 0.0, rng.random(n)) for f, n in ((0, 300), (1, 40), (2, 1), (3, 3), (4, 2000))}
+    hops = spark.createDataFrame([(f, k, float(p)) for f, ps in powers.items() for k, p in enumerate(ps)], "file long, pos int, power double")
+    energy = T.energy_table(hops, "file", "pos", "power")
+    # what a fold asks of a stretch is whether its level is finite, beyond the end of a file too
+    at = spark.createDataFrame([(int(a), int(n)) for a in rng.integers(0, 31_000, 60) for n in (1, 99, 100, 101, 350, 399, 401, 455, 700, 3000, 60_000)], "a long, n long").unionByName(spark.createDataFrame([(a, n) for a in (0, 100, 4900) for n in (1, 100, 400, 500)], "a long, n long"))
+    both = at.crossJoin(energy.join(T.audible(energy, cfg), "file")).select((T.stretch_level(F.struct("energy", "loud", "loud_energy"), F.col("a"), F.col("n"), cfg.hop) > float("-inf")).alias("finite"), T.sounds(F.col("heard"), F.col("a"), F.col("n"), cfg.hop).alias("sounds"))
+    counts = {(r["finite"], r["sounds"]): r["count"] for r in both.groupBy("finite", "sounds").count().collect()}
+    assert set(counts) == {(True, True), (False, False)} and min(counts.values()) > 100
+    ev = spark.range(400).select((F.col("id") % 50).alias("k"), F.floor(F.col("id") / 50).alias("event"), (F.col("id") % 17 + 1).cast("double").alias("len"), (F.col("id") % 6).alias("file"))
+    want = T.place(T.candidates(ev, "k", 4, 1), "k", cfg, energy).join(ev.select("k", "event", "file"), ["k", "event"])
+    got = T.place_events(ev, "k", cfg, 4, 1, energy, ("file",))
+    assert sorted(values(got, *want.columns)) == sorted(values(want, *want.columns)) and got.count() > 100
+    # one shuffle, of the events alone
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1 and plan.count("aggregate(") == 1
