@@ -709,3 +709,35 @@ def test_events_are_placed_without_moving_energies(spark):
     # one shuffle, of the events alone
     plan = got._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1 and plan.count("aggregate(") == 1
+
+
+def test_annotations_shuffle_no_stretches(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(6)
+    cfg = T.Placement(overlap=0.25, rate=1000, hop_seconds=0.05, min_prop=0.1)
+    powers = {f: np.where((np.arange(n) // 30 + f) % 4 == 0, 0.0, 10 ** rng.uniform(-8, 0, n)) for f, n in ((0, 700), (1, 520), (2, 90), (3, 2))}
+    hops = spark.createDataFrame([(f, k, float(p)) for f, ps in powers.items() for k, p in enumerate(ps)], "file long, pos int, power double")
+    rows = [(k, e, 0, int(rng.integers(0, 50_000)), int(rng.integers(1, 12_000)), int(rng.integers(0, 30_000)), int(rng.integers(0, 5))) for k in range(12) for e in range(4)]
+    placed = spark.createDataFrame(rows, "k long, event long, trial int, start_sample long, length_sample long, segment_start_sample long, file long")
+    targets = placed.select("k").distinct().withColumn("target", -20.0 - F.col("k"))
+    got = T.annotate(placed.drop("file"), placed, hops, targets, "k", cfg)
+    again = T.annotate(placed.repartition("k"), None, hops, targets, "k", cfg)
+    assert sorted(values(got, *got.columns)) == sorted(values(again, *got.columns))
+    # by the long form: a row for each hop of an event
+    parts = []
+    for k, e, _, start, n, own, f in rows:
+        for pos in range(own // 50, (own + n - 1) // 50 + 1):
+            if pos < len(powers.get(f, ())):
+                parts.append((k, e, start // 50 + pos - own // 50, float(powers[f][pos])))
+    long = spark.createDataFrame(parts, "k long, event long, at long, p double")
+    own = {(r.k, r.event): r.level for r in L.gated_hops(long, ["k", "event"], "at", "p").collect()}
+    mixed = {r.k: r.level for r in L.gated_hops(long.groupBy("k", "at").agg(F.sum("p").alias("p")), ["k"], "at", "p").collect()}
+    assert got.count() == len(rows) and len(own) > 20
+    for r in got.collect():
+        level, silent = mixed.get(r.k, -math.inf), -math.inf
+        gain = 0.0 if level == silent else r.submix_lufs_target - level
+        assert r.submix_lufs == pytest.approx(level + gain) and r.lufs == pytest.approx(own.get((r.k, r.event), silent) + gain)
+    # placed rows are shuffled once by key, their stretches never
+    plan = again._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") <= 2 and "stretches" not in plan
