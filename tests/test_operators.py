@@ -741,3 +741,28 @@ def test_annotations_shuffle_no_stretches(spark):
     # placed rows are shuffled once by key, their stretches never
     plan = again._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning") <= 2 and "stretches" not in plan
+
+
+def test_stems_are_chosen_within_the_row_of_a_track(spark):
+    import hashlib
+
+    draw = lambda tag, *key: int(hashlib.md5("|".join(["3", tag, *(str(k) for k in key if k is not None)]).encode()).hexdigest()[:13], 16) / 16**13
+    cfg = T.Placement(rate=1000)
+    placed = spark.createDataFrame([(k, e, 0, 1000 * e, 500, 7 * e) for k in range(30) for e in range(4)], "k long, event long, trial int, start_sample long, length_sample long, segment_start_sample long")
+    rows = [(f"t{t}", s, c, f"t{t}{s}{c}{f}") for t in range(5) for s in (None, "mus", "vox") for c in ("a", "b", "c", "d")[: 1 + t] for f in range(1 + t % 3)]
+    files = spark.createDataFrame(rows, "track string, stem string, component string, file string")
+    got = T.stem_events(placed, files.unionByName(files), placed.select("k").distinct().withColumn("target", F.lit(-20.0)), "k", cfg, 3, 2.0, 0.5)
+    tracks = sorted({r[0] for r in rows}, key=lambda t: (draw("tracks", t), t))
+    want = set()
+    for k in range(30):
+        for e in range(4):
+            t = tracks[int(draw("track", k, e) * len(tracks))]
+            for s in (None, "mus", "vox"):
+                parts = sorted({r[2] for r in rows if r[:2] == (t, s)}, key=lambda c: (draw("component", k, e, s, c), c))
+                for c in parts[: 1 + int(draw("active", k, e, s) * len(parts))]:
+                    want.add((k, e, t, s, c, min((draw("file", k, e, s, c, r[3]), r[3]) for r in rows if r[:3] == (t, s, c))[1]))
+    found = values(got, "k", "event", "track", "stem", "component", "file")
+    assert set(found) == want and len(found) == len(want) and any(r[3] is None for r in want)
+    # no row of an event and a file is ever dealt or sorted by event and stem
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if ("Exchange hashpartitioning" in x or "Window [" in x) and "event#" in x and "stem#" in x]
